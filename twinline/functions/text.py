@@ -92,14 +92,20 @@ def _nfc_gate_class() -> str:
 # ---------------------------------------------------------------- Arrow UDFs
 
 
+def _normalize_array(s: pa.Array, form: str) -> list:
+    return [None if x is None else unicodedata.normalize(form, x) for x in s.to_pylist()]
+
+
 @F.arrow_udf(T.StringType())
 def _nfc_arrow(s: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(s, form="NFC")
+    # only gated rows arrive non-null; the rest are nulls (validity bits)
+    return pa.array(_normalize_array(s, "NFC"), pa.string())
 
 
 @F.arrow_udf(T.StringType())
 def _strip_accents_arrow(s: pa.Array) -> pa.Array:
-    return pc.replace_substring_regex(pc.utf8_normalize(s, form="NFD"), pattern=r"\p{Mn}", replacement="")
+    nfd = pa.array(_normalize_array(s, "NFD"), pa.string())
+    return pc.replace_substring_regex(nfd, pattern=r"\p{Mn}", replacement="")
 
 
 def _col(c: Column | str) -> Column:
