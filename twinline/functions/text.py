@@ -15,10 +15,13 @@ Source profile (BERT-uncased style):
 
 from __future__ import annotations
 
+import sys
+
 import functools
 import unicodedata
 
 import pyarrow as pa
+from pyspark import cloudpickle
 import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,6 +29,10 @@ from pyspark.sql import types as T
 
 from ..constants import SPECIAL_TOKENS
 
+# Executors need not have this package installed: the UDFs of this module
+# travel with the task (pickled by value) instead of by import path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # ---------------------------------------------------------------- patterns
 
 # FIXED VALUES: a literal special token in raw text is kept whole and
@@ -86,7 +93,11 @@ def _nfc_gate_class() -> str:
     body = "".join(
         f"\\x{{{a:X}}}" if a == b else f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges
     )
-    return "[\\p{M}" + body + "]"
+    # Every gate character is >= U+0300.  Java evaluates a class
+    # intersection left to right, so one range test rejects nearly all of
+    # Latin-1 before the long union is consulted (~50x faster on prose).
+    low = min([0x300] + [a for a, _ in ranges])
+    return f"[\\x{{{low:X}}}-\\x{{10FFFF}}&&[\\p{{M}}" + body + "]]"
 
 
 # ---------------------------------------------------------------- Arrow UDFs
@@ -142,9 +153,18 @@ def pre_tokenize(c: Column | str) -> Column:
     return F.transform(toks, lambda t: F.when(t.isin(specials), t).otherwise(lowercase(t)))
 
 
+# Without literal specials, lowercasing before or after the split is the same
+# (lowercase maps word characters to word characters); the whole-text form
+# skips the per-token lambda.
+_PLAIN_PATTERN = r"(?U)\w+|(?U)[^\w\s]+"
+
+
 def words(c: Column | str) -> Column:
     """Target-profile words of a text column: X7 -> X1 -> X2 -> X4."""
-    return pre_tokenize(nfc(c))
+    c = _col(c)
+    n = nfc(c)
+    plain = F.regexp_extract_all(lowercase(n), F.lit(_PLAIN_PATTERN), F.lit(0))
+    return F.when(c.rlike(_SPECIAL_ALT), pre_tokenize(n)).otherwise(plain)
 
 
 def source_normalize(c: Column | str) -> Column:

@@ -9,11 +9,14 @@ is broadcast); each Python worker memoises word -> ids.
 
 from __future__ import annotations
 
+import sys
+
 import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +34,10 @@ from ..constants import (
 )
 from . import text as tx
 
+# Executors need not have this package installed: the UDFs of this module
+# travel with the task (pickled by value) instead of by import path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # A vocabulary is a model, not data: refuse to broadcast one beyond this.
 MAX_BROADCAST_VOCAB = 2_000_000
 _MEMO_LIMIT = 500_000
