@@ -78,10 +78,9 @@ class Vocabulary:
 
     @classmethod
     def from_df(cls, vocab_df: DataFrame) -> "Vocabulary":
-        n = vocab_df.count()
-        if n > MAX_BROADCAST_VOCAB:
-            raise ValueError(f"vocabulary has {n} entries, above the broadcast bound {MAX_BROADCAST_VOCAB}")
-        rows = vocab_df.select("token", "id").collect()
+        rows = vocab_df.select("token", "id").limit(MAX_BROADCAST_VOCAB + 1).collect()
+        if len(rows) > MAX_BROADCAST_VOCAB:
+            raise ValueError(f"vocabulary has more than {MAX_BROADCAST_VOCAB} entries: not broadcast")
         return cls({r["token"]: int(r["id"]) for r in rows})
 
     def __len__(self) -> int:

@@ -51,18 +51,27 @@ def alphabet(counts: DataFrame, prefix: str = CONTINUATION_PREFIX) -> DataFrame:
     return plain.unionByName(cont).distinct()
 
 
+def _vocab_rows(counts: DataFrame, prefix: str) -> DataFrame:
+    """(token, grp, k1, k2) rows of the initial vocabulary in id order:
+    specials (grp 0), characters (1), continuation characters (2)."""
+    specials = counts.sparkSession.createDataFrame(
+        [(t, 0, i, "") for i, t in enumerate(SPECIAL_TOKENS)], "token string, grp int, k1 long, k2 string")
+    a = alphabet(counts, prefix)
+    body = a.select("token", F.when(F.col("kind") == "char", 1).otherwise(2).alias("grp"),
+                    F.lit(0).cast("long").alias("k1"), F.col("ch").alias("k2"))
+    return specials.unionByName(body)
+
+
+def _number(rows: DataFrame) -> DataFrame:
+    # one window over the vocabulary itself: bounded by alphabet + k
+    w = Window.orderBy("grp", "k1", "k2")
+    return rows.select("token", (F.row_number().over(w) - 1).cast("int").alias("id"))
+
+
 def initial_vocab(counts: DataFrame, prefix: str = CONTINUATION_PREFIX) -> DataFrame:
     """Specials, then characters by code point, then continuation characters
     by code point; ids dense from 0.  Bounded by the alphabet size."""
-    specials = counts.sparkSession.createDataFrame(
-        [(t, i) for i, t in enumerate(SPECIAL_TOKENS)], "token string, ord long")
-    a = alphabet(counts, prefix)
-    n_sp = len(SPECIAL_TOKENS)
-    ranked = a.select("token", F.when(F.col("kind") == "char", 0).otherwise(1).alias("_g"), "ch")
-    # the alphabet is at most the number of code points: a bounded table
-    w = Window.orderBy("_g", "ch")
-    body = ranked.select("token", (F.row_number().over(w) - 1 + n_sp).cast("long").alias("ord"))
-    return specials.unionByName(body).select("token", F.col("ord").cast("int").alias("id"))
+    return _number(_vocab_rows(counts, prefix))
 
 
 def vocab_freq(counts: DataFrame, k: int, prefix: str = CONTINUATION_PREFIX) -> DataFrame:
@@ -70,15 +79,13 @@ def vocab_freq(counts: DataFrame, k: int, prefix: str = CONTINUATION_PREFIX) ->
     two or more characters by (count desc, word asc), minus those that are
     already a token (e.g. the word ``###`` is the continuation form of ``#``).
     Total words over all groups are used."""
-    base = initial_vocab(counts, prefix)
+    base = _vocab_rows(counts, prefix)
     totals = counts.groupBy("word").agg(F.sum("count").alias("count"))
     top = totals.where(F.length("word") >= 2).orderBy(F.col("count").desc(), "word").limit(k)
     cand = top.join(base.select(F.col("token").alias("word")), "word", "left_anti")
-    n_base = base.count()
-    w = Window.orderBy(F.col("count").desc(), "word")  # k rows: bounded
-    words_ = cand.select(F.col("word").alias("token"),
-                         (F.row_number().over(w) - 1 + F.lit(n_base)).cast("int").alias("id"))
-    return base.unionByName(words_)
+    words_ = cand.select(F.col("word").alias("token"), F.lit(3).alias("grp"),
+                         (-F.col("count")).cast("long").alias("k1"), F.col("word").alias("k2"))
+    return _number(base.unionByName(words_))
 
 
 def word_types(counts: DataFrame, vocab: DataFrame, prefix: str = CONTINUATION_PREFIX) -> DataFrame:

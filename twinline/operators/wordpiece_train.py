@@ -16,8 +16,8 @@ Spark shape
   with partial aggregation, keep the top K (at most K rows reach the
   driver).  The driver keeps the longest prefix of the ranked list that the
   sequential algorithm would also take next (the rule below), and the
-  merges are applied to ``types`` natively with ``aggregate`` over the
-  symbol array and a literal merge map.
+  merges are applied to ``types`` by a small Arrow UDF (a dict lookup per
+  adjacent symbol pair; the map holds at most K merges).
 * ``types`` is cached each round and reliably checkpointed (to the session's
   checkpoint folder) every few rounds, so lineage stays short and a lost
   executor recomputes at most a few rounds.
@@ -33,10 +33,15 @@ ranks after the rest of the prefix.
 
 from __future__ import annotations
 
+import sys
+
 from dataclasses import dataclass, field
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import CONTINUATION_PREFIX, SPECIAL_TOKENS, TARGET_VOCAB_SIZE
 from ..session import ensure_checkpoint_dir
@@ -44,6 +49,8 @@ from . import counts as cnt
 
 _SHIFT = 1 << 32
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @dataclass
 class TrainResult:
@@ -53,24 +60,41 @@ class TrainResult:
     tokens: list[str] = field(repr=False, default_factory=list)
 
 
-def _merge_key(left, right):
-    return left.cast("long") * F.lit(_SHIFT) + right.cast("long")
+def _merge_symbols(syms: list[int], merges: dict[tuple[int, int], int]) -> list[int]:
+    """Apply one round of merges left to right (a merged symbol is new, so
+    it never merges again in the same round)."""
+    out: list[int] = []
+    fresh = False
+    for s in syms:
+        if out and not fresh:
+            m = merges.get((out[-1], s))
+            if m is not None:
+                out[-1] = m
+                fresh = True
+                continue
+        out.append(s)
+        fresh = False
+    return out
 
 
 def _apply_merges(types: DataFrame, merges: dict[tuple[int, int], int]) -> DataFrame:
-    keys = [a * _SHIFT + b for (a, b) in merges]
-    vals = list(merges.values())
-    mmap = F.map_from_arrays(F.lit(keys).cast("array<bigint>"), F.lit(vals).cast("array<int>"))
+    """Rewrite every word's symbols with this round's merges (an Arrow UDF:
+    a dict lookup per adjacent pair; the merge map holds at most K pairs)."""
+    table = dict(merges)
+    lefts = {a for a, _ in table}
 
-    def step(acc, x):
-        last = F.element_at(acc, -1)
-        k = _merge_key(last, x)
-        hit = (F.size(acc) > 0) & F.map_contains_key(mmap, k)
-        return F.when(hit, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.element_at(mmap, k)))) \
-                .otherwise(F.concat(acc, F.array(x)))
+    @F.arrow_udf(T.ArrayType(T.IntegerType(), containsNull=False))
+    def merge_batch(col: pa.Array) -> pa.Array:
+        rows = col.to_pylist()
+        out = []
+        for syms in rows:
+            if syms is None or not lefts.intersection(syms):
+                out.append(syms)
+            else:
+                out.append(_merge_symbols(syms, table))
+        return pa.array(out, pa.list_(pa.int32()))
 
-    merged = F.aggregate("syms", F.array().cast("array<int>"), step)
-    return types.withColumn("syms", merged).where(F.size("syms") >= 2)
+    return types.withColumn("syms", merge_batch("syms")).where(F.size("syms") >= 2)
 
 
 def _initial_types(word_counts: DataFrame, token_to_id: dict[str, int], prefix: str) -> DataFrame:
@@ -120,7 +144,10 @@ def train_wordpiece(texts: DataFrame, text_col: str = "text", vocab_size: int =
     token_to_id = {t: i for i, t in enumerate(id_to_token)}
     assert id_to_token[: len(SPECIAL_TOKENS)] == list(SPECIAL_TOKENS)
 
-    types = _initial_types(wc, token_to_id, prefix).checkpoint(eager=True)
+    # spread word types over the cluster (a checkpoint of a small aggregate
+    # can come back as one partition, which would serialise every round)
+    parts = max(1, spark.sparkContext.defaultParallelism)
+    types = _initial_types(wc, token_to_id, prefix).repartition(parts, "word").checkpoint(eager=True)
     merges: list[tuple[int, int, int, int, int]] = []
     rounds = 0
     k = top_k
