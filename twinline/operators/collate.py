@@ -98,12 +98,18 @@ def collate_columns(d: DataFrame, src_col: str, tgt_col: str, src_pad: int, tgt_
 
 def collate(tokens: DataFrame, key_cols: list[str], batch_size: int = MICRO_BATCH, seed: int | str = 42,
             epoch: int = 0, shuffle: bool = True, src_col: str = "src_ids", tgt_col: str = "tgt_ids",
-            src_pad: int = PAD_ID, tgt_pad: int = PAD_ID, digits: int | None = None) -> DataFrame:
+            src_pad: int = PAD_ID, tgt_pad: int = PAD_ID, digits: int | None = None,
+            materialize: bool = False) -> DataFrame:
     """C4: token table -> one row per example with its batch tensors.
 
     Output: *key_cols, batch_id, pos, src_input_ids, src_pad_mask,
-    tgt_input_ids, tgt_pad_mask, tgt_outputs.
+    tgt_input_ids, tgt_pad_mask, tgt_outputs.  With ``materialize`` the
+    token table is reliably checkpointed first (use it when ``tokens`` is a
+    long plan rather than a stored dataset: the ranking reads it several
+    times).
     """
+    if materialize:
+        tokens = tokens.checkpoint(eager=True)
     if shuffle:
         b = assign_batches(shuffled_ranks(tokens, key_cols, seed, epoch, digits), batch_size)
         d = _with_batch_max_bucketed(b, batch_size, src_col, tgt_col)

@@ -84,7 +84,15 @@ def hash_rank(df: DataFrame, hash_col: str, tie_cols: list[str], digits: int,
     return out if keep_bucket else out.drop(b)
 
 
-def hash_threshold(df: DataFrame, hash_col: str, tie_cols: list[str], k: int, digits: int):
+def bucket_counts(df: DataFrame, hash_col: str, digits: int) -> list[tuple[int, int]]:
+    """Rows per hash bucket, sorted by bucket (<= 16**digits rows reach the
+    driver); their sum is the row count, so no separate count pass is needed."""
+    b = hash_bucket(F.col(hash_col), digits).alias("_b")
+    return sorted((int(r[0]), int(r[1])) for r in df.groupBy(b).count().collect())
+
+
+def hash_threshold(df: DataFrame, hash_col: str, tie_cols: list[str], k: int, digits: int,
+                   counts: list[tuple[int, int]] | None = None):
     """The k-th smallest (hash, *tie) tuple, found without sorting all rows.
 
     Per-bucket counts (<= 16**digits rows) reach the driver; only the one
@@ -95,7 +103,8 @@ def hash_threshold(df: DataFrame, hash_col: str, tie_cols: list[str], k: int, di
         return None
     b = "_ht_bucket"
     d = df.withColumn(b, hash_bucket(F.col(hash_col), digits))
-    counts = sorted((r[0], r[1]) for r in d.groupBy(b).count().collect())
+    if counts is None:
+        counts = bucket_counts(df, hash_col, digits)
     seen = 0
     for bucket, n in counts:
         if seen + n >= k:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import TEST_SHARE
-from .numbering import hash_bucket, hash_digits_for, hash_threshold, tuple_le
+from .numbering import bucket_counts, hash_bucket, hash_digits_for, hash_threshold, tuple_le
 
 
 def row_hash(seed: int | str, key_cols: list[str], epoch: int | None = None) -> Column:
@@ -39,19 +39,29 @@ def test_rows(n: int, test_share: float) -> int:
 
 def train_test_split(df: DataFrame, key_cols: list[str], test_share: float = TEST_SHARE,
                      seed: int | str = 42, split_col: str = "split",
-                     n_rows: int | None = None) -> DataFrame:
+                     n_rows: int | None = None, materialize: bool = False,
+                     digits: int | None = None) -> DataFrame:
     """Mark exactly ceil(test_share * n) rows 'test', the rest 'train'.
 
-    Test rows are the smallest by (md5(seed:key), key).  One count, one
-    bucket histogram (<= 16**digits rows) and one ranked bucket reach the
-    driver; the data itself is only filtered.
+    Test rows are the smallest by (md5(seed:key), key).  One bucket
+    histogram (<= 16**digits rows; its sum is n) and one ranked bucket reach
+    the driver; the data itself is only filtered.  With ``materialize`` the
+    keyed input is reliably checkpointed first, so an expensive upstream plan
+    runs once instead of once per pass.
     """
     h = "_split_hash"
     d = df.withColumn(h, row_hash(seed, key_cols))
-    n = d.count() if n_rows is None else n_rows
+    if materialize:
+        d = d.checkpoint(eager=True)
+    if digits is None:
+        digits = hash_digits_for(n_rows if n_rows is not None else 1 << 20)
+    hist = bucket_counts(d, h, digits)
+    n = sum(c for _, c in hist)
+    if n_rows is None and hash_digits_for(n) != digits:
+        digits = hash_digits_for(n)
+        hist = bucket_counts(d, h, digits)
     k = test_rows(n, test_share)
-    digits = hash_digits_for(n)
-    found = hash_threshold(d, h, key_cols, k, digits)
+    found = hash_threshold(d, h, key_cols, k, digits, hist)
     if found is None:
         is_test = F.lit(False)
     else:

@@ -26,7 +26,7 @@ def build_pairs(spark: SparkSession, root: str, test_share: float = TEST_SHARE,
     src = files.read_corpus_lines(spark, found, "src")
     tgt = files.read_corpus_lines(spark, found, "tgt")
     pairs = align.positional_zip(src, tgt, "english", "french", mode)
-    out = split.train_test_split(pairs, ["corpus", "line_no"], test_share, seed)
+    out = split.train_test_split(pairs, ["corpus", "line_no"], test_share, seed, materialize=True)
     if save_to:
         store.write_dataset(out, save_to)
     return out
@@ -37,7 +37,7 @@ def build_pairs_from_documents(docs: DataFrame, test_share: float = TEST_SHARE,
     """C1 over a documents table: line table, zip, split."""
     lines = align.corpus_lines(docs)
     pairs = align.language_pairs(lines, src_lang, tgt_lang, "english", "french", mode)
-    return split.train_test_split(pairs, ["corpus", "line_no"], test_share, seed)
+    return split.train_test_split(pairs, ["corpus", "line_no"], test_share, seed, materialize=True)
 
 
 def train_vocab(texts: DataFrame, text_col: str = "text", vocab_size: int = TARGET_VOCAB_SIZE,
