@@ -17,12 +17,21 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Text work is CPU-bound per row.  A scan that yields fewer partitions
+    than the cluster has cores (a small file with few row groups) is spread
+    round-robin; at scale, input splits far outnumber cores and this is a
+    no-op.  Filters and column pruning still reach the scan."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
-    return table(spark, sf_dir, "documents", *(cols or ("doc_id", "text", "lang", "source")))
+    return spread(table(spark, sf_dir, "documents", *(cols or ("doc_id", "text", "lang", "source"))))
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return spread(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
 
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
