@@ -89,3 +89,19 @@ def test_matches_public_tokenizers_library(spark):
 
 def test_vocab_broadcast_bound():
     assert wp.MAX_BROADCAST_VOCAB >= 32000
+
+
+def test_encode_list_matches_per_text(spark):
+    v = _vocab(["a", "b", "ab", "##b", "le", "."])
+    df = spark.createDataFrame([(0, ["ab le.", "", "a b"]), (1, []), (2, None), (3, ["zz"])],
+                               "k long, texts array<string>")
+    got = {r["k"]: r["ids"] for r in wp.encode_list(df, "texts", v).collect()}
+    each = {t: i for t, i in zip(["ab le.", "", "a b", "zz"],
+                                 _enc(spark, v, ["ab le.", "", "a b", "zz"]))}
+    assert got[0] == [each["ab le."], each[""], each["a b"]]
+    assert got[1] == [] and got[2] is None and got[3] == [each["zz"]]
+
+
+def test_encode_rejects_non_columns(spark):
+    with pytest.raises(TypeError):
+        wp.encode_target("plain string", _vocab(["a"]), spark)

@@ -211,6 +211,8 @@ def encode(text: Column, vocab: Vocabulary, spark, profile: Profile = TARGET,
     result including both specials is at most ``max_length``.  Null text
     gives null ids.
     """
+    if not isinstance(text, Column):
+        raise TypeError(f"encode expects a Column of strings, got {type(text).__name__}")
     ids = wordpiece_ids(profile.words(text), vocab, spark, profile.unk)
     if truncate:
         ids = truncate_right(ids, max_length - 2)
@@ -226,3 +228,24 @@ def encode_target(text: Column, vocab: Vocabulary, spark, truncate: bool = False
 def encode_source(text: Column, vocab: Vocabulary, spark, max_length: int = MAX_LENGTH) -> Column:
     """The source side is always truncated to ``max_length`` incl. specials."""
     return encode(text, vocab, spark, SOURCE, True, max_length)
+
+
+def encode_list(df: DataFrame, texts_col: str, vocab: Vocabulary, out_col: str = "ids",
+                truncate: bool = False, max_length: int = MAX_LENGTH) -> DataFrame:
+    """X9 on an ``array<string>`` column (the reference's list input):
+    ``out_col`` gets one id list per element, in element order.
+
+    Elements are exploded with their position under a per-row key, encoded
+    like any text column, and regrouped by that key (a group holds one row's
+    list, so it is bounded by the list length)."""
+    spark = df.sparkSession
+    keyed = df.withColumn("_row", F.monotonically_increasing_id())
+    ex = keyed.select("_row", F.posexplode_outer(texts_col).alias("_pos", "_text"))
+    enc = ex.select("_row", "_pos", F.when(F.col("_pos").isNotNull(),
+                                           encode_target(F.col("_text"), vocab, spark, truncate, max_length)
+                                           ).alias("_ids"))
+    grouped = enc.groupBy("_row").agg(
+        F.sort_array(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_ids")))).alias("_s"))
+    return (keyed.join(grouped, "_row")
+            .withColumn(out_col, F.when(F.col(texts_col).isNotNull(), F.col("_s._ids")))
+            .drop("_row", "_s"))

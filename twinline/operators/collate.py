@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..constants import MICRO_BATCH, PAD_ID
 from ..functions import arrays as ax
+from ..session import ensure_checkpoint_dir
 from .numbering import hash_digits_for, hash_rank, prefix_offsets
 from .split import epoch_order_key
 
@@ -109,6 +110,7 @@ def collate(tokens: DataFrame, key_cols: list[str], batch_size: int = MICRO_BATC
     times).
     """
     if materialize:
+        ensure_checkpoint_dir(tokens.sparkSession)
         tokens = tokens.checkpoint(eager=True)
     if shuffle:
         b = assign_batches(shuffled_ranks(tokens, key_cols, seed, epoch, digits), batch_size)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import TEST_SHARE
+from ..session import ensure_checkpoint_dir
 from .numbering import bucket_counts, hash_bucket, hash_digits_for, hash_threshold, tuple_le
 
 
@@ -52,6 +53,7 @@ def train_test_split(df: DataFrame, key_cols: list[str], test_share: float = TES
     h = "_split_hash"
     d = df.withColumn(h, row_hash(seed, key_cols))
     if materialize:
+        ensure_checkpoint_dir(d.sparkSession)
         d = d.checkpoint(eager=True)
     if digits is None:
         digits = hash_digits_for(n_rows if n_rows is not None else 1 << 20)

@@ -37,8 +37,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared file system and is used as is.
-    Only when it is unset (tests, a laptop) a fresh scratch folder is made.
+    On a cluster the setting names a shared file system and is used as is
+    (and must be set).  Only in local mode, when it is unset (tests, a
+    laptop), a fresh scratch folder is made.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: checkpoints must survive executors")
         configured = tempfile.mkdtemp(prefix="twinline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
