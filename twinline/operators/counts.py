@@ -117,3 +117,11 @@ def best_pairs(pairs: DataFrame, k: int) -> DataFrame:
 def vocab_size(vocab: DataFrame) -> DataFrame:
     """A6."""
     return vocab.agg(F.count(F.lit(1)).alias("vocab_size"))
+
+
+def token_to_id(df: DataFrame, token_col: str, vocab: DataFrame, out_col: str = "id") -> DataFrame:
+    """J2 on a table of tokens: left join with the vocabulary (a model whose
+    size is bounded by the vocabulary-size parameter, hence broadcast).
+    Unknown tokens get a null id."""
+    v = vocab.select(F.col("token").alias(token_col), F.col("id").alias(out_col))
+    return df.join(F.broadcast(v), token_col, "left")

@@ -46,6 +46,28 @@ def train_vocab(texts: DataFrame, text_col: str = "text", vocab_size: int = TARG
     return train_wordpiece(texts, text_col, vocab_size, **kwargs)
 
 
+def train_vocab_from_files(spark: SparkSession, root: str, vocab_size: int = TARGET_VOCAB_SIZE,
+                           suffix: str = ".fr", save_to: str | None = None, **kwargs) -> TrainResult:
+    """C2 end to end: every ``suffix`` file one directory below ``root``,
+    line by line, into a trained vocabulary (optionally saved, S6)."""
+    lines = spark.read.text(files.glob_lang_files(root, suffix)).withColumnRenamed("value", "text")
+    res = train_wordpiece(lines, "text", vocab_size, **kwargs)
+    if save_to:
+        store.write_vocab(res.vocab, save_to, res.merges)
+    return res
+
+
+def tokenize_saved(spark: SparkSession, raw_path: str, save_to: str, src_vocab: wp.Vocabulary,
+                   tgt_vocab: wp.Vocabulary, max_length: int = MAX_LENGTH,
+                   min_length: int = MIN_TARGET_LENGTH, truncate: bool = False) -> DataFrame:
+    """C3 end to end: load a saved pair dataset (S5), encode, filter, save
+    the token dataset partitioned by split (S4); returns the saved table."""
+    pairs = store.read_dataset(spark, raw_path, store.RAW_SCHEMA)
+    tok = tokenize_pairs(pairs, src_vocab, tgt_vocab, max_length, min_length, truncate)
+    store.write_dataset(tok, save_to)
+    return store.read_dataset(spark, save_to)
+
+
 def frequency_vocab(texts: DataFrame, k: int, text_col: str = "text") -> DataFrame:
     """SQL-expressible vocabulary: alphabet plus the top-k words."""
     return counts.vocab_freq(counts.word_counts(texts, text_col), k)
