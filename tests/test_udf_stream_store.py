@@ -56,3 +56,15 @@ def test_dataset_and_vocab_round_trip(spark, tmp_path):
     store.append_metrics(spark.createDataFrame([(0, 1.5)], "step long, loss double"), str(tmp_path / "m"))
     store.append_metrics(spark.createDataFrame([(1, 1.2)], "step long, loss double"), str(tmp_path / "m"))
     assert spark.read.parquet(str(tmp_path / "m")).count() == 2
+
+
+def test_bert_style_source_vocab(spark, tmp_path):
+    p = tmp_path / "vocab.txt"
+    toks = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "hello", "world", "!", "wo", "##rld", "cafe"]
+    p.write_text("\n".join(toks) + "\n")
+    vdf = store.read_vocab_lines(spark, str(p))
+    assert sorted((r["id"], r["token"]) for r in vdf.collect()) == list(enumerate(toks))
+    v = wp.Vocabulary.from_df(vdf)
+    df = spark.createDataFrame([("Hello, World! Café",)], "t string")
+    ids = df.select(wp.encode(F.col("t"), v, spark, wp.BERT_SOURCE, True, 512)).first()[0]
+    assert ids == [2, 4, 1, 5, 6, 9, 3]

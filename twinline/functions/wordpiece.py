@@ -184,6 +184,8 @@ class Profile:
 
 TARGET = Profile("target")
 SOURCE = Profile("source")
+# FIXED VALUES: special tokens of pretrained uncased WordPiece vocabularies
+BERT_SOURCE = Profile("source", bos="[CLS]", eos="[SEP]", pad="[PAD]", unk="[UNK]")
 
 
 def wordpiece_ids(word_array: Column, vocab: Vocabulary, spark, unk: str = UNK) -> Column:

@@ -7,6 +7,7 @@ partitions; schemas are declared on read instead of inferred.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 IDS = T.ArrayType(T.IntegerType(), containsNull=False)
@@ -69,3 +70,10 @@ def read_merges(spark: SparkSession, path: str) -> DataFrame:
 def append_metrics(metrics: DataFrame, path: str) -> None:
     """Add metric rows (one per step) to a log table."""
     metrics.write.mode("append").parquet(path)
+
+
+def read_vocab_lines(spark: SparkSession, path: str) -> DataFrame:
+    """A one-token-per-line vocabulary file (the usual ``vocab.txt`` of
+    pretrained WordPiece models): id = 0-based line number (W1 on files)."""
+    from .files import read_lines
+    return read_lines(spark, path).select(F.col("text").alias("token"), F.col("line_no").cast("int").alias("id"))
