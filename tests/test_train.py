@@ -18,6 +18,7 @@ def test_fixture_corpus(spark, v, size):
     assert len(r.tokens) == size
     assert r.tokens == sequential_wordpiece(wc, v)
     assert r.vocab.count() == size
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"  # restored after the loop
 
 
 def test_random_corpora(spark):

@@ -182,9 +182,3 @@ def source_normalize(c: Column | str) -> Column:
 def source_words(c: Column | str) -> Column:
     """Source-profile words: whitespace split, each punctuation char alone."""
     return F.regexp_extract_all(source_normalize(c), F.lit(SOURCE_PRE_TOKENIZE_PATTERN), F.lit(0))
-
-
-def split_lines(c: Column | str) -> Column:
-    """Lines of a text the way Spark's line reader splits files:
-    on \\r\\n, \\r or \\n; empty lines are kept."""
-    return F.split(_col(c), r"\r\n|\r|\n", -1)

@@ -21,6 +21,8 @@ Spark shape
 * ``types`` is cached each round and reliably checkpointed (to the session's
   checkpoint folder) every few rounds, so lineage stays short and a lost
   executor recomputes at most a few rounds.
+* Adaptive query execution is paused during the loop (restored afterwards):
+  a round is a tiny aggregation and re-planning it costs ~15 % of its time.
 
 Prefix rule (exact): a pair (c, d) may follow the already chosen pairs of a
 round only if for every chosen (a, b): d != a and c != b.  A pair whose two
@@ -34,7 +36,7 @@ ranks after the rest of the prefix.
 from __future__ import annotations
 
 import sys
-
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -47,8 +49,6 @@ from ..constants import CONTINUATION_PREFIX, SPECIAL_TOKENS, TARGET_VOCAB_SIZE
 from ..session import ensure_checkpoint_dir
 from . import counts as cnt
 
-_SHIFT = 1 << 32
-
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
@@ -107,6 +107,23 @@ def _initial_types(word_counts: DataFrame, token_to_id: dict[str, int], prefix:
             .where(F.size("syms") >= 2))
 
 
+@contextmanager
+def _conf(spark, key: str, value: str | None):
+    """Temporarily set one session setting (``None`` leaves it alone)."""
+    if value is None:
+        yield
+        return
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def choose_prefix(ranked: list[tuple[int, int, int]], id_to_token: list[str],
                   token_to_id: dict[str, int], prefix: str) -> list[tuple[int, int, int, str]]:
     """Longest prefix of ``ranked`` (left, right, count) that sequential
@@ -132,7 +149,8 @@ def choose_prefix(ranked: list[tuple[int, int, int]], id_to_token: list[str],
 
 def train_wordpiece(texts: DataFrame, text_col: str = "text", vocab_size: int = TARGET_VOCAB_SIZE,
                     top_k: int = 64, max_top_k: int = 4096, checkpoint_every: int = 10,
-                    prefix: str = CONTINUATION_PREFIX, max_rounds: int | None = None) -> TrainResult:
+                    prefix: str = CONTINUATION_PREFIX, max_rounds: int | None = None,
+                    adaptive: bool = False) -> TrainResult:
     """A5: learn a vocabulary of at most ``vocab_size`` tokens (the alphabet
     is always kept whole, so the result can be larger when V is tiny)."""
     spark = texts.sparkSession
@@ -150,45 +168,49 @@ def train_wordpiece(texts: DataFrame, text_col: str = "text", vocab_size: int =
     types = _initial_types(wc, token_to_id, prefix).repartition(parts, "word").checkpoint(eager=True)
     merges: list[tuple[int, int, int, int, int]] = []
     rounds = 0
-    k = top_k
-    release: DataFrame | None = None   # previous cached round, freed once its successor is built
-    while len(id_to_token) < vocab_size and (max_rounds is None or rounds < max_rounds):
-        ranked = [(int(r["left_id"]), int(r["right_id"]), int(r["count"]))
-                  for r in cnt.best_pairs(cnt.pair_counts(types), k).collect()]
-        if release is not None:
-            release.unpersist()
-            release = None
-        if not ranked:
-            break
-        rounds += 1
-        chosen = choose_prefix(ranked, id_to_token, token_to_id, prefix)
-        applied: dict[tuple[int, int], int] = {}
-        for a, b, c, joined in chosen:
-            if len(id_to_token) >= vocab_size:
+    # Each round is a tiny aggregation job; adaptive re-planning only adds
+    # latency there, so it is switched off for the loop (and restored).
+    # Do not share the session with concurrent jobs while training.
+    with _conf(spark, "spark.sql.adaptive.enabled", None if adaptive else "false"):
+        k = top_k
+        release: DataFrame | None = None   # previous cached round, freed once its successor is built
+        while len(id_to_token) < vocab_size and (max_rounds is None or rounds < max_rounds):
+            ranked = [(int(r["left_id"]), int(r["right_id"]), int(r["count"]))
+                      for r in cnt.best_pairs(cnt.pair_counts(types), k).collect()]
+            if release is not None:
+                release.unpersist()
+                release = None
+            if not ranked:
                 break
-            new_id = token_to_id.get(joined)
-            if new_id is None:
-                new_id = len(id_to_token)
-                id_to_token.append(joined)
-                token_to_id[joined] = new_id
-            applied[(a, b)] = new_id
-            merges.append((len(merges), a, b, new_id, c))
-        if not applied:
-            break
-        # widen the candidate list while whole lists are usable
-        if len(chosen) == len(ranked):
-            k = min(max_top_k, k * 2)
-        nxt = _apply_merges(types, applied)
-        if rounds % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)   # reliable: cuts lineage
-            if types.is_cached:
-                types.unpersist()
-        else:
-            nxt = nxt.cache()
-            release = types if types.is_cached else None
-        types = nxt
-    if types.is_cached:
-        types.unpersist()
+            rounds += 1
+            chosen = choose_prefix(ranked, id_to_token, token_to_id, prefix)
+            applied: dict[tuple[int, int], int] = {}
+            for a, b, c, joined in chosen:
+                if len(id_to_token) >= vocab_size:
+                    break
+                new_id = token_to_id.get(joined)
+                if new_id is None:
+                    new_id = len(id_to_token)
+                    id_to_token.append(joined)
+                    token_to_id[joined] = new_id
+                applied[(a, b)] = new_id
+                merges.append((len(merges), a, b, new_id, c))
+            if not applied:
+                break
+            # widen the candidate list while whole lists are usable
+            if len(chosen) == len(ranked):
+                k = min(max_top_k, k * 2)
+            nxt = _apply_merges(types, applied)
+            if rounds % checkpoint_every == 0:
+                nxt = nxt.checkpoint(eager=True)   # reliable: cuts lineage
+                if types.is_cached:
+                    types.unpersist()
+            else:
+                nxt = nxt.cache()
+                release = types if types.is_cached else None
+            types = nxt
+        if types.is_cached:
+            types.unpersist()
     vocab = spark.createDataFrame([(t, i) for i, t in enumerate(id_to_token)], "token string, id int")
     merges_df = spark.createDataFrame(merges, "rank int, left_id int, right_id int, new_id int, count long")
     return TrainResult(vocab=vocab, merges=merges_df, rounds=rounds, tokens=id_to_token)
