@@ -87,9 +87,16 @@ def _preds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.prediction_table(tables.embeddings(spark, sf_dir))
 
 
+def _fr_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The French side as text.  Words never cross a line break, so counting
+    words over documents equals counting them over their lines (no line
+    numbering needed)."""
+    return _docs(spark, sf_dir).where(F.col("lang") == "fr")
+
+
 def _fr_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = align.corpus_lines(_docs(spark, sf_dir)).where(F.col("lang") == "fr")
-    return counts.word_counts(lines)
+    ensure_checkpoint_dir(spark)
+    return counts.word_counts(_fr_texts(spark, sf_dir)).checkpoint(eager=True)
 
 
 # ------------------------------------------------------------------ queries
@@ -262,8 +269,7 @@ def q_strip_specials(spark, sf_dir):
 
 
 def q_train_wordpiece(spark, sf_dir):
-    lines = align.corpus_lines(_docs(spark, sf_dir)).where(F.col("lang") == "fr")
-    return train_wordpiece(lines, vocab_size=TRAIN_VOCAB_SIZE).vocab
+    return train_wordpiece(_fr_texts(spark, sf_dir), vocab_size=TRAIN_VOCAB_SIZE).vocab
 
 
 def q_flagship(spark, sf_dir):

@@ -25,12 +25,15 @@ from .split import epoch_order_key
 
 
 def shuffled_ranks(df: DataFrame, key_cols: list[str], seed: int | str, epoch: int,
-                   digits: int | None = None, n_rows: int | None = None) -> DataFrame:
-    """T1 + global rank: adds ``rank`` (1-based) and ``_hr_bucket``."""
+                   digits: int | None = None, n_rows: int | None = None, with_offsets: bool = False):
+    """T1 + global rank: adds ``rank`` (1-based) and ``_hr_bucket``
+    (and returns the per-bucket offset table when asked)."""
     if digits is None:
         digits = hash_digits_for(n_rows if n_rows is not None else df.count())
     d = df.withColumn("_order", epoch_order_key(seed, key_cols, epoch))
-    return hash_rank(d, "_order", key_cols, digits, keep_bucket=True).drop("_order")
+    ranked, offsets = hash_rank(d, "_order", key_cols, digits, keep_bucket=True, with_offsets=True)
+    ranked = ranked.drop("_order")
+    return (ranked, offsets) if with_offsets else ranked
 
 
 def ordered_ranks(df: DataFrame, group_col: str, order_col: str) -> DataFrame:
@@ -59,15 +62,16 @@ def batch_max_len(batched: DataFrame, src_col: str = "src_ids", tgt_col: str = "
                                            F.max(F.size(tgt_col)).alias("tgt_max_len"))
 
 
-def _with_batch_max_bucketed(b: DataFrame, batch_size: int, src_col: str, tgt_col: str) -> DataFrame:
+def _with_batch_max_bucketed(b: DataFrame, offsets: DataFrame, batch_size: int, src_col: str,
+                             tgt_col: str) -> DataFrame:
     w = Window.partitionBy("_hr_bucket", "batch_id")
     d = (b.withColumn("_smax", F.max(F.size(src_col)).over(w))
          .withColumn("_tmax", F.max(F.size(tgt_col)).over(w)))
-    # Batches cut by a bucket boundary: found from the per-bucket first ranks
-    # (one row per bucket), then only their rows are re-aggregated.
-    firsts = b.groupBy("_hr_bucket").agg(F.min("rank").alias("_first"))
-    straddle = (firsts.where(((F.col("_first") - 1) % batch_size) != 0)
-                .select(F.floor((F.col("_first") - 1) / batch_size).cast("long").alias("batch_id")))
+    # Batches cut by a bucket boundary: a bucket whose first rank (offset+1)
+    # is not a batch start.  Known from the offset table (one row per
+    # bucket); only the rows of those batches are re-aggregated.
+    straddle = (offsets.where((F.col("_hr_off") % batch_size) != 0)
+                .select(F.floor(F.col("_hr_off") / batch_size).cast("long").alias("batch_id")))
     fix = (b.join(F.broadcast(straddle), "batch_id")
            .groupBy("batch_id").agg(F.max(F.size(src_col)).alias("_fs"), F.max(F.size(tgt_col)).alias("_ft")))
     return (d.join(F.broadcast(fix), "batch_id", "left")
@@ -113,8 +117,9 @@ def collate(tokens: DataFrame, key_cols: list[str], batch_size: int = MICRO_BATC
         ensure_checkpoint_dir(tokens.sparkSession)
         tokens = tokens.checkpoint(eager=True)
     if shuffle:
-        b = assign_batches(shuffled_ranks(tokens, key_cols, seed, epoch, digits), batch_size)
-        d = _with_batch_max_bucketed(b, batch_size, src_col, tgt_col)
+        ranked, offsets = shuffled_ranks(tokens, key_cols, seed, epoch, digits, with_offsets=True)
+        b = assign_batches(ranked, batch_size)
+        d = _with_batch_max_bucketed(b, offsets, batch_size, src_col, tgt_col)
     else:
         if len(key_cols) != 2:
             raise ValueError("unshuffled order needs (group, order) key columns")

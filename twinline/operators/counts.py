@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..constants import CONTINUATION_PREFIX, SPECIAL_TOKENS
 from ..functions import text as tx
+from ..session import ensure_checkpoint_dir
 
 
 def word_counts(df: DataFrame, text_col: str = "text", by: list[str] | None = None) -> DataFrame:
@@ -43,12 +44,15 @@ def symbols(word: Column, prefix: str = CONTINUATION_PREFIX) -> Column:
 
 def alphabet(counts: DataFrame, prefix: str = CONTINUATION_PREFIX) -> DataFrame:
     """A3: every distinct character (kind 'char') plus a continuation form
-    for each character seen in a non-initial position (kind 'cont')."""
-    e = counts.select(F.posexplode(chars(F.col("word"))).alias("pos", "ch"))
-    plain = e.select(F.col("ch").alias("token"), F.col("ch").alias("ch"), F.lit("char").alias("kind"))
-    cont = e.where(F.col("pos") > 0).select(F.concat(F.lit(prefix), F.col("ch")).alias("token"),
-                                            F.col("ch").alias("ch"), F.lit("cont").alias("kind"))
-    return plain.unionByName(cont).distinct()
+    for each character seen in a non-initial position (kind 'cont').
+    One pass: distinct (character, non-initial?) pairs, then expanded."""
+    e = (counts.select(F.posexplode(chars(F.col("word"))).alias("pos", "ch"))
+         .select("ch", (F.col("pos") > 0).alias("later")).distinct())
+    kinds = F.when(F.col("later"), F.array(F.lit("char"), F.lit("cont"))).otherwise(F.array(F.lit("char")))
+    return (e.select("ch", F.explode(kinds).alias("kind"))
+            .select(F.when(F.col("kind") == "cont", F.concat(F.lit(prefix), F.col("ch"))).otherwise(F.col("ch"))
+                    .alias("token"), "ch", "kind")
+            .distinct())
 
 
 def _vocab_rows(counts: DataFrame, prefix: str) -> DataFrame:
@@ -74,11 +78,17 @@ def initial_vocab(counts: DataFrame, prefix: str = CONTINUATION_PREFIX) -> DataF
     return _number(_vocab_rows(counts, prefix))
 
 
-def vocab_freq(counts: DataFrame, k: int, prefix: str = CONTINUATION_PREFIX) -> DataFrame:
+def vocab_freq(counts: DataFrame, k: int, prefix: str = CONTINUATION_PREFIX,
+               materialize: bool = True) -> DataFrame:
     """Frequency vocabulary: the initial vocabulary, then the top-k words of
     two or more characters by (count desc, word asc), minus those that are
     already a token (e.g. the word ``###`` is the continuation form of ``#``).
-    Total words over all groups are used."""
+    Total words over all groups are used.  The counts feed three branches,
+    so with ``materialize`` they are reliably checkpointed once (a table of
+    distinct words) instead of being recomputed from the text per branch."""
+    if materialize:
+        ensure_checkpoint_dir(counts.sparkSession)
+        counts = counts.checkpoint(eager=True)
     base = _vocab_rows(counts, prefix)
     totals = counts.groupBy("word").agg(F.sum("count").alias("count"))
     top = totals.where(F.length("word") >= 2).orderBy(F.col("count").desc(), "word").limit(k)

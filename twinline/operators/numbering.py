@@ -60,12 +60,13 @@ def hash_bucket(hash_col: Column, digits: int) -> Column:
 
 
 def hash_rank(df: DataFrame, hash_col: str, tie_cols: list[str], digits: int,
-              out_col: str = "rank", keep_bucket: bool = False) -> DataFrame:
+              out_col: str = "rank", keep_bucket: bool = False, with_offsets: bool = False):
     """Add a 1-based global rank ordered by (hash_col, *tie_cols).
 
     With ``keep_bucket`` the bucket column ``_hr_bucket`` is kept: the
     result is hash-partitioned by it, so later windows keyed by
-    (bucket, ...) need no new exchange.
+    (bucket, ...) need no new exchange.  With ``with_offsets`` the small
+    per-bucket offset table is returned too.
     """
     if digits > MAX_HASH_DIGITS:
         raise ValueError(f"digits must be <= {MAX_HASH_DIGITS}")
@@ -81,7 +82,9 @@ def hash_rank(df: DataFrame, hash_col: str, tie_cols: list[str], digits: int,
            .join(F.broadcast(offsets), b)
            .withColumn(out_col, (F.col("_hr_off") + F.col("_hr_rn")).cast("long"))
            .drop("_hr_rn", "_hr_off"))
-    return out if keep_bucket else out.drop(b)
+    out = out if keep_bucket else out.drop(b)
+    # offsets: (_hr_bucket, _hr_off) -- rows before each bucket; bounded table
+    return (out, offsets) if with_offsets else out
 
 
 def bucket_counts(df: DataFrame, hash_col: str, digits: int) -> list[tuple[int, int]]:
