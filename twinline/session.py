@@ -26,6 +26,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # delete checkpoint files once their DataFrame is unreachable (the
+        # trainer checkpoints every few rounds)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("TWINLINE_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
