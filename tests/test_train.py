@@ -23,7 +23,7 @@ def test_fixture_corpus(spark, v, size):
 
 def test_random_corpora(spark):
     rnd = random.Random(11)
-    for trial in range(3):
+    for trial in range(6):
         words = ["".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 7))) for _ in range(60)]
         lines = [" ".join(rnd.choice(words) for _ in range(12)) for _ in range(20)]
         df = spark.createDataFrame([(l,) for l in lines], "text string")
@@ -40,6 +40,9 @@ def test_prefix_rule():
     ranked = [(4, 8, 10), (6, 7, 9), (8, 9, 8), (5, 9, 7)]
     got = choose_prefix(ranked, toks, t2i, "##")
     assert [(a, b) for a, b, _, _ in got] == [(4, 8), (6, 7)]
-    # equal halves only alone
+    # equal halves end the round: first or last, never followed
     assert len(choose_prefix([(7, 7, 5), (4, 8, 4)], toks, t2i, "##")) == 1
-    assert len(choose_prefix([(4, 8, 5), (7, 7, 4)], toks, t2i, "##")) == 1
+    assert [(a, b) for a, b, _, _ in choose_prefix([(4, 8, 5), (7, 7, 4), (5, 9, 3)], toks, t2i, "##")] == \
+        [(4, 8), (7, 7)]
+    # ... unless it interferes with an earlier pair
+    assert len(choose_prefix([(4, 7, 5), (7, 7, 4)], toks, t2i, "##")) == 1

@@ -26,8 +26,9 @@ Spark shape
 
 Prefix rule (exact): a pair (c, d) may follow the already chosen pairs of a
 round only if for every chosen (a, b): d != a and c != b.  A pair whose two
-halves are equal, or whose joined token already exists, is only taken as
-the first pair and ends its round.  Chosen merges then leave each other's
+halves are equal, or whose joined token already exists, ends its round (it
+may be the last pair of a prefix: pairs its merge creates could outrank a
+later candidate, but nothing follows it).  Chosen merges then leave each other's
 counts unchanged, and every pair created by a merge involves a new token
 with a larger id and a count no larger than the pair it came from, so it
 ranks after the rest of the prefix.
@@ -136,7 +137,7 @@ def choose_prefix(ranked: list[tuple[int, int, int]], id_to_token: list[str],
         joined = id_to_token[a] + (id_to_token[b][len(prefix):] if id_to_token[b].startswith(prefix)
                                    else id_to_token[b])
         solo = a == b or joined in token_to_id or joined in made
-        if chosen and (solo or b in lefts or a in rights):
+        if chosen and (b in lefts or a in rights):
             break
         chosen.append((a, b, c, joined))
         lefts.add(a)
