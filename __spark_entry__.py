@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinline.constants import EOS_ID, EVALUATION_STEPS, GRAD_ACCUMULATION, MAX_LENGTH, MICRO_BATCH, PAD_ID
+from twinline.constants import EOS_ID, EVALUATION_STEPS, GRAD_ACCUMULATION, MAX_LENGTH, MICRO_BATCH
 from twinline.functions import arrays as ax
 from twinline.functions import decode as dec
 from twinline.functions import wordpiece as wp
