@@ -153,6 +153,16 @@ def q_turn_pairs(spark, sf_dir):
     return align.turn_pairs(tables.conversations(spark, sf_dir))
 
 
+def q_tokenize_turns(spark, sf_dir):
+    """C3 on the second source->target table: user turn -> assistant turn."""
+    v = _vocab(spark, sf_dir)
+    tp = align.turn_pairs(tables.conversations(spark, sf_dir))
+    tok = tp.select("conv_id", "turn",
+                    wp.encode_source(F.col("source_text"), v, spark).alias("src_ids"),
+                    wp.encode_target(F.col("target_text"), v, spark).alias("tgt_ids"))
+    return filters.min_target_length(tok)
+
+
 def q_concat_corpora(spark, sf_dir):
     lines = align.corpus_lines(_docs(spark, sf_dir))
     parts = [align.language_pairs(lines.where(F.col("corpus") == c)) for c in ("src0", "src1")]
@@ -287,6 +297,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_lines": q_corpus_lines,
     "pairs": q_pairs,
     "turn_pairs": q_turn_pairs,
+    "tokenize_turns": q_tokenize_turns,
     "concat_corpora": q_concat_corpora,
     "train_test_split": q_train_test_split,
     "dataset_summary": q_dataset_summary,

@@ -235,6 +235,17 @@ ORACLE: dict[str, str] = {
     "turn_pairs": """SELECT u.conv_id, u.turn, u.text AS source_text, a.text AS target_text
         FROM conversations u JOIN conversations a
           ON u.conv_id = a.conv_id AND a.turn = u.turn + 1 AND u.role = 'user' AND a.role = 'assistant'""",
+    "tokenize_turns": _with(VOCAB + """,
+turns AS (
+  SELECT u.conv_id, u.turn, u.text AS source_text, a.text AS target_text
+  FROM conversations u JOIN conversations a
+    ON u.conv_id = a.conv_id AND a.turn = u.turn + 1 AND u.role = 'user' AND a.role = 'assistant'
+),""" + encode_rows("ts", "SELECT conv_id, turn, source_text FROM turns", "conv_id, turn",
+                    src_tok("source_text"), 510) + "," +
+                           encode_rows("tt", "SELECT conv_id, turn, target_text FROM turns", "conv_id, turn",
+                                       tok("target_text"), None),
+                           """SELECT s.conv_id, s.turn, s.ids AS src_ids, t.ids AS tgt_ids
+        FROM ts s JOIN tt t USING (conv_id, turn) WHERE len(t.ids) > 5"""),
     "concat_corpora": _with(CORPUS_LINES, "SELECT corpus, line_no, english, french FROM pairs"),
     "train_test_split": _with(CORPUS_LINES, "SELECT corpus, line_no, split FROM split_pairs"),
     "dataset_summary": _with(CORPUS_LINES,
