@@ -4,7 +4,7 @@ Pre-tokenisation and every array step run natively; only the greedy
 longest-match split of each *distinct* word runs in Python, inside an Arrow
 UDF that works on whole column batches.  The vocabulary is a small model
 artefact (bounded by the vocabulary-size parameter, size-checked before it
-is broadcast); each Python worker memoises word -> ids.
+is broadcast); word -> ids is memoised for the life of a task.
 """
 
 from __future__ import annotations
@@ -105,7 +105,7 @@ class Vocabulary:
 def _wordpiece_udf(bc, unk_id: int, prefix: str, max_chars: int):
     """Arrow UDF: array<string> words -> array<int> piece ids (no specials)."""
     specials = {t for t in SPECIAL_TOKENS}
-    memo_key = uuid.uuid4().hex  # one memo per vocabulary per Python worker
+    memo_key = uuid.uuid4().hex  # one memo per vocabulary (per deserialised UDF, i.e. per task)
 
     @F.arrow_udf(T.ArrayType(T.IntegerType(), containsNull=False))
     def encode_words(words: pa.Array) -> pa.Array:
