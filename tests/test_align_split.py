@@ -104,3 +104,21 @@ def test_files_discover_and_read_lines(spark, tmp_path):
         files.discover_pairs(spark, str(root))
     assert files.glob_lang_files(str(root)).endswith("/*/*.fr")
     assert os.path.isdir(root)
+
+
+def test_read_lines_gzip_and_plain_mix(spark, tmp_path):
+    import gzip
+    d = tmp_path / "c"
+    d.mkdir()
+    with gzip.open(d / "a.txt.gz", "wt") as fh:
+        fh.write("".join(f"g{i}\n" for i in range(2500)))
+    (d / "b.txt").write_text("".join(f"p{i}\n" for i in range(2500)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        lines = files.read_lines(spark, [str(d / "a.txt.gz"), str(d / "b.txt")])
+        got = {(r["file_path"].rsplit("/", 1)[-1], r["line_no"]): r["text"] for r in lines.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(got) == 5000
+    assert all(got[("a.txt.gz", i)] == f"g{i}" and got[("b.txt", i)] == f"p{i}" for i in range(2500))
