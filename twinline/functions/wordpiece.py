@@ -41,19 +41,28 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # A vocabulary is a model, not data: refuse to broadcast one beyond this.
 MAX_BROADCAST_VOCAB = 2_000_000
 _MEMO_LIMIT = 500_000
+_LONGEST = ("longest piece",)  # memo slot for the vocabulary's longest piece (not a string, so never a word)
+
+
+def longest_piece(vocab: dict[str, int], prefix: str = CONTINUATION_PREFIX) -> int:
+    """Characters of the longest piece a vocabulary can match (a continuation
+    token's prefix not counted): no match can be longer."""
+    return max((len(t) - (len(prefix) if t.startswith(prefix) else 0) for t in vocab), default=0)
 
 
 def greedy_pieces(word: str, vocab: dict[str, int], unk_id: int,
                   prefix: str = CONTINUATION_PREFIX,
-                  max_chars: int = MAX_INPUT_CHARS_PER_WORD) -> list[int]:
+                  max_chars: int = MAX_INPUT_CHARS_PER_WORD, max_piece: int | None = None) -> list[int]:
     """Greedy longest-match-first split of one word (X5); any unmatched
-    piece, or a word longer than ``max_chars``, gives one unknown id (X6)."""
+    piece, or a word longer than ``max_chars``, gives one unknown id (X6).
+    ``max_piece`` (see ``longest_piece``) only skips lookups that cannot
+    match."""
     if len(word) > max_chars:
         return [unk_id]
     out: list[int] = []
     start, n = 0, len(word)
     while start < n:
-        end = n
+        end = n if max_piece is None else min(n, start + max_piece)
         found = None
         while start < end:
             piece = word[start:end] if start == 0 else prefix + word[start:end]
@@ -111,6 +120,9 @@ def _wordpiece_udf(bc, unk_id: int, prefix: str, max_chars: int):
     def encode_words(words: pa.Array) -> pa.Array:
         vocab = bc.value
         memo = _memo_for(memo_key)
+        longest = memo.get(_LONGEST)
+        if longest is None:
+            longest = memo[_LONGEST] = longest_piece(vocab, prefix)
         if isinstance(words, pa.ChunkedArray):
             words = words.combine_chunks()
         flat = words.flatten()
@@ -130,9 +142,10 @@ def _wordpiece_udf(bc, unk_id: int, prefix: str, max_chars: int):
                 if w in specials and w in vocab:
                     p = [vocab[w]]
                 else:
-                    p = greedy_pieces(w, vocab, unk_id, prefix, max_chars)
+                    p = greedy_pieces(w, vocab, unk_id, prefix, max_chars, longest)
                 if len(memo) > _MEMO_LIMIT:
                     memo.clear()
+                    memo[_LONGEST] = longest
                 memo[w] = p
             pieces.append(p)
         ulen = np.fromiter((len(p) for p in pieces), dtype=np.int64, count=len(pieces))
