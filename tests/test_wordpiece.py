@@ -105,3 +105,10 @@ def test_encode_list_matches_per_text(spark):
 def test_encode_rejects_non_columns(spark):
     with pytest.raises(TypeError):
         wp.encode_target("plain string", _vocab(["a"]), spark)
+
+
+def test_longest_piece_bound_is_exact():
+    vocab = {t: i for i, t in enumerate(list(SPECIAL_TOKENS) + ["a", "ab", "abc", "##b", "##bc", "##c", "##abcd"])}
+    assert wp.longest_piece(vocab) == 5  # "[UNK]" (specials count too); "##abcd" counts 4
+    for word in ["abc", "abcabcd", "abbbc", "a" * 40, "abcz", "ab" * 30]:
+        assert wp.greedy_pieces(word, vocab, 0, max_piece=5) == wp.greedy_pieces(word, vocab, 0)
