@@ -9,6 +9,7 @@ sides; doubles are rounded to 6 places on both sides.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import threading
 from collections.abc import Callable
@@ -325,6 +326,20 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+# The pipeline operators (twinline/llm and corpus_pipeline.py) are optional.
+_LLM_ORACLE: dict[str, str] = {}
+if importlib.util.find_spec("twinline.llm") and importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline
+    from twinline.llm import queries as llm_queries
+
+    _QUERIES |= llm_queries.QUERIES
+    _LLM_ORACLE |= llm_queries.ORACLE
+    if corpus_pipeline.STAGES:
+        _QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        _LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship on sf0.001: aligned en/fr lines -> encode both sides ->
     filter -> split -> rows, mean and max length per split."""
@@ -338,4 +353,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     from twinline.plans.reference_sql import ORACLE
-    return {k: v for k, v in ORACLE.items() if k in _QUERIES}
+    return {k: v for k, v in (ORACLE | _LLM_ORACLE).items() if k in _QUERIES}
