@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,13 +71,12 @@ def splitter_bucket(key: Column, splitters: list[str]) -> Column:
 def chunks(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the texts of a piece hold about ``max_bytes``
     (always at least one row)."""
-    import numpy as np
 
     for batch in batches:
         if batch.num_rows == 0:
             continue
         col = batch.column(column)
-        ends = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0), dtype=np.int64))
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(col), 0), dtype=np.int64))
         start = 0
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0

@@ -4,28 +4,93 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from twinline.llm import language_id
+from twinline.llm.archives import pages_through_archives
+from twinline.llm.bpe import encode_documents
 from twinline.llm.common import read_table
 from twinline.llm.exact_dedup import exact_dedup
+from twinline.llm.mixing import mix
+from twinline.llm.quality import quality_rules, vocabulary_path
 from twinline.llm.sharding import shard
+from twinline.llm.simhash import simhash_dedup
+from twinline.llm.suffix_dedup import remove_repeats
+from twinline.llm.token_counts import section_token_counts
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(~language_id.held_out()))
+    flags = docs.withColumn("_pair", F.struct("doc_id", language_id.held_out().alias("held_out")))
+    out = language_id.predict(flags, model, id_col="_pair")
+    return out.select("_pair.doc_id", "_pair.held_out", "lang_pred", "score")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages_through_archives(read_table(spark, sf_dir, "pages"))
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read_table(spark, sf_dir, "documents"), vocabulary_path("piece_bpe_32k.model"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(read_table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_multi_50k.tiktoken"),
+                            public_tokenizers.PATTERN, digest=True)
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard(read_table(spark, sf_dir, "documents"), shards=8)
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return section_token_counts(read_table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.tiktoken"),
+                                public_tokenizers.PATTERN, rule="start")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_language_id": op2_language_id,
+    "op3_warc": op3_warc,
+    "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_quality": op5_quality,
+    "op6_simhash": op6_simhash,
+    "op7_bpe": op7_bpe,
+    "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_warc": r"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+w AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS top FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND top <> page_id THEN top END AS refers_to
+FROM w""",
     "op1_exact_dedup": r"""
 WITH d AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm, length(coalesce(text, '')) AS len
