@@ -40,8 +40,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinline.llm.common import cut
-from twinline.session import ensure_checkpoint_dir
+from twinline.llm.common import cut, shared_folder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -57,11 +56,6 @@ PAGE_HEADER = "X-Page-Id"
 EPOCH = datetime.datetime(2020, 1, 1)
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder beside the checkpoints."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 # ------------------------------------------------------------------ ARC
 
 

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import sys
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinline.session import ensure_checkpoint_dir
 
+# Functions that run in tasks travel by value: executors need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: ASCII white space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
@@ -26,6 +32,30 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints, seen by all executors."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def with_row_key(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
+    """The table and a column that names its rows in id order: the id itself
+    where ids are unique and not null, else a new column (ids in order, null
+    ids last; materialised, so that it stays the same)."""
+    odd = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > 1) | F.col(id_col).isNull()).limit(1).count()
+    if not odd:
+        return docs, id_col
+    key = "_row"
+    while key in docs.columns:
+        key += "_"
+    return cut(docs.orderBy(F.col(id_col).asc_nulls_last()).withColumn(key, F.monotonically_increasing_id())), key
+
+
+def keep_rows(docs: DataFrame, key: str, kept: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows of ``docs`` whose key is in ``kept`` (one column, unique)."""
+    names = kept.withColumnRenamed(kept.columns[0], "_kept_key")
+    return docs.join(names, docs[key] == names["_kept_key"], "left_semi").select(*columns)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -21,7 +21,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from twinline.llm.common import cut, ordered_hex, sha256_hex, shuffle_partitions, splitter_bucket, strip_spaces, text_or_empty
+from twinline.llm.common import (
+    cut,
+    keep_rows,
+    ordered_hex,
+    sha256_hex,
+    shuffle_partitions,
+    splitter_bucket,
+    strip_spaces,
+    text_or_empty,
+    with_row_key,
+)
 
 PREFIX_CHARS = 12         # characters of text in a range key
 BUCKETS_PER_PARTITION = 8  # range buckets per shuffle partition
@@ -106,7 +116,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_unique(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns.  The ids to drop are
-    joined back (a unique id a row is expected here)."""
-    drop = exact_dedup(docs, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("_drop_id"))
-    return docs.join(drop, docs[id_col].eqNullSafe(drop["_drop_id"]), "left_anti")
+    """The rows of ``docs`` that stay, with their columns."""
+    rows, key = with_row_key(docs, id_col)
+    return keep_rows(rows, key, exact_dedup(rows, key, text_col).where("kept").select(key), docs.columns)

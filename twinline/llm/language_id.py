@@ -225,12 +225,13 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     bits = letter_bits()
     spark = docs.sparkSession
     k = len(model.languages)
-    shared = spark.sparkContext.broadcast((bits, model))  # DIM x languages floats: bounded by parameters
+    # DIM x languages floats: bounded by parameters
+    shared = spark.sparkContext.broadcast((bits, model.languages, model.weights, model.bias, model.temperature))
     src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     id_type = src.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits_, m = shared.value
+        bits_, languages, weights, bias, temperature = shared.value
         letters = _unpack(bits_)
         for b in chunks(batches, "_text", max(1 << 16, CHUNK_BYTES // max(1, k // 8))):
             doc, feats, has = char_features(_texts(b, "_text"), letters)
@@ -241,15 +242,15 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 sums, n = np.zeros((len(used), k)), np.zeros(len(used))
                 for f in feats:
                     ok = f >= 0
-                    g = m.weights[np.where(ok, f, 0)]
+                    g = weights[np.where(ok, f, 0)]
                     if not ok.all():
                         g[~ok] = 0
                     sums += np.add.reduceat(g, starts, axis=0, dtype=np.float64)
                     n += np.add.reduceat(ok, starts, dtype=np.int64)
-                p = _softmax((sums / np.maximum(n, 1)[:, None] + m.bias) / m.temperature)
+                p = _softmax((sums / np.maximum(n, 1)[:, None] + bias) / temperature)
                 best[used], score[used] = p.argmax(axis=1), p.max(axis=1)
             best[~has], score[~has] = -1, 0.0
-            names = np.array([*m.languages, UND], object)
+            names = np.array([*languages, UND], object)
             yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array(names[best], pa.string()), pa.array(score)],
                                              names=["_id", "lang_pred", "score"])
 
@@ -261,7 +262,10 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def keep_known(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose language cannot be told (``und``)."""
-    drop = predict(docs, model, id_col, text_col).where(F.col("lang_pred") == UND).select(F.col(id_col).alias("_drop"))
-    return docs.join(drop, docs[id_col].eqNullSafe(drop["_drop"]), "left_anti")
+def keep_known(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.3) -> DataFrame:
+    """``docs`` without the rows whose language cannot be told: ``und``, or a
+    calibrated score below ``min_score``.  Whole rows travel, so ids need not
+    be unique."""
+    row = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_body"))
+    told = predict(row, model, "_row", "_body").where((F.col("lang_pred") != UND) & (F.col("score") >= min_score))
+    return told.select("_row.*")

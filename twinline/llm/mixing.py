@@ -32,7 +32,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from twinline.llm.common import cut
+from twinline.llm.common import cut, with_row_key
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -137,8 +137,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, ceiling: float =
 
 
 def repeat_rows(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The mixture itself: every row of ``docs`` as many times as it is taken
-    (one row per id is expected)."""
-    copies = mix(docs, id_col=id_col, **options).where("copies > 0").select(F.col(id_col).alias("_id"), F.col("copies").alias("_copies"))
-    return (docs.join(copies, docs[id_col].eqNullSafe(copies["_id"]))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns))
+    """The mixture itself: every row of ``docs`` as many times as it is taken."""
+    rows, key = with_row_key(docs, id_col)
+    copies = mix(rows, id_col=key, **options).where("copies > 0").select(F.col(key).alias("_key"), F.col("copies").alias("_copies"))
+    joined = rows.join(copies, rows[key] == copies["_key"])
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)

@@ -40,6 +40,7 @@ NON_SPACE = r"[^\x20\x09-\x0D]"
 WINDOW = 5
 CHUNK_BYTES = 1 << 22
 CACHE_WORDS = 200_000
+ENTROPY_CAP = 6.0  # bits; long texts reuse tokens by nature
 
 # Main Unicode ranges of each script (first, last code point).
 SCRIPTS: dict[str, tuple[tuple[int, int], ...]] = {
@@ -62,24 +63,24 @@ class Band:
     min_chars_per_token: float
     max_chars_per_token: float
     max_fallback_share: float
-    min_entropy: float  # bits
+    min_relative_entropy: float  # of log2(tokens), counted up to ENTROPY_CAP bits
 
 
 # Rejection bands.  Latin prose takes 2 to 5 characters a token of a 32,000
 # entry vocabulary; below 1.2 it is mostly single characters or raw bytes.
 # Scripts that the vocabulary covers badly fall back to bytes by nature.
 DEFAULT_BANDS: dict[str, Band] = {
-    "latin": Band(1.2, 12.0, 0.20, 2.5),
-    "cyrillic": Band(1.0, 12.0, 0.20, 2.5),
-    "greek": Band(0.6, 12.0, 0.60, 2.5),
-    "arabic": Band(0.5, 12.0, 0.70, 2.5),
-    "hebrew": Band(0.5, 12.0, 0.70, 2.5),
-    "devanagari": Band(0.4, 12.0, 0.90, 2.5),
-    "thai": Band(0.4, 12.0, 0.90, 2.5),
-    "hangul": Band(0.3, 12.0, 0.95, 2.5),
-    "kana": Band(0.4, 12.0, 0.90, 2.5),
-    "han": Band(0.3, 12.0, 0.95, 2.5),
-    "other": Band(0.3, 12.0, 0.95, 2.5),
+    "latin": Band(1.2, 12.0, 0.20, 0.65),
+    "cyrillic": Band(1.0, 12.0, 0.20, 0.65),
+    "greek": Band(0.6, 12.0, 0.60, 0.65),
+    "arabic": Band(0.5, 12.0, 0.70, 0.65),
+    "hebrew": Band(0.5, 12.0, 0.70, 0.65),
+    "devanagari": Band(0.4, 12.0, 0.90, 0.65),
+    "thai": Band(0.4, 12.0, 0.90, 0.65),
+    "hangul": Band(0.3, 12.0, 0.95, 0.65),
+    "kana": Band(0.4, 12.0, 0.90, 0.65),
+    "han": Band(0.3, 12.0, 0.95, 0.65),
+    "other": Band(0.3, 12.0, 0.95, 0.65),
 }
 
 
@@ -222,8 +223,9 @@ def quality_rules(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
             main = np.where(by.sum(axis=1) > 0, by.argmax(axis=1), len(names) - 1)
             cpt, fb = word_chars / whole, fallback / whole
             band = [table[i] for i in main]
-            inside = np.array([x.min_chars_per_token <= c <= x.max_chars_per_token and f <= x.max_fallback_share and e >= x.min_entropy
-                               for x, c, f, e in zip(band, cpt, fb, entropy)], bool)
+            reach = np.minimum(np.log2(whole), ENTROPY_CAP)
+            inside = np.array([x.min_chars_per_token <= c <= x.max_chars_per_token and f <= x.max_fallback_share
+                               and e >= x.min_relative_entropy * r for x, c, f, e, r in zip(band, cpt, fb, entropy, reach)], bool)
             failed = (n_words < min_words) | (100 * repeats > max_repeat_percent * n_words)
             none = n_tokens == 0
             yield pa.RecordBatch.from_arrays(

@@ -40,7 +40,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinline.llm.common import cut
+from twinline.llm.common import cut, keep_rows, with_row_key
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -207,6 +207,6 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def keep_first_of_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each component: the one that names it."""
-    found = simhash_dedup(docs, id_col, text_col, **options)
-    drop = found.where(~F.col("component_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("_drop"))
-    return docs.join(drop, docs[id_col].eqNullSafe(drop["_drop"]), "left_anti")
+    rows, key = with_row_key(docs, id_col)
+    found = simhash_dedup(rows, key, text_col, **options)
+    return keep_rows(rows, key, found.where(F.col("component_id") == F.col(key)).select(key), docs.columns)
