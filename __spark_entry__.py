@@ -10,33 +10,34 @@ sides; doubles are rounded to 6 places on both sides.
 from __future__ import annotations
 
 import importlib.util
-import os
 import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinline.constants import EOS_ID, EVALUATION_STEPS, GRAD_ACCUMULATION, MAX_LENGTH, MICRO_BATCH
+from twinline.constants import EOS_ID, GRAD_ACCUMULATION, MAX_LENGTH, MICRO_BATCH
 from twinline.functions import arrays as ax
 from twinline.functions import decode as dec
 from twinline.functions import wordpiece as wp
 from twinline.operators import align, collate, counts, filters, metrics, split
 from twinline.operators.wordpiece_train import train_wordpiece
 from twinline.plans import jobs
-from twinline.session import ensure_checkpoint_dir
-from twinline.sources import tables
+from twinline.session import ensure_checkpoint_dir, shared_folder
+from twinline.sources import store, tables
 
 SEED = 42
 VOCAB_K = 2000          # words in the frequency vocabulary
 TOP_PAIRS = 64          # first-round best pairs
+EVAL_EVERY = 3          # the fixture has few steps, so evaluate more often than the library's default
+EDGE_PREFIX = "x[PAD]y [EOS] [pad] [ UNK ]?[BOS] " + "a" * 101 + " \u2603 a\u2603 \u2028 b "
 TOP_WORDS = 100         # top-k word report per language
 WORLD_SIZE = 2          # processes for the rank-mean query
 TRAIN_VOCAB_SIZE = 1000  # vocabulary size of the distributed trainer query
 
 # ------------------------------------------------------------------ helpers
 
-_VOCABS: dict[tuple[int, str], wp.Vocabulary] = {}
+_VOCABS: dict[tuple[str, str], wp.Vocabulary] = {}
 _LOCK = threading.Lock()
 
 
@@ -51,7 +52,7 @@ def _vocab_df(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _vocab(spark: SparkSession, sf_dir: str) -> wp.Vocabulary:
     """The frequency vocabulary as a broadcastable model (built once per
     session and input, like a tokenizer file loaded once)."""
-    key = (id(spark), os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir)
     with _LOCK:
         v = _VOCABS.get(key)
         if v is None:
@@ -165,10 +166,74 @@ def q_tokenize_turns(spark, sf_dir):
 
 
 def q_concat_corpora(spark, sf_dir):
-    lines = align.corpus_lines(_docs(spark, sf_dir))
-    parts = [align.language_pairs(lines.where(F.col("corpus") == c)) for c in ("src0", "src1")]
-    rest = align.language_pairs(lines.where(~F.col("corpus").isin("src0", "src1")))
-    return align.concat_corpora(parts + [rest])
+    """Document pairs, and the turn pairs twice: duplicates are kept."""
+    docs = _pairs(spark, sf_dir).select("corpus", "english", "french")
+    turns = align.turn_pairs(tables.conversations(spark, sf_dir)).select(
+        F.lit("conversations").alias("corpus"), F.col("source_text").alias("english"), F.col("target_text").alias("french"))
+    return align.concat_corpora([docs, turns, turns])
+
+
+def q_rename(spark, sf_dir):
+    """P1 over the French lines."""
+    lines = align.corpus_lines(_docs(spark, sf_dir)).where(F.col("lang") == "fr")
+    return align.rename(lines, "text", "french").select("corpus", "line_no", "french")
+
+
+def q_saved_dataset(spark, sf_dir):
+    """S4 then S5: the split pairs written by split and read back."""
+    path = shared_folder(spark, "dataset")
+    store.write_dataset(_split_pairs(spark, sf_dir), path)
+    return store.read_dataset(spark, path, store.RAW_SCHEMA)
+
+
+def q_saved_vocab(spark, sf_dir):
+    """A vocabulary written and read back."""
+    path = shared_folder(spark, "vocab")
+    store.write_vocab(_vocab_df(spark, sf_dir), path)
+    return store.read_vocab(spark, path)
+
+
+def q_token_to_id(spark, sf_dir):
+    """J2 over the word counts."""
+    words = counts.word_counts(_docs(spark, sf_dir)).withColumnRenamed("word", "token")
+    return counts.token_to_id(words, "token", _vocab_df(spark, sf_dir)).select("token", "count", "id")
+
+
+def _with_edges(spark, sf_dir):
+    """Every document after a prefix that holds literal specials (inside a
+    word too), a word of 101 characters and a character outside the vocabulary."""
+    return _docs(spark, sf_dir).where(F.col("text").isNotNull()).select(
+        "doc_id", F.concat(F.lit(EDGE_PREFIX), F.col("text")).alias("text"))
+
+
+def q_encode_edges(spark, sf_dir):
+    """X6 and X7 on the target side."""
+    v = _vocab(spark, sf_dir)
+    return _with_edges(spark, sf_dir).select("doc_id", wp.encode_target(F.col("text"), v, spark).alias("ids"))
+
+
+def q_encode_source_edges(spark, sf_dir):
+    """X6 and X7 on the source side."""
+    v = _vocab(spark, sf_dir)
+    return _with_edges(spark, sf_dir).select("doc_id", wp.encode_source(F.col("text"), v, spark).alias("ids"))
+
+
+def q_encode_list(spark, sf_dir):
+    """X9 on lists: the texts of each conversation, in turn order."""
+    v = _vocab(spark, sf_dir)
+    conv = tables.conversations(spark, sf_dir).groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("_t"))
+    lists = conv.select("conv_id", F.col("_t.text").alias("texts"))
+    return wp.encode_list(lists, "texts", v).select("conv_id", "ids")
+
+
+def q_metrics_log(spark, sf_dir):
+    """The step rows of two epochs appended one after the other."""
+    path = shared_folder(spark, "metrics")
+    steps = jobs.step_log(metrics.two_epochs(_preds(spark, sf_dir)), GRAD_ACCUMULATION)
+    for epoch in (0, 1):
+        store.append_metrics(steps.where(F.col("epoch") == epoch), path)
+    return _round6(spark.read.parquet(path), ["train_loss", "accuracy"])
 
 
 def q_train_test_split(spark, sf_dir):
@@ -261,12 +326,12 @@ def q_rank_mean(spark, sf_dir):
 
 
 def q_step_metrics(spark, sf_dir):
-    return _round6(jobs.step_log(_preds(spark, sf_dir), GRAD_ACCUMULATION), ["train_loss", "accuracy"])
+    return _round6(jobs.step_log(metrics.two_epochs(_preds(spark, sf_dir)), GRAD_ACCUMULATION), ["train_loss", "accuracy"])
 
 
 def q_eval_points(spark, sf_dir):
-    s = jobs.step_log(_preds(spark, sf_dir), GRAD_ACCUMULATION)
-    return _round6(metrics.eval_points(s, EVALUATION_STEPS), ["train_loss", "accuracy"])
+    s = jobs.step_log(metrics.two_epochs(_preds(spark, sf_dir)), GRAD_ACCUMULATION)
+    return _round6(metrics.eval_points(s, EVAL_EVERY), ["train_loss", "accuracy"])
 
 
 def q_clip_generated(spark, sf_dir):
@@ -300,6 +365,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "turn_pairs": q_turn_pairs,
     "tokenize_turns": q_tokenize_turns,
     "concat_corpora": q_concat_corpora,
+    "rename": q_rename,
+    "saved_dataset": q_saved_dataset,
+    "saved_vocab": q_saved_vocab,
+    "token_to_id": q_token_to_id,
+    "encode_edges": q_encode_edges,
+    "encode_source_edges": q_encode_source_edges,
+    "encode_list": q_encode_list,
+    "metrics_log": q_metrics_log,
     "train_test_split": q_train_test_split,
     "dataset_summary": q_dataset_summary,
     "encode_target": q_encode_target,

@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from twinline.plans import jobs
 from twinline.operators import align, split
 from twinline.operators.numbering import hash_rank, prefix_offsets
 from twinline.sources import files, tables
@@ -89,8 +90,8 @@ def test_files_discover_and_read_lines(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
     try:
-        en = files.read_corpus_lines(spark, found, "src")
-        fr = files.read_corpus_lines(spark, found, "tgt")
+        en = files.read_corpus_lines(spark, str(root), found, "src", ".en")
+        fr = files.read_corpus_lines(spark, str(root), found, "tgt", ".fr")
         assert en.select("file_path" if "file_path" in en.columns else "corpus").count() == 3005
         bad = en.where(F.col("text") != F.concat(F.lit("en "), F.col("corpus"), F.lit(" "),
                                                  F.col("line_no").cast("string")))
@@ -122,3 +123,33 @@ def test_read_lines_gzip_and_plain_mix(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert len(got) == 5000
     assert all(got[("a.txt.gz", i)] == f"g{i}" and got[("b.txt", i)] == f"p{i}" for i in range(2500))
+
+
+ODD_NAMES = ["common crawl", "a%20b", "c[1]", "é+ü", "x{y,z}", "plain", "q?r*s"]
+
+
+@pytest.mark.parametrize("parent", ["root", "odd [root] 1%2"])
+def test_no_line_is_lost_in_odd_directories(spark, tmp_path, parent):
+    root = tmp_path / parent
+    for name in ODD_NAMES:
+        (root / name).mkdir(parents=True)
+        for lang in ("en", "fr"):
+            (root / name / f"{name} file.{lang}").write_text("".join(f"{lang} {name} {i}\n" for i in range(3)))
+    (root / "half").mkdir()
+    (root / "half" / "x.en").write_text("lonely\n")
+    pairs = jobs.build_pairs(spark, str(root), mode="strict")
+    got = sorted((r["corpus"], r["line_no"], r["english"], r["french"]) for r in pairs.collect())
+    assert got == sorted((n, i, f"en {n} {i}", f"fr {n} {i}") for n in ODD_NAMES for i in range(3))
+    texts = spark.read.text(files.glob_lang_files(str(root))).collect()
+    assert len(texts) == 3 * len(ODD_NAMES)
+
+
+def test_strict_mode_notices_a_corpus_without_lines(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    for lang in ("en", "fr"):
+        (tmp_path / "c" / f"x.{lang}").write_text("one\n")
+    found = files.discover_pairs(spark, str(tmp_path))
+    lines = files.read_corpus_lines(spark, str(tmp_path), found, "src", ".en")
+    files.check_all_read(found, lines, "src")
+    with pytest.raises(files.DiscoveryError, match="no line"):
+        files.check_all_read(found, lines.where("false"), "src")

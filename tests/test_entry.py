@@ -13,4 +13,5 @@ def test_entry_runs(spark):
 def test_every_sql_has_a_query():
     q, s = se.queries(), se.oracle_sql()
     assert set(s) <= set(q)
-    assert set(q) - set(s) == {"train_wordpiece"}
+    own = {k for k in q if not k.startswith("op") and k != "pipeline"}
+    assert own - set(s) <= {"train_wordpiece"}

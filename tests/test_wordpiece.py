@@ -88,7 +88,7 @@ def test_matches_public_tokenizers_library(spark):
 
 
 def test_vocab_broadcast_bound():
-    assert wp.MAX_BROADCAST_VOCAB >= 32000
+    assert wp.MAX_VOCAB >= 32000
 
 
 def test_encode_list_matches_per_text(spark):
@@ -112,3 +112,60 @@ def test_longest_piece_bound_is_exact():
     assert wp.longest_piece(vocab) == 5  # "[UNK]" (specials count too); "##abcd" counts 4
     for word in ["abc", "abcabcd", "abbbc", "a" * 40, "abcz", "ab" * 30]:
         assert wp.greedy_pieces(word, vocab, 0, max_piece=5) == wp.greedy_pieces(word, vocab, 0)
+
+
+def test_encode_list_after_shuffles_keeps_every_row(spark):
+    """A grouping and a merge join with a wide payload in front: all rows, each with its own ids."""
+    v = _vocab(["a", "b", "ab", "##b", "le", "."])
+    base = spark.range(4000).select("id", F.array(*[F.when(F.col("id") % k == 0, "ab le.").otherwise("a b") for k in (2, 3, 5)]).alias("texts"),
+                                    F.concat(*[F.sha2(F.concat(F.col("id").cast("string"), F.lit(str(i))), 512) for i in range(8)]).alias("wide"))
+    grouped = base.groupBy("id").agg(F.first("texts").alias("texts"), F.first("wide").alias("wide"))
+    joined = grouped.hint("merge").join(base.select("id", F.col("wide").alias("other")), "id")
+    long_, short = _enc(spark, v, ["ab le.", "a b"])
+    for df in (grouped, joined):
+        got = {r["id"]: r["ids"] for r in wp.encode_list(df, "texts", v).select("id", "ids").collect()}
+        assert got == {i: [long_ if i % k == 0 else short for k in (2, 3, 5)] for i in range(4000)}
+
+
+def test_source_profile_equals_the_public_library(spark):
+    """Every white-space and control character, and literal specials."""
+    import unicodedata
+
+    from tokenizers import normalizers, pre_tokenizers
+
+    from twinline.functions import text as tx
+
+    odd = [c for c in map(chr, range(0x110000)) if not 0xD800 <= ord(c) <= 0xDFFF
+           and (c.isspace() or unicodedata.category(c) in ("Cc", "Cf", "Zs", "Zl", "Zp"))]
+    rows = [f"ab{c}Cd é{c} x" for c in odd]
+    norm, pre = normalizers.BertNormalizer(), pre_tokenizers.BertPreTokenizer()
+    df = spark.createDataFrame(list(enumerate(rows)), "i long, t string")
+    got = {r["i"]: r["w"] for r in df.select("i", tx.source_words(F.col("t")).alias("w")).collect()}
+    want = {i: [w for w, _ in pre.pre_tokenize_str(norm.normalize_str(t))] for i, t in enumerate(rows)}
+    # the library's character tables are older than the JVM's: format characters that they do not know stay in its words
+    assert {odd[i] for i in got if got[i] != want[i]} <= {c for c in odd if ord(c) in (0x8E2, 0x890, 0x891, 0x110CD, *range(0x13430, 0x13440))}
+    special = {"a[SEP]b [PAD]": ["a", "[SEP]", "b", "[PAD]"], "[sep] [CLS": ["[", "sep", "]", "[", "cls"],
+               "[SE\ufdd0P] \ufdd1[MASK][MASK]": ["[", "sep", "]", "[MASK]", "[MASK]"]}
+    df = spark.createDataFrame([(t,) for t in special], "t string")
+    got = {r["t"]: r["w"] for r in df.select("t", tx.source_words(F.col("t"), wp.BERT_SOURCE.specials).alias("w")).collect()}
+    assert got == special
+
+
+def test_training_words_treat_specials_as_text(spark):
+    from twinline.operators import counts
+
+    df = spark.createDataFrame([("x[PAD]y [PAD] abc",)], "text string")
+    base = {r["token"] for r in counts.initial_vocab(counts.word_counts(df)).collect()}
+    assert {t for t in base if len(t) == 1} == set("[]abcdpxy")
+
+
+def test_decode_of_a_large_vocabulary_is_planned_quickly(spark):
+    import time
+
+    from twinline.functions import decode as dec
+
+    v = wp.Vocabulary({t: i for i, t in enumerate(list(SPECIAL_TOKENS) + [f"tok{i}" for i in range(32_000)])})
+    t0 = time.perf_counter()
+    df = spark.createDataFrame([([2, 5, 31_999, 40_000, 3],)], "ids array<int>")
+    row = df.select(dec.decode(F.col("ids"), v).alias("t")).first()
+    assert row["t"] == "tok1 tok31995" and time.perf_counter() - t0 < 5

@@ -28,3 +28,6 @@ IGNORE_INDEX = -100
 MICRO_BATCH = 64
 GRAD_ACCUMULATION = 2
 EVALUATION_STEPS = 2500
+
+# Library bound, not a reference value: a vocabulary is a model that is broadcast or held as one literal.
+MAX_VOCAB = 1 << 20

@@ -10,12 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..constants import CONTINUATION_PREFIX, SPECIAL_TOKENS
+from ..constants import CONTINUATION_PREFIX, MAX_VOCAB, SPECIAL_TOKENS
 from .arrays import strip_specials
 from .wordpiece import Vocabulary
 
-MAX_LITERAL_VOCAB = 1 << 20
-
 # FIXED VALUES: after a space-prefixed token, the space is dropped when the
 # token starts with one of: .  ?  !  ,  n't  'm  's  've  're
 _TIDY = r"^ (?=[.?!,]|n't|'m|'s|'ve|'re)"
@@ -24,10 +22,12 @@ _TIDY = r"^ (?=[.?!,]|n't|'m|'s|'ve|'re)"
 def id_to_token(ids: Column, vocab: Vocabulary) -> Column:
     """Ids -> tokens; unknown ids become null."""
     table = vocab.tokens_by_id()
-    if len(table) > MAX_LITERAL_VOCAB:
-        raise ValueError(f"vocabulary of {len(table)} ids is above the lookup bound {MAX_LITERAL_VOCAB}")
-    lut = F.lit(table)
-    return F.transform(ids, lambda i: F.when(i >= 0, F.try_element_at(lut, i + 1)))
+    if len(table) > MAX_VOCAB:
+        raise ValueError(f"vocabulary of {len(table)} ids is above the bound {MAX_VOCAB}")
+    # one string literal, split by a constant-folded expression: a literal per token would take seconds to plan
+    mark = next(m for m in ("\x00", "\x01", "\ufdd0", "\ufdd1") if not any(t and m in t for t in table))
+    lut = F.split(F.lit(mark.join(t or "" for t in table)), mark, -1)
+    return F.transform(ids, lambda i: F.when((i >= 0) & (i < len(table)), F.nullif(F.get(lut, i), F.lit(""))))
 
 
 def join_pieces(tokens: Column, prefix: str = CONTINUATION_PREFIX) -> Column:

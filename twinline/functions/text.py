@@ -18,6 +18,7 @@ from __future__ import annotations
 import sys
 
 import functools
+import re
 import unicodedata
 
 import pyarrow as pa
@@ -46,12 +47,16 @@ PRE_TOKENIZE_PATTERN = (
     _SPECIAL_ALT + r"|(?U)\w+|(?U)(?:(?!" + _SPECIAL_ALT + r")[^\w\s])+"
 )
 
-# Source profile: whitespace is space/tab/newline/CR or any Zs; punctuation
-# is every ASCII non-alphanumeric printable or any Unicode P* character.
-_SRC_SPACE = r"\t\n\r\p{Zs} "
+# Source profile: whitespace is tab/newline/CR or any separator (spaces, line
+# and paragraph separators); punctuation is every ASCII non-alphanumeric
+# printable or any Unicode P* character.  Literal specials travel through the
+# normaliser as noncharacters (see source_normalize), a word each.
+_SRC_SPACE = r"\t\n\r\p{Z} "
 _SRC_PUNCT = r"!-/:-@\[-`{-~\p{P}"
+_STAND_IN = 0xFDD0
+_STAND_INS = r"\x{FDD0}-\x{FDEF}"
 SOURCE_PRE_TOKENIZE_PATTERN = (
-    "[^" + _SRC_SPACE + _SRC_PUNCT + "]+|[" + _SRC_PUNCT + "]"
+    "[^" + _SRC_SPACE + _SRC_PUNCT + _STAND_INS + "]+|[" + _SRC_PUNCT + _STAND_INS + "]"
 )
 # CJK ideograph blocks that the source profile surrounds with spaces.
 _CJK = (
@@ -167,18 +172,50 @@ def words(c: Column | str) -> Column:
     return F.when(c.rlike(_SPECIAL_ALT), pre_tokenize(n)).otherwise(plain)
 
 
-def source_normalize(c: Column | str) -> Column:
+def plain_words(c: Column | str) -> Column:
+    """Words as the vocabulary trainer sees them: X1 -> X2 -> X4, literal
+    specials being ordinary text."""
+    return F.regexp_extract_all(lowercase(nfc(c)), F.lit(_PLAIN_PATTERN), F.lit(0))
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _nfc_list_arrow(s: pa.Array) -> pa.Array:
+    return pa.array([None if x is None else [None if t is None else unicodedata.normalize("NFC", t) for t in x]
+                     for x in s.to_pylist()], pa.list_(pa.string()))
+
+
+def words_of_list(c: Column) -> Column:
+    """Target-profile words of every element of an array of texts."""
+    gate = F.coalesce(F.exists(c, lambda t: t.rlike(_nfc_gate_class())), F.lit(False))
+    n = F.coalesce(_nfc_list_arrow(F.when(gate, c)), c)
+    return F.transform(n, lambda t: F.when(t.rlike(_SPECIAL_ALT), pre_tokenize(t)).otherwise(
+        F.regexp_extract_all(lowercase(t), F.lit(_PLAIN_PATTERN), F.lit(0))))
+
+
+def source_normalize(c: Column | str, specials: tuple[str, ...] = ()) -> Column:
     """Source profile normaliser (BERT uncased): clean, CJK spacing, strip
     accents, lowercase.  Accent stripping runs in Python only for non-ASCII
-    rows."""
-    c = _col(c)
-    cleaned = F.regexp_replace(c, r"[\x{0}\x{FFFD}]|[\p{C}&&[^\t\n\r]]", "")
-    cleaned = F.regexp_replace(cleaned, r"[\t\n\r\p{Zs}]", " ")
+    rows.  A literal special of raw text becomes a stand-in noncharacter; the
+    text's own noncharacters of that block are removed like all others."""
+    c = F.regexp_replace(_col(c), f"[{_STAND_INS}]", "\ufffd")  # removed below; never joins its neighbours before the literals are found
+    for i, t in enumerate(specials):
+        c = F.replace(c, F.lit(t), F.lit(chr(_STAND_IN + i)))
+    cleaned = F.regexp_replace(c, r"[\x{0}\x{FFFD}]|[\p{C}&&[^\t\n\r" + _STAND_INS + "]]", "")
+    cleaned = F.regexp_replace(cleaned, r"[\t\n\r\p{Z}]", " ")
     cleaned = F.regexp_replace(cleaned, "(" + _CJK + ")", " $1 ")
     stripped = F.coalesce(_strip_accents_arrow(F.when(cleaned.rlike(r"[^\x{0}-\x{7F}]"), cleaned)), cleaned)
     return lowercase(stripped)
 
 
-def source_words(c: Column | str) -> Column:
-    """Source-profile words: whitespace split, each punctuation char alone."""
-    return F.regexp_extract_all(source_normalize(c), F.lit(SOURCE_PRE_TOKENIZE_PATTERN), F.lit(0))
+def source_words(c: Column | str, specials: tuple[str, ...] = SPECIAL_TOKENS) -> Column:
+    """Source-profile words: whitespace split, each punctuation char alone,
+    literal specials whole."""
+    toks = F.regexp_extract_all(source_normalize(c, specials), F.lit(SOURCE_PRE_TOKENIZE_PATTERN), F.lit(0))
+    marks = "".join(chr(_STAND_IN + i) for i in range(len(specials)))
+    has = _col(c).rlike("|".join(re.escape(t) for t in specials)) if specials else F.lit(False)
+
+    def back(t: Column) -> Column:
+        at = F.when(F.length(t) == 1, F.instr(F.lit(marks), t)).otherwise(0)
+        return F.when(at > 0, F.get(F.array(*[F.lit(x) for x in specials]), at - 1)).otherwise(t)
+
+    return F.when(has, F.transform(toks, back)).otherwise(toks) if specials else toks

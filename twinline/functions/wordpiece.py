@@ -28,6 +28,7 @@ from ..constants import (
     EOS,
     MAX_INPUT_CHARS_PER_WORD,
     MAX_LENGTH,
+    MAX_VOCAB,
     PAD,
     SPECIAL_TOKENS,
     UNK,
@@ -38,8 +39,6 @@ from . import text as tx
 # travel with the task (pickled by value) instead of by import path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# A vocabulary is a model, not data: refuse to broadcast one beyond this.
-MAX_BROADCAST_VOCAB = 2_000_000
 _MEMO_LIMIT = 500_000
 _LONGEST = ("longest piece",)  # memo slot for the vocabulary's longest piece (not a string, so never a word)
 
@@ -87,9 +86,9 @@ class Vocabulary:
 
     @classmethod
     def from_df(cls, vocab_df: DataFrame) -> "Vocabulary":
-        rows = vocab_df.select("token", "id").limit(MAX_BROADCAST_VOCAB + 1).collect()
-        if len(rows) > MAX_BROADCAST_VOCAB:
-            raise ValueError(f"vocabulary has more than {MAX_BROADCAST_VOCAB} entries: not broadcast")
+        rows = vocab_df.select("token", "id").limit(MAX_VOCAB + 1).collect()
+        if len(rows) > MAX_VOCAB:
+            raise ValueError(f"vocabulary has more than {MAX_VOCAB} entries: not broadcast")
         return cls({r["token"]: int(r["id"]) for r in rows})
 
     def __len__(self) -> int:
@@ -111,20 +110,17 @@ class Vocabulary:
         return self._bc
 
 
-def _wordpiece_udf(bc, unk_id: int, prefix: str, max_chars: int):
-    """Arrow UDF: array<string> words -> array<int> piece ids (no specials)."""
-    specials = {t for t in SPECIAL_TOKENS}
+def _wordpiece_udf(bc, unk_id: int, prefix: str, max_chars: int, specials: tuple[str, ...], nested: bool = False):
+    """Arrow UDF: array<string> words -> array<int> piece ids (no specials);
+    ``nested``: a list of word arrays -> a list of id arrays."""
     memo_key = uuid.uuid4().hex  # one memo per vocabulary (per deserialised UDF, i.e. per task)
 
-    @F.arrow_udf(T.ArrayType(T.IntegerType(), containsNull=False))
-    def encode_words(words: pa.Array) -> pa.Array:
+    def encode_flat(words: pa.ListArray) -> pa.ListArray:
         vocab = bc.value
         memo = _memo_for(memo_key)
         longest = memo.get(_LONGEST)
         if longest is None:
             longest = memo[_LONGEST] = longest_piece(vocab, prefix)
-        if isinstance(words, pa.ChunkedArray):
-            words = words.combine_chunks()
         flat = words.flatten()
         if len(flat) == 0:
             offsets = np.zeros(len(words) + 1, dtype=np.int32)
@@ -167,6 +163,20 @@ def _wordpiece_udf(bc, unk_id: int, prefix: str, max_chars: int):
         return pa.ListArray.from_arrays(pa.array(id_off, pa.int32()), pa.array(out_flat, pa.int32()),
                                         mask=words.is_null())
 
+    if nested:
+        @F.arrow_udf(T.ArrayType(T.ArrayType(T.IntegerType(), containsNull=False)))
+        def encode_lists(lists: pa.Array) -> pa.Array:
+            if isinstance(lists, pa.ChunkedArray):
+                lists = lists.combine_chunks()
+            ends = np.concatenate([[0], np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(lists), 0)))])
+            return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), encode_flat(lists.flatten()), mask=lists.is_null())
+
+        return encode_lists
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType(), containsNull=False))
+    def encode_words(words: pa.Array) -> pa.Array:
+        return encode_flat(words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words)
+
     return encode_words
 
 
@@ -191,20 +201,28 @@ class Profile:
     pad: str = PAD
     unk: str = UNK
 
+    extra: tuple[str, ...] = ()
+
+    @property
+    def specials(self) -> tuple[str, ...]:
+        """Literals that stay whole in text."""
+        return (self.unk, self.pad, self.bos, self.eos, *self.extra)
+
     def words(self, c: Column) -> Column:
-        return tx.words(c) if self.name == "target" else tx.source_words(c)
+        return tx.words(c) if self.name == "target" else tx.source_words(c, self.specials)
 
 
 TARGET = Profile("target")
 SOURCE = Profile("source")
 # FIXED VALUES: special tokens of pretrained uncased WordPiece vocabularies
-BERT_SOURCE = Profile("source", bos="[CLS]", eos="[SEP]", pad="[PAD]", unk="[UNK]")
+BERT_SOURCE = Profile("source", bos="[CLS]", eos="[SEP]", pad="[PAD]", unk="[UNK]", extra=("[MASK]",))
 
 
-def wordpiece_ids(word_array: Column, vocab: Vocabulary, spark, unk: str = UNK) -> Column:
+def wordpiece_ids(word_array: Column, vocab: Vocabulary, spark, unk: str = UNK,
+                  specials: tuple[str, ...] = SPECIAL_TOKENS, nested: bool = False) -> Column:
     """X5/X6 over an array<string> of words -> array<int> (no specials)."""
     bc = vocab.broadcast(spark)
-    udf = _wordpiece_udf(bc, vocab.id_of(unk), CONTINUATION_PREFIX, MAX_INPUT_CHARS_PER_WORD)
+    udf = _wordpiece_udf(bc, vocab.id_of(unk), CONTINUATION_PREFIX, MAX_INPUT_CHARS_PER_WORD, specials, nested)
     return udf(word_array)
 
 
@@ -228,7 +246,7 @@ def encode(text: Column, vocab: Vocabulary, spark, profile: Profile = TARGET,
     """
     if not isinstance(text, Column):
         raise TypeError(f"encode expects a Column of strings, got {type(text).__name__}")
-    ids = wordpiece_ids(profile.words(text), vocab, spark, profile.unk)
+    ids = wordpiece_ids(profile.words(text), vocab, spark, profile.unk, profile.specials)
     if truncate:
         ids = truncate_right(ids, max_length - 2)
     out = add_bos_eos(ids, vocab.id_of(profile.bos), vocab.id_of(profile.eos))
@@ -248,19 +266,14 @@ def encode_source(text: Column, vocab: Vocabulary, spark, max_length: int = MAX_
 def encode_list(df: DataFrame, texts_col: str, vocab: Vocabulary, out_col: str = "ids",
                 truncate: bool = False, max_length: int = MAX_LENGTH) -> DataFrame:
     """X9 on an ``array<string>`` column (the reference's list input):
-    ``out_col`` gets one id list per element, in element order.
-
-    Elements are exploded with their position under a per-row key, encoded
-    like any text column, and regrouped by that key (a group holds one row's
-    list, so it is bounded by the list length)."""
-    spark = df.sparkSession
-    keyed = df.withColumn("_row", F.monotonically_increasing_id())
-    ex = keyed.select("_row", F.posexplode_outer(texts_col).alias("_pos", "_text"))
-    enc = ex.select("_row", "_pos", F.when(F.col("_pos").isNotNull(),
-                                           encode_target(F.col("_text"), vocab, spark, truncate, max_length)
-                                           ).alias("_ids"))
-    grouped = enc.groupBy("_row").agg(
-        F.sort_array(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_ids")))).alias("_s"))
-    return (keyed.join(grouped, "_row")
-            .withColumn(out_col, F.when(F.col(texts_col).isNotNull(), F.col("_s._ids")))
-            .drop("_row", "_s"))
+    ``out_col`` gets one id list per element, in element order; a null element
+    or list stays null.  The whole list goes through one Arrow UDF, so rows
+    need no key, join or shuffle."""
+    words = tx.words_of_list(F.col(texts_col))
+    ids = wordpiece_ids(words, vocab, df.sparkSession, UNK, SPECIAL_TOKENS, nested=True)
+    bos, eos = vocab.id_of(BOS), vocab.id_of(EOS)
+
+    def finish(x: Column) -> Column:
+        return F.when(x.isNotNull(), add_bos_eos(truncate_right(x, max_length - 2) if truncate else x, bos, eos))
+
+    return df.withColumn(out_col, F.transform(ids, finish))

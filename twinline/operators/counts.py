@@ -11,15 +11,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import CONTINUATION_PREFIX, SPECIAL_TOKENS
+from ..constants import CONTINUATION_PREFIX, MAX_VOCAB, SPECIAL_TOKENS
 from ..functions import text as tx
 from ..session import ensure_checkpoint_dir
 
 
 def word_counts(df: DataFrame, text_col: str = "text", by: list[str] | None = None) -> DataFrame:
-    """A2: count of each normalised, pre-tokenised word (optionally per group)."""
+    """A2: count of each normalised, pre-tokenised word (optionally per group).
+    As in training, literal specials are ordinary text (only encoding keeps
+    them whole)."""
     by = by or []
-    return (df.select(*by, F.explode(tx.words(F.col(text_col))).alias("word"))
+    return (df.select(*by, F.explode(tx.plain_words(F.col(text_col))).alias("word"))
             .groupBy(*by, "word").agg(F.count(F.lit(1)).alias("count")))
 
 
@@ -130,8 +132,8 @@ def vocab_size(vocab: DataFrame) -> DataFrame:
 
 
 def token_to_id(df: DataFrame, token_col: str, vocab: DataFrame, out_col: str = "id") -> DataFrame:
-    """J2 on a table of tokens: left join with the vocabulary (a model whose
-    size is bounded by the vocabulary-size parameter, hence broadcast).
-    Unknown tokens get a null id."""
+    """J2 on a table of tokens: left join with the vocabulary, broadcast if it
+    is within the bound of vocabularies.  Unknown tokens get a null id."""
     v = vocab.select(F.col("token").alias(token_col), F.col("id").alias(out_col))
-    return df.join(F.broadcast(v), token_col, "left")
+    small = v.limit(MAX_VOCAB + 1).count() <= MAX_VOCAB
+    return df.join(F.broadcast(v) if small else v, token_col, "left")

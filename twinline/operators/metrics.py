@@ -9,7 +9,7 @@ target logit with ``try_element_at`` (ids are 0-based), per-batch means by
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import EVALUATION_STEPS, GRAD_ACCUMULATION, IGNORE_INDEX, MICRO_BATCH
@@ -43,9 +43,13 @@ def token_loss(logits: Column | str = "logits", target: Column | str = "target_i
     lg = F.col(logits) if isinstance(logits, str) else logits
     t = F.col(target) if isinstance(target, str) else target
     x = F.transform(lg, lambda v: v.cast("double"))
-    m = F.array_max(x)
-    sumexp = F.aggregate(F.transform(x, lambda v: F.exp(v - m)), F.lit(0.0).cast("double"), lambda a, v: a + v)
-    return F.log(sumexp) + m - F.try_element_at(x, t + 1)
+
+    # a one-element array binds the maximum to a lambda variable, so it is
+    # computed once per row and not once per element
+    def log_sum_exp(m: Column) -> Column:
+        return F.log(F.aggregate(x, F.lit(0.0).cast("double"), lambda a, v: a + F.exp(v - m))) + m
+
+    return F.get(F.transform(F.array(F.array_max(x)), log_sum_exp), 0) - F.try_element_at(x, t + 1)
 
 
 def with_predictions(df: DataFrame) -> DataFrame:
@@ -97,9 +101,18 @@ def with_ranks(batches: DataFrame, world_size: int) -> DataFrame:
 
 def assign_steps(batches: DataFrame, accumulation: int = GRAD_ACCUMULATION, epoch: int = 0,
                  batch_col: str = "batch_id") -> DataFrame:
-    """Micro-batch i of an epoch belongs to optimiser step i div G."""
-    return (batches.withColumn("epoch", F.lit(epoch))
-            .withColumn("step", F.floor(F.col(batch_col) / accumulation).cast("long")))
+    """Micro-batch i of an epoch belongs to optimiser step i div G of that
+    epoch; steps run on over epochs.  An epoch adds as many steps as it has
+    full groups of G (a short last group makes no step).  Without an ``epoch``
+    column all rows are of ``epoch``."""
+    local = F.floor(F.col(batch_col) / accumulation).cast("long")
+    if "epoch" not in batches.columns:
+        return batches.withColumn("epoch", F.lit(epoch)).withColumn("step", local)
+    # one row per epoch
+    full = batches.groupBy("epoch").agg(F.floor(F.countDistinct(batch_col) / accumulation).cast("long").alias("_full"))
+    before = Window.orderBy("epoch").rowsBetween(Window.unboundedPreceding, -1)
+    offset = full.select("epoch", F.coalesce(F.sum("_full").over(before), F.lit(0)).alias("_off"))
+    return batches.join(offset, "epoch").withColumn("step", (F.col("_off") + local).cast("long")).drop("_off")
 
 
 def step_metrics(stepped: DataFrame, accumulation: int = GRAD_ACCUMULATION) -> DataFrame:
@@ -113,6 +126,20 @@ def step_metrics(stepped: DataFrame, accumulation: int = GRAD_ACCUMULATION) -> D
             .drop("micro_batches"))
 
 
+def log_points(metrics: DataFrame, every: int = 1, step_col: str = "step") -> DataFrame:
+    """Steps that are logged: every ``every``-th, from step 0."""
+    return metrics.where(F.col(step_col) % every == 0)
+
+
+def two_epochs(preds: DataFrame, batch_size: int = MICRO_BATCH, shift: int = 17) -> DataFrame:
+    """The prediction fixture seen in two epochs, the second one ``shift``
+    positions on (so its batches differ)."""
+    at = F.col("example_id") + F.col("epoch") * shift
+    return (preds.withColumn("epoch", F.explode(F.array(F.lit(0), F.lit(1))))
+            .withColumn("batch_id", F.floor(at / batch_size).cast("long"))
+            .withColumn("pos", (at % batch_size).cast("int")))
+
+
 def eval_points(metrics: DataFrame, every: int = EVALUATION_STEPS, step_col: str = "step") -> DataFrame:
     """Steps where evaluation runs (step 0 included)."""
     return metrics.where(F.col(step_col) % every == 0)

@@ -23,8 +23,11 @@ def build_pairs(spark: SparkSession, root: str, test_share: float = TEST_SHARE,
     """C1 from line files: discover corpora, number lines, zip the two
     sides, stack corpora, split train/test, optionally save."""
     found = files.discover_pairs(spark, root, src_suffix, tgt_suffix)
-    src = files.read_corpus_lines(spark, found, "src")
-    tgt = files.read_corpus_lines(spark, found, "tgt")
+    src = files.read_corpus_lines(spark, root, found, "src", src_suffix)
+    tgt = files.read_corpus_lines(spark, root, found, "tgt", tgt_suffix)
+    if mode == "strict":
+        files.check_all_read(found, src, "src")
+        files.check_all_read(found, tgt, "tgt")
     pairs = align.positional_zip(src, tgt, "english", "french", mode)
     out = split.train_test_split(pairs, ["corpus", "line_no"], test_share, seed, materialize=True)
     if save_to:
@@ -100,8 +103,10 @@ def evaluate(predictions: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def step_log(predictions: DataFrame, accumulation: int = 2, epoch: int = 0) -> DataFrame:
-    """Optimiser-step metrics from micro-batch metrics."""
-    batches = metrics.batch_metrics(predictions)
+    """Optimiser-step metrics from micro-batch metrics; with an ``epoch``
+    column, steps run on over epochs."""
+    by = ("epoch", "batch_id") if "epoch" in predictions.columns else ("batch_id",)
+    batches = metrics.batch_metrics(predictions, by)
     return metrics.step_metrics(metrics.assign_steps(batches, accumulation, epoch), accumulation)
 
 

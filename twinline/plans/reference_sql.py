@@ -16,7 +16,7 @@ _SP = r"\t\n\x0B\f\r\x{85}\p{Z}"
 WORD_PAT = "[" + _W + "]+|[^" + _W + _SP + "]+"
 SPECIAL_PAT = r"\[(?:UNK|PAD|BOS|EOS)\]"
 SRC_PUNCT = r"!-/:-@\[-`{-~\p{P}"
-SRC_PAT = "[^" + r"\t\n\r\p{Zs} " + SRC_PUNCT + "]+|[" + SRC_PUNCT + "]"
+SRC_PAT = "[^" + r"\t\n\r\p{Zs}\p{Zl}\p{Zp} " + SRC_PUNCT + "]+|[" + SRC_PUNCT + "]"
 CJK = (r"[\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}\x{20000}-\x{2A6DF}\x{2A700}-\x{2B73F}"
        r"\x{2B740}-\x{2B81F}\x{2B820}-\x{2CEAF}\x{F900}-\x{FAFF}\x{2F800}-\x{2FA1F}]")
 
@@ -31,16 +31,28 @@ def tok(x: str) -> str:
             f"THEN [regexp_extract_all({n}, '{SPECIAL_PAT}')[i]] ELSE [] END)))")
 
 
-def src_tok(x: str) -> str:
-    """Source words: BERT-uncased clean, CJK spacing, strip accents,
-    lowercase, word runs and single punctuation characters."""
+def plain_tok(x: str) -> str:
+    """Words as the trainer sees them: literal specials are ordinary text."""
+    return f"regexp_extract_all(lower(replace(nfc_normalize({x}), 'Σ', 'σ')), '{WORD_PAT}')"
+
+
+def _src_segment(x: str) -> str:
     c = f"regexp_replace({x}, '[\\t\\n\\r]', ' ', 'g')"
     c = f"regexp_replace({c}, '[\\x{{0}}\\x{{FFFD}}\\p{{C}}]', '', 'g')"
-    c = f"regexp_replace({c}, '\\p{{Zs}}', ' ', 'g')"
+    c = f"regexp_replace({c}, '[\\p{{Zs}}\\p{{Zl}}\\p{{Zp}}]', ' ', 'g')"
     c = f"regexp_replace({c}, '({CJK})', ' \\1 ', 'g')"
     return f"regexp_extract_all(lower(replace(strip_accents({c}), 'Σ', 'σ')), '{SRC_PAT}')"
 
 
+def src_tok(x: str) -> str:
+    """Source words: literal specials split out, then BERT-uncased clean, CJK
+    spacing, strip accents, lowercase, word runs and single punctuation characters."""
+    return (f"flatten(list_transform(string_split_regex({x}, '{SPECIAL_PAT}'), lambda seg, i: "
+            f"list_concat({_src_segment('seg')}, "
+            f"CASE WHEN i <= len(regexp_extract_all({x}, '{SPECIAL_PAT}')) "
+            f"THEN [regexp_extract_all({x}, '{SPECIAL_PAT}')[i]] ELSE [] END)))")
+
+
 # ------------------------------------------------------------- CTE blocks
 
 CORPUS_LINES = """
@@ -70,7 +82,7 @@ split_pairs AS (
 
 WORD_COUNTS = f"""
 doc_words AS (
-  SELECT lang, unnest({tok('text')}) AS word FROM documents WHERE text IS NOT NULL
+  SELECT lang, unnest({plain_tok('text')}) AS word FROM documents WHERE text IS NOT NULL
 ),
 wc_lang AS (SELECT lang, word, count(*) AS count FROM doc_words GROUP BY lang, word)"""
 
@@ -192,11 +204,31 @@ batches AS (
   SELECT batch_id, avg(correct) AS accuracy, avg(loss) AS loss, count(correct)::BIGINT AS valid_tokens
   FROM scored2 GROUP BY batch_id
 ),
+epoch_batches AS (
+  SELECT e.epoch, ((example_id + 17 * e.epoch) // 64)::BIGINT AS batch_id, avg(correct) AS accuracy, avg(loss) AS loss
+  FROM scored2, (VALUES (0), (1)) e(epoch) GROUP BY 1, 2
+),
+numbered AS (
+  SELECT *, batch_id // 2 AS local,
+         CASE WHEN epoch = 0 THEN 0 ELSE (SELECT count(DISTINCT batch_id) // 2 FROM epoch_batches WHERE epoch = 0) END AS off
+  FROM epoch_batches
+),
 steps AS (
-  SELECT 0 AS epoch, (batch_id // 2)::BIGINT AS step, sum(loss / 2) AS train_loss, sum(accuracy / 2) AS accuracy
-  FROM batches GROUP BY batch_id // 2 HAVING count(*) = 2
+  SELECT epoch::INT AS epoch, (off + local)::BIGINT AS step, sum(loss / 2) AS train_loss, sum(accuracy / 2) AS accuracy
+  FROM numbered GROUP BY epoch, off + local HAVING count(*) = 2
 )"""
 
+TURNS = """
+turns AS (
+  SELECT u.conv_id, u.turn, u.text AS source_text, a.text AS target_text
+  FROM conversations u JOIN conversations a
+    ON u.conv_id = a.conv_id AND a.turn = u.turn + 1 AND u.role = 'user' AND a.role = 'assistant'
+)"""
+
+# the edge prefix of the registered queries: specials, 101 letters, a snowman, a line separator
+EDGES = ("SELECT doc_id, 'x[PAD]y [EOS] [pad] [ UNK ]?[BOS] ' || repeat('a', 101) || ' ' || chr(9731) || ' a' || chr(9731) "
+         "|| ' ' || chr(8232) || ' b ' || text AS text FROM documents WHERE text IS NOT NULL")
+
 
 def _with(body: str, select: str) -> str:
     return "WITH RECURSIVE " + body.strip().rstrip(",") + "\n" + select
@@ -204,7 +236,7 @@ def _with(body: str, select: str) -> str:
 
 def _fr_pairs_cte() -> str:
     return CORPUS_LINES + f""",
-fr_words AS (SELECT unnest({tok('text')}) AS word FROM corpus_lines WHERE lang = 'fr'),
+fr_words AS (SELECT unnest({plain_tok('text')}) AS word FROM corpus_lines WHERE lang = 'fr'),
 fr_counts AS (SELECT word, count(*)::BIGINT AS n FROM fr_words GROUP BY word),""" + base_vocab("frbase", "fr_counts") + """,
 fr_syms AS (
   SELECT word, n, i, CASE WHEN i = 1 THEN substring(word, i, 1) ELSE '##' || substring(word, i, 1) END AS sym
@@ -246,7 +278,20 @@ turns AS (
                                        tok("target_text"), None),
                            """SELECT s.conv_id, s.turn, s.ids AS src_ids, t.ids AS tgt_ids
         FROM ts s JOIN tt t USING (conv_id, turn) WHERE len(t.ids) > 5"""),
-    "concat_corpora": _with(CORPUS_LINES, "SELECT corpus, line_no, english, french FROM pairs"),
+    "concat_corpora": _with(CORPUS_LINES + "," + TURNS, """SELECT corpus, english, french FROM pairs
+        UNION ALL SELECT 'conversations', source_text, target_text FROM turns
+        UNION ALL SELECT 'conversations', source_text, target_text FROM turns"""),
+    "rename": _with(CORPUS_LINES, "SELECT corpus, line_no, text AS french FROM corpus_lines WHERE lang = 'fr'"),
+    "saved_dataset": _with(CORPUS_LINES, "SELECT corpus, line_no, english, french, split FROM split_pairs"),
+    "saved_vocab": _with(VOCAB, "SELECT token, id FROM vocab"),
+    "token_to_id": _with(VOCAB, "SELECT t.word AS token, t.count, v.id FROM totals t LEFT JOIN vocab v ON v.token = t.word"),
+    "encode_edges": _with(VOCAB + "," + encode_rows("eg", EDGES, "doc_id", tok("text"), None), "SELECT doc_id, ids FROM eg"),
+    "encode_source_edges": _with(VOCAB + "," + encode_rows("eg", EDGES, "doc_id", src_tok("text"), 510), "SELECT doc_id, ids FROM eg"),
+    "encode_list": _with(VOCAB + "," + encode_rows("cl", "SELECT conv_id, turn, text FROM conversations", "conv_id, turn",
+                                                   tok("text"), None),
+                         "SELECT conv_id, list(ids ORDER BY turn) AS ids FROM cl GROUP BY conv_id"),
+    "metrics_log": _with(PREDS, """SELECT epoch, step, round(train_loss, 6) AS train_loss, round(accuracy, 6) AS accuracy
+        FROM steps"""),
     "train_test_split": _with(CORPUS_LINES, "SELECT corpus, line_no, split FROM split_pairs"),
     "dataset_summary": _with(CORPUS_LINES,
                              "SELECT corpus, split, count(*)::BIGINT AS num_rows FROM split_pairs GROUP BY corpus, split"),
@@ -330,7 +375,7 @@ padded AS (
     "step_metrics": _with(PREDS, """SELECT epoch, step, round(train_loss, 6) AS train_loss, round(accuracy, 6) AS accuracy
         FROM steps"""),
     "eval_points": _with(PREDS, """SELECT epoch, step, round(train_loss, 6) AS train_loss, round(accuracy, 6) AS accuracy
-        FROM steps WHERE step % 2500 = 0"""),
+        FROM steps WHERE step % 3 = 0"""),
     "clip_generated": _with(PREDS, """SELECT batch_id,
         ids[1:least(512, CASE WHEN coalesce(list_position(ids, 3), 0) = 0 THEN 512 ELSE list_position(ids, 3) END)] AS ids
         FROM (SELECT batch_id, list(pred_id ORDER BY pos) AS ids FROM scored GROUP BY batch_id)"""),

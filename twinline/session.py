@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -38,20 +39,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster the setting names a shared file system and is used as is
-    (and must be set).  Only in local mode, when it is unset (tests, a
-    laptop), a fresh scratch folder is made.
-    """
+    """The shared checkpoint folder named by ``spark.checkpoint.dir`` (or set
+    on the context before).  It must be set: checkpoints have to survive
+    executors.  ``local_session`` sets one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: checkpoints must survive executors")
-        configured = tempfile.mkdtemp(prefix="twinline-ckpt-")
+        configured = os.path.join(tempfile.gettempdir(), f"twinline-{uuid.uuid4().hex}")  # one process, one machine
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -18,12 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Text work is CPU-bound per row.  A scan that yields fewer partitions
-    than the cluster has cores (a small file with few row groups) is spread
-    round-robin; at scale, input splits far outnumber cores and this is a
-    no-op.  Filters and column pruning still reach the scan."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Local mode only: a file with one row group is read by one task, so its
+    rows are dealt over the cores.  On a cluster the scan is left as it is;
+    ``spark.sql.files.maxPartitionBytes`` sizes its splits there."""
+    sc = df.sparkSession.sparkContext
+    return df.repartition(sc.defaultParallelism) if sc.master.startswith("local[") else df
 
 
 def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
