@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinline.constants import EOS_ID, GRAD_ACCUMULATION, MAX_LENGTH, MICRO_BATCH
+from twinline.constants import EOS_ID, GRAD_ACCUMULATION, MAX_LENGTH, MICRO_BATCH, TARGET_VOCAB_SIZE
 from twinline.functions import arrays as ax
 from twinline.functions import decode as dec
 from twinline.functions import wordpiece as wp
@@ -33,7 +33,7 @@ EVAL_EVERY = 3          # the fixture has few steps, so evaluate more often than
 EDGE_PREFIX = "x[PAD]y [EOS] [pad] [ UNK ]?[BOS] " + "a" * 101 + " \u2603 a\u2603 \u2028 b "
 TOP_WORDS = 100         # top-k word report per language
 WORLD_SIZE = 2          # processes for the rank-mean query
-TRAIN_VOCAB_SIZE = 1000  # vocabulary size of the distributed trainer query
+TRAIN_VOCAB_SIZE = TARGET_VOCAB_SIZE  # or until no pair is left
 
 # ------------------------------------------------------------------ helpers
 
@@ -348,6 +348,11 @@ def q_train_wordpiece(spark, sf_dir):
     return train_wordpiece(_fr_texts(spark, sf_dir), vocab_size=TRAIN_VOCAB_SIZE).vocab
 
 
+def q_train_wordpiece_1k(spark, sf_dir):
+    """The first 1,000 entries: a size whose merges SQL can follow one by one."""
+    return train_wordpiece(_fr_texts(spark, sf_dir), vocab_size=1000).vocab
+
+
 def q_flagship(spark, sf_dir):
     return jobs.split_length_summary(_tokens(spark, sf_dir))
 
@@ -395,6 +400,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "eval_points": q_eval_points,
     "clip_generated": q_clip_generated,
     "train_wordpiece": q_train_wordpiece,
+    "train_wordpiece_1k": q_train_wordpiece_1k,
     "flagship": q_flagship,
 }
 

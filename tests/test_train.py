@@ -3,34 +3,45 @@
 import random
 
 import pytest
+from sequential_wordpiece import sequential_wordpiece
 
 from twinline.operators import counts
-from twinline.operators.wordpiece_train import choose_prefix, sequential_wordpiece, train_wordpiece
+from twinline.operators.wordpiece_train import LOCAL_WORDS, choose_prefix, train_wordpiece
 
 LINES = ["aaab aab ab ab abc", "bc bca cab été été école", "aaaa aaaa abab abab"]
 
 
+@pytest.mark.parametrize("local", [LOCAL_WORDS, 0])
 @pytest.mark.parametrize("v,size", [(8, 20), (1000, 38)])
-def test_fixture_corpus(spark, v, size):
+def test_fixture_corpus(spark, v, size, local):
     df = spark.createDataFrame([(l,) for l in LINES], "text string")
-    r = train_wordpiece(df, vocab_size=v)
+    r = train_wordpiece(df, vocab_size=v, local_words=local)
     wc = {row["word"]: row["count"] for row in counts.word_counts(df).collect()}
     assert len(r.tokens) == size
     assert r.tokens == sequential_wordpiece(wc, v)
     assert r.vocab.count() == size
-    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"  # restored after the loop
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"  # settings are left alone
 
 
 def test_random_corpora(spark):
     rnd = random.Random(11)
-    for trial in range(6):
+    for trial in range(4):
         words = ["".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 7))) for _ in range(60)]
         lines = [" ".join(rnd.choice(words) for _ in range(12)) for _ in range(20)]
         df = spark.createDataFrame([(l,) for l in lines], "text string")
         wc = {row["word"]: row["count"] for row in counts.word_counts(df).collect()}
         for v in (30, 80):
-            r = train_wordpiece(df, vocab_size=v, top_k=4, checkpoint_every=3)
-            assert r.tokens == sequential_wordpiece(wc, v), (trial, v)
+            near = train_wordpiece(df, vocab_size=v)
+            assert near.tokens == sequential_wordpiece(wc, v), (trial, v)
+            if trial < 2:  # the distributed rounds give the same merges
+                far = train_wordpiece(df, vocab_size=v, top_k=4, checkpoint_every=3, local_words=0)
+                assert far.tokens == near.tokens and far.merges.collect() == near.merges.collect()
+
+
+def test_documents_at_full_size(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang = 'fr'")
+    wc = {row["word"]: row["count"] for row in counts.word_counts(df).collect()}
+    assert train_wordpiece(df, vocab_size=600).tokens == sequential_wordpiece(wc, 600)
 
 
 def test_prefix_rule():

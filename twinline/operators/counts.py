@@ -8,13 +8,21 @@ reducer holding raw rows.
 
 from __future__ import annotations
 
+import sys
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import CONTINUATION_PREFIX, MAX_VOCAB, SPECIAL_TOKENS
 from ..functions import text as tx
 from ..session import ensure_checkpoint_dir
 
+# Functions that run in tasks travel by value: executors need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def word_counts(df: DataFrame, text_col: str = "text", by: list[str] | None = None) -> DataFrame:
     """A2: count of each normalised, pre-tokenised word (optionally per group).
@@ -101,14 +109,23 @@ def vocab_freq(counts: DataFrame, k: int, prefix: str = CONTINUATION_PREFIX,
 
 
 def word_types(counts: DataFrame, vocab: DataFrame, prefix: str = CONTINUATION_PREFIX) -> DataFrame:
-    """(word, n, syms array<int>) -- each word as initial-vocabulary ids."""
-    m = vocab.select("token", "id")
-    e = counts.select("word", F.col("count").alias("n"),
-                      F.posexplode(symbols(F.col("word"), prefix)).alias("pos", "token"))
-    j = e.join(F.broadcast(m), "token")  # alphabet-sized: bounded
-    return (j.groupBy("word", "n")
-            .agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_s"))
-            .select("word", "n", F.col("_s.id").alias("syms")))
+    """(word, n, syms array<int>) -- each word as initial-vocabulary ids, by a
+    dictionary lookup in column batches (the vocabulary is alphabet-sized)."""
+    rows = vocab.limit(MAX_VOCAB + 1).collect()
+    if len(rows) > MAX_VOCAB:
+        raise ValueError(f"initial vocabulary above {MAX_VOCAB} entries")
+    ids = {r["token"]: r["id"] for r in rows}
+    shared = counts.sparkSession.sparkContext.broadcast(ids)
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType(), containsNull=False))
+    def symbol_ids(words: pa.Array) -> pa.Array:
+        table = shared.value
+        first = {t: i for t, i in table.items() if len(t) == 1}
+        later = {t[len(prefix):]: i for t, i in table.items() if t.startswith(prefix) and len(t) == len(prefix) + 1}
+        return pa.array([None if not w else [first[w[0]], *(later[c] for c in w[1:])] for w in words.to_pylist()],
+                        pa.list_(pa.int32()))
+
+    return counts.select("word", F.col("count").cast("long").alias("n"), symbol_ids("word").alias("syms"))
 
 
 def pair_counts(types: DataFrame) -> DataFrame:

@@ -12,6 +12,10 @@ Spark shape
 * ``types(word, n, syms)``: one row per distinct word, its symbol ids --
   built once from the distributed word count; words reduced to one symbol
   are dropped because they can no longer form pairs.
+* Up to ``LOCAL_WORDS`` distinct words (counted, a bound on memory) the merges
+  run in one task over that table, with pair counts and a pair-to-word index
+  that are updated by each merge.  Beyond it they run in rounds over the
+  distributed table; both give the same vocabulary.
 * Each round is one aggregation job: explode adjacent pairs, ``groupBy``
   with partial aggregation, keep the top K (at most K rows reach the
   driver).  The driver keeps the longest prefix of the ranked list that the
@@ -21,8 +25,7 @@ Spark shape
 * ``types`` is cached each round and reliably checkpointed (to the session's
   checkpoint folder) every few rounds, so lineage stays short and a lost
   executor recomputes at most a few rounds.
-* Adaptive query execution is paused during the loop (restored afterwards):
-  a round is a tiny aggregation and re-planning it costs ~15 % of its time.
+* Session settings are left alone.
 
 Prefix rule (exact): a pair (c, d) may follow the already chosen pairs of a
 round only if for every chosen (a, b): d != a and c != b.  A pair whose two
@@ -36,8 +39,9 @@ ranks after the rest of the prefix.
 
 from __future__ import annotations
 
+import heapq
 import sys
-from contextlib import contextmanager
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -53,6 +57,9 @@ from . import counts as cnt
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+LOCAL_WORDS = 500_000  # distinct words up to which one task merges (a few hundred MB)
+
+
 @dataclass
 class TrainResult:
     vocab: DataFrame          # token string, id int
@@ -82,47 +89,82 @@ def _apply_merges(types: DataFrame, merges: dict[tuple[int, int], int]) -> DataF
     """Rewrite every word's symbols with this round's merges (an Arrow UDF:
     a dict lookup per adjacent pair; the merge map holds at most K pairs)."""
     table = dict(merges)
-    lefts = {a for a, _ in table}
+    lefts = sorted({a for a, _ in table})
 
     @F.arrow_udf(T.ArrayType(T.IntegerType(), containsNull=False))
     def merge_batch(col: pa.Array) -> pa.Array:
         rows = col.to_pylist()
         out = []
         for syms in rows:
-            if syms is None or not lefts.intersection(syms):
-                out.append(syms)
-            else:
-                out.append(_merge_symbols(syms, table))
+            out.append(None if syms is None else _merge_symbols(syms, table))
         return pa.array(out, pa.list_(pa.int32()))
 
-    return types.withColumn("syms", merge_batch("syms")).where(F.size("syms") >= 2)
-
-
-def _initial_types(word_counts: DataFrame, token_to_id: dict[str, int], prefix: str) -> DataFrame:
-    toks = list(token_to_id.keys())
-    ids = [token_to_id[t] for t in toks]
-    lut = F.map_from_arrays(F.lit(toks).cast("array<string>"), F.lit(ids).cast("array<int>"))
-    return (word_counts.select("word", F.col("count").cast("long").alias("n"))
-            .select("word", "n", F.transform(cnt.symbols(F.col("word"), prefix),
-                                             lambda t: F.element_at(lut, t)).alias("syms"))
-            .where(F.size("syms") >= 2))
-
-
-@contextmanager
-def _conf(spark, key: str, value: str | None):
-    """Temporarily set one session setting (``None`` leaves it alone)."""
-    if value is None:
-        yield
-        return
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+    # only words that hold a merge's left symbol go to Python
+    touched = F.when(F.arrays_overlap("syms", F.array(*[F.lit(x) for x in lefts])), F.col("syms"))
+    return types.withColumn("syms", F.coalesce(merge_batch(touched), "syms")).where(F.size("syms") >= 2)
+
+
+def merge_in_task(types: DataFrame, tokens: list[str], vocab_size: int, prefix: str) -> list[tuple[int, int, int, int]]:
+    """All merges (left, right, new id, count) of a bounded table of word
+    types, one after the other, in one task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: list[list[int]] = []
+        weight: list[int] = []
+        for b in batches:
+            weight += b.column(0).to_pylist()
+            words += b.column(1).to_pylist()
+        made = _merge_loop(words, weight, list(tokens), vocab_size, prefix)
+        cols = list(zip(*made)) if made else [(), (), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["l", "r", "i", "n"])
+
+    rows = types.select("n", "syms").coalesce(1).mapInArrow(run, "l long, r long, i long, n long").collect()  # at most a vocabulary of merges
+    return [tuple(r) for r in rows]
+
+
+def _merge_loop(words: list[list[int]], weight: list[int], tokens: list[str], vocab_size: int,
+                prefix: str) -> list[tuple[int, int, int, int]]:
+    """Sequential merging with pair counts and a pair -> words index; ``tokens`` grows."""
+    ids = {t: i for i, t in enumerate(tokens)}
+    total: dict[tuple[int, int], int] = {}
+    where: dict[tuple[int, int], set[int]] = {}
+    for k, syms in enumerate(words):
+        for p in zip(syms, syms[1:]):
+            total[p] = total.get(p, 0) + weight[k]
+            where.setdefault(p, set()).add(k)
+    heap = [(-n, a, b) for (a, b), n in total.items()]
+    heapq.heapify(heap)
+    out: list[tuple[int, int, int, int]] = []
+    while heap and len(tokens) < vocab_size:
+        n, a, b = heapq.heappop(heap)
+        if total.get((a, b)) != -n:
+            continue  # an older count of this pair
+        tb = tokens[b]
+        joined = tokens[a] + (tb[len(prefix):] if tb.startswith(prefix) else tb)
+        new = ids.get(joined)
+        if new is None:
+            new = ids[joined] = len(tokens)
+            tokens.append(joined)
+        out.append((a, b, new, -n))
+        changed: set[tuple[int, int]] = set()
+        for k in where.pop((a, b)):
+            old = words[k]
+            syms = words[k] = _merge_symbols(old, {(a, b): new})
+            for p in zip(old, old[1:]):
+                total[p] -= weight[k]
+                changed.add(p)
+                if p in where:
+                    where[p].discard(k)
+            for p in zip(syms, syms[1:]):
+                total[p] = total.get(p, 0) + weight[k]
+                changed.add(p)
+                where.setdefault(p, set()).add(k)
+        for p in changed:
+            if total[p]:
+                heapq.heappush(heap, (-total[p], *p))
+            else:
+                del total[p]
+                where.pop(p, None)
+    return out
 
 
 def choose_prefix(ranked: list[tuple[int, int, int]], id_to_token: list[str],
@@ -151,102 +193,76 @@ def choose_prefix(ranked: list[tuple[int, int, int]], id_to_token: list[str],
 def train_wordpiece(texts: DataFrame, text_col: str = "text", vocab_size: int = TARGET_VOCAB_SIZE,
                     top_k: int = 64, max_top_k: int = 4096, checkpoint_every: int = 10,
                     prefix: str = CONTINUATION_PREFIX, max_rounds: int | None = None,
-                    adaptive: bool = False) -> TrainResult:
+                    local_words: int = LOCAL_WORDS) -> TrainResult:
     """A5: learn a vocabulary of at most ``vocab_size`` tokens (the alphabet
     is always kept whole, so the result can be larger when V is tiny)."""
     spark = texts.sparkSession
     ensure_checkpoint_dir(spark)
     wc = cnt.word_counts(texts, text_col).checkpoint(eager=True)
     base = cnt.initial_vocab(wc, prefix)
-    base_rows = base.orderBy("id").collect()          # alphabet-sized
-    id_to_token = [r["token"] for r in base_rows]
-    token_to_id = {t: i for i, t in enumerate(id_to_token)}
+    id_to_token = [r["token"] for r in base.orderBy("id").collect()]  # alphabet-sized
     assert id_to_token[: len(SPECIAL_TOKENS)] == list(SPECIAL_TOKENS)
-
-    # spread word types over the cluster (a checkpoint of a small aggregate
-    # can come back as one partition, which would serialise every round)
-    parts = max(1, spark.sparkContext.defaultParallelism)
-    types = _initial_types(wc, token_to_id, prefix).repartition(parts, "word").checkpoint(eager=True)
-    merges: list[tuple[int, int, int, int, int]] = []
-    rounds = 0
-    # Each round is a tiny aggregation job; adaptive re-planning only adds
-    # latency there, so it is switched off for the loop (and restored).
-    # Do not share the session with concurrent jobs while training.
-    with _conf(spark, "spark.sql.adaptive.enabled", None if adaptive else "false"):
-        k = top_k
-        release: DataFrame | None = None   # previous cached round, freed once its successor is built
-        while len(id_to_token) < vocab_size and (max_rounds is None or rounds < max_rounds):
-            ranked = [(int(r["left_id"]), int(r["right_id"]), int(r["count"]))
-                      for r in cnt.best_pairs(cnt.pair_counts(types), k).collect()]
-            if release is not None:
-                release.unpersist()
-                release = None
-            if not ranked:
-                break
-            rounds += 1
-            chosen = choose_prefix(ranked, id_to_token, token_to_id, prefix)
-            applied: dict[tuple[int, int], int] = {}
-            for a, b, c, joined in chosen:
-                if len(id_to_token) >= vocab_size:
-                    break
-                new_id = token_to_id.get(joined)
-                if new_id is None:
-                    new_id = len(id_to_token)
-                    id_to_token.append(joined)
-                    token_to_id[joined] = new_id
-                applied[(a, b)] = new_id
-                merges.append((len(merges), a, b, new_id, c))
-            if not applied:
-                break
-            # widen the candidate list while whole lists are usable
-            if len(chosen) == len(ranked):
-                k = min(max_top_k, k * 2)
-            nxt = _apply_merges(types, applied)
-            if rounds % checkpoint_every == 0:
-                nxt = nxt.checkpoint(eager=True)   # reliable: cuts lineage
-                if types.is_cached:
-                    types.unpersist()
-            else:
-                nxt = nxt.cache()
-                release = types if types.is_cached else None
-            types = nxt
-        if types.is_cached:
-            types.unpersist()
+    types = cnt.word_types(wc, base, prefix).where(F.size("syms") >= 2)
+    if max_rounds is None and wc.limit(local_words + 1).count() <= local_words:
+        made = merge_in_task(types, id_to_token, vocab_size, prefix)
+        for a, b, new, _ in made:
+            if new == len(id_to_token):
+                tb = id_to_token[b]
+                id_to_token.append(id_to_token[a] + (tb[len(prefix):] if tb.startswith(prefix) else tb))
+        merges, rounds = [(k, *m) for k, m in enumerate(made)], 1
+    else:
+        merges, rounds = _merge_in_rounds(types, id_to_token, vocab_size, top_k, max_top_k, checkpoint_every, prefix, max_rounds)
     vocab = spark.createDataFrame([(t, i) for i, t in enumerate(id_to_token)], "token string, id int")
     merges_df = spark.createDataFrame(merges, "rank int, left_id int, right_id int, new_id int, count long")
     return TrainResult(vocab=vocab, merges=merges_df, rounds=rounds, tokens=id_to_token)
 
 
-def sequential_wordpiece(word_counts: dict[str, int], vocab_size: int,
-                         prefix: str = CONTINUATION_PREFIX) -> list[str]:
-    """Plain one-merge-at-a-time trainer on a small in-memory word count,
-    used by tests as the brute-force reference for ``train_wordpiece``."""
-    chars_ = sorted({ch for w in word_counts for ch in w})
-    conts = sorted({ch for w in word_counts for ch in w[1:]})
-    tokens = list(SPECIAL_TOKENS) + chars_ + [prefix + ch for ch in conts]
-    t2i = {t: i for i, t in enumerate(tokens)}
-    words = {w: [t2i[w[0]]] + [t2i[prefix + ch] for ch in w[1:]] for w in word_counts}
-    while len(tokens) < vocab_size:
-        pc: dict[tuple[int, int], int] = {}
-        for w, syms in words.items():
-            for x, y in zip(syms, syms[1:]):
-                pc[(x, y)] = pc.get((x, y), 0) + word_counts[w]
-        if not pc:
+def _merge_in_rounds(types: DataFrame, id_to_token: list[str], vocab_size: int, top_k: int, max_top_k: int,
+                     checkpoint_every: int, prefix: str, max_rounds: int | None) -> tuple[list, int]:
+    """The distributed loop; ``id_to_token`` grows."""
+    token_to_id = {t: i for i, t in enumerate(id_to_token)}
+    # spread word types over the cluster (a small aggregate can come back as
+    # one partition, which would serialise every round)
+    parts = max(1, types.sparkSession.sparkContext.defaultParallelism)
+    types = types.repartition(parts, "word").checkpoint(eager=True)
+    merges: list[tuple[int, int, int, int, int]] = []
+    rounds, k = 0, top_k
+    release: DataFrame | None = None   # previous cached round, freed once its successor is built
+    while len(id_to_token) < vocab_size and (max_rounds is None or rounds < max_rounds):
+        ranked = [(int(r["left_id"]), int(r["right_id"]), int(r["count"]))
+                  for r in cnt.best_pairs(cnt.pair_counts(types), k).collect()]
+        if release is not None:
+            release.unpersist()
+            release = None
+        if not ranked:
             break
-        (a, b), _ = min(pc.items(), key=lambda kv: (-kv[1], kv[0]))
-        tb = tokens[b]
-        joined = tokens[a] + (tb[len(prefix):] if tb.startswith(prefix) else tb)
-        nid = t2i.get(joined)
-        if nid is None:
-            nid = len(tokens)
-            tokens.append(joined)
-            t2i[joined] = nid
-        for w, syms in words.items():
-            out: list[int] = []
-            for s in syms:
-                if out and out[-1] == a and s == b:
-                    out[-1] = nid          # left to right; nid != a, so no re-merge
-                else:
-                    out.append(s)
-            words[w] = out
-    return tokens
+        rounds += 1
+        chosen = choose_prefix(ranked, id_to_token, token_to_id, prefix)
+        applied: dict[tuple[int, int], int] = {}
+        for a, b, c, joined in chosen:
+            if len(id_to_token) >= vocab_size:
+                break
+            new_id = token_to_id.get(joined)
+            if new_id is None:
+                new_id = len(id_to_token)
+                id_to_token.append(joined)
+                token_to_id[joined] = new_id
+            applied[(a, b)] = new_id
+            merges.append((len(merges), a, b, new_id, c))
+        if not applied:
+            break
+        # widen the candidate list while whole lists are usable
+        if len(chosen) == len(ranked):
+            k = min(max_top_k, k * 2)
+        nxt = _apply_merges(types, applied)
+        if rounds % checkpoint_every == 0:
+            nxt = nxt.checkpoint(eager=True)   # reliable: cuts lineage
+            if types.is_cached:
+                types.unpersist()
+        else:
+            nxt = nxt.cache()
+            release = types if types.is_cached else None
+        types = nxt
+    if types.is_cached:
+        types.unpersist()
+    return merges, rounds

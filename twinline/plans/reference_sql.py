@@ -249,7 +249,34 @@ fr_pc AS (
 )"""
 
 
+def trainer_sql(vocab_size: int) -> str:
+    """One merge a step over all word types.  A word is its symbols, each
+    between two marks, so replace() merges left to right without overlap."""
+    return _with(_fr_pairs_cte() + f""",
+state(step, word, n, token, id) AS (
+  SELECT 0, string_agg(chr(1) || sym || chr(1), '' ORDER BY i), any_value(n), NULL::VARCHAR, NULL::INT FROM fr_syms GROUP BY word
+  UNION ALL
+  SELECT 0, NULL, NULL, token, id FROM frbase
+  UNION ALL
+  (WITH v AS (SELECT token, id FROM state WHERE token IS NOT NULL),
+  lists AS (SELECT n, string_split(word[2:-2], chr(1) || chr(1)) AS l FROM state WHERE token IS NULL AND contains(word, chr(1) || chr(1))),
+  pc AS (SELECT a, b, sum(n) AS c FROM (SELECT n, unnest(l[1:-2]) AS a, unnest(l[2:]) AS b FROM lists) GROUP BY a, b),
+  top AS (SELECT c, a, b FROM pc WHERE c = (SELECT max(c) FROM pc) AND (SELECT count(*) FROM v) < {vocab_size}),
+  best AS (
+    SELECT a, b, a || CASE WHEN starts_with(b, '##') THEN b[3:] ELSE b END AS joined
+    FROM top JOIN v va ON va.token = a JOIN v vb ON vb.token = b ORDER BY va.id, vb.id LIMIT 1)
+  SELECT step + 1, replace(word, chr(1) || a || chr(1) || chr(1) || b || chr(1), chr(1) || joined || chr(1)), n, NULL, NULL
+  FROM state, best WHERE token IS NULL AND contains(word, chr(1) || chr(1))
+  UNION ALL
+  SELECT step + 1, NULL, NULL, token, id FROM state, best WHERE token IS NOT NULL
+  UNION ALL
+  SELECT (SELECT max(step) FROM state) + 1, NULL, NULL, joined, (SELECT count(*) FROM v)::INT
+  FROM best WHERE joined NOT IN (SELECT token FROM v))
+)""", "SELECT DISTINCT token, id FROM state WHERE token IS NOT NULL")
+
+
 ORACLE: dict[str, str] = {
+    "train_wordpiece_1k": trainer_sql(1000),
     "word_counts": _with(WORD_COUNTS, "SELECT lang, word, count FROM wc_lang"),
     "top_words": _with(WORD_COUNTS, """SELECT * FROM (
         SELECT lang, word, count, row_number() OVER (PARTITION BY lang ORDER BY count DESC, word)::INT AS rank
