@@ -25,14 +25,18 @@ def corpus_lines(docs: DataFrame, corpus_col: str = "source", block_size: int =
     """W1 over documents: one row per ``\\n``-separated line.
 
     ``line_no`` is the 0-based position of the line inside (corpus, lang) in
-    (doc_id, position-in-doc) order.  Result: corpus, lang, line_no, text.
+    (doc_id, position-in-doc) order.  Documents with a null text have no
+    lines.  Result: corpus, lang, line_no, text.
+
+    The windows see only (doc_id, line count); their offsets are joined back
+    on the unique doc_id, so the text is moved at most once and never sorted.
     """
-    d = (docs.where(F.col("text").isNotNull())
-         .select(F.col("doc_id"), F.col(corpus_col).alias("corpus"), F.col("lang"),
-                 F.split(F.col("text"), "\n", -1).alias("_lines"))
-         .withColumn("_n", F.size("_lines").cast("long")))
-    d = prefix_offsets(d, ["corpus", "lang"], "doc_id", "_n", "_line_off", block_size)
-    return d.select("corpus", "lang", "_line_off", F.posexplode("_lines").alias("_pos", "text")).select(
+    d = docs.where(F.col("text").isNotNull())
+    n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    narrow = d.select("doc_id", F.col(corpus_col).alias("corpus"), "lang", n_lines.cast("long").alias("_n"))
+    offsets = prefix_offsets(narrow, ["corpus", "lang"], "doc_id", "_n", "_line_off", block_size, rows_per_block=block_size)
+    lines = d.select("doc_id", F.col(corpus_col).alias("corpus"), "lang", "text").join(offsets.select("doc_id", "_line_off"), "doc_id")
+    return lines.select("corpus", "lang", "_line_off", F.posexplode(F.split("text", "\n", -1)).alias("_pos", "text")).select(
         "corpus", "lang", (F.col("_line_off") + F.col("_pos")).cast("long").alias("line_no"), "text")
 
 
@@ -57,10 +61,10 @@ def positional_zip(src_lines: DataFrame, tgt_lines: DataFrame, src_name: str = "
         b = tgt_lines.groupBy("corpus").agg(F.count(F.lit(1)).alias("n_tgt"))
         bad = (a.join(b, "corpus", "full_outer")
                .where(F.coalesce(F.col("n_src"), F.lit(-1)) != F.coalesce(F.col("n_tgt"), F.lit(-1)))
-               .orderBy("corpus").limit(20).collect())
+               .orderBy("corpus").limit(21).collect())
         if bad:
-            detail = ", ".join(f"{r['corpus']}: {r['n_src']} vs {r['n_tgt']}" for r in bad)
-            raise AlignmentError(f"line counts differ per corpus: {detail}")
+            detail = ", ".join(f"{r['corpus']}: {r['n_src']} vs {r['n_tgt']}" for r in bad[:20])
+            raise AlignmentError(f"line counts differ per corpus: {detail}{', and more' * (len(bad) > 20)}")
     s = src_lines.select("corpus", "line_no", F.col("text").alias(src_name))
     t = tgt_lines.select("corpus", "line_no", F.col("text").alias(tgt_name))
     return s.join(t, ["corpus", "line_no"], "inner")
@@ -68,10 +72,18 @@ def positional_zip(src_lines: DataFrame, tgt_lines: DataFrame, src_name: str = "
 
 def language_pairs(lines: DataFrame, src_lang: str = "en", tgt_lang: str = "fr",
                    src_name: str = "english", tgt_name: str = "french", mode: str = "truncate") -> DataFrame:
-    """Pairs from one line table holding both languages (filters are pushed
-    to the scan when ``lines`` comes from parquet)."""
-    return positional_zip(lines.where(F.col("lang") == src_lang), lines.where(F.col("lang") == tgt_lang),
-                          src_name, tgt_name, mode)
+    """J1 from one line table holding both languages: the two lines of a
+    (corpus, line_no) meet in one grouping, so the table is read once (the
+    language filter is pushed to its scan).  ``strict`` as in positional_zip."""
+    if mode != "truncate":
+        return positional_zip(lines.where(F.col("lang") == src_lang), lines.where(F.col("lang") == tgt_lang),
+                              src_name, tgt_name, mode)
+    is_src, is_tgt = F.col("lang") == src_lang, F.col("lang") == tgt_lang
+    both = lines.where(F.col("lang").isin(src_lang, tgt_lang) & F.col("corpus").isNotNull()).groupBy("corpus", "line_no").agg(
+        F.max(F.when(is_src, F.col("text"))).alias(src_name), F.max(F.when(is_tgt, F.col("text"))).alias(tgt_name),
+        # flags, so that a reader of the keys alone needs no text
+        F.max(is_src).alias("_s"), F.max(is_tgt).alias("_t"))
+    return both.where(F.col("_s") & F.col("_t")).select("corpus", "line_no", src_name, tgt_name)
 
 
 def concat_corpora(frames: list[DataFrame]) -> DataFrame:

@@ -2,14 +2,10 @@
 
 Shuffled batches (the training loader): rows get a global rank in the
 order of ``md5(seed:epoch:key)`` via hash buckets (``hash_rank``), and
-``batch_id = (rank - 1) div B``.  The per-batch maximum lengths are then a
-window over (bucket, batch_id) -- the data is already hash-partitioned by
-bucket after the ranking window, so this adds no exchange.  A batch that
-straddles two buckets (at most one per bucket boundary, so a table bounded
-by the bucket count) gets its maximum from a small broadcast fix-up.
-
-Unshuffled batches (the evaluation loader) follow key order via
-``prefix_offsets`` ranks and one window per batch.
+``batch_id = (rank - 1) div B``.  Unshuffled batches (the evaluation loader)
+follow key order via ``prefix_offsets`` ranks.  Ranks, batches and the
+per-batch maximum lengths are computed on keys and lengths; the token arrays
+are shuffled once, to meet their layout.
 """
 
 from __future__ import annotations
@@ -41,10 +37,10 @@ def ordered_ranks(df: DataFrame, group_col: str, order_col: str) -> DataFrame:
     d = df.withColumn("_one", F.lit(1).cast("long"))
     d = prefix_offsets(d, [group_col], order_col, "_one", "_in_group")
     sizes = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("_gn"))
-    # one row per group (corpora): bounded and broadcast
+    # one row per group; joined as its size allows
     sizes = sizes.select(group_col, F.coalesce(F.sum("_gn").over(
         Window.orderBy(group_col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_goff"))
-    return (d.join(F.broadcast(sizes), group_col)
+    return (d.join(sizes, group_col)
             .withColumn("rank", (F.col("_goff") + F.col("_in_group") + 1).cast("long"))
             .drop("_one", "_in_group", "_goff"))
 
@@ -62,28 +58,22 @@ def batch_max_len(batched: DataFrame, src_col: str = "src_ids", tgt_col: str = "
                                            F.max(F.size(tgt_col)).alias("tgt_max_len"))
 
 
-def _with_batch_max_bucketed(b: DataFrame, offsets: DataFrame, batch_size: int, src_col: str,
-                             tgt_col: str) -> DataFrame:
-    w = Window.partitionBy("_hr_bucket", "batch_id")
-    d = (b.withColumn("_smax", F.max(F.size(src_col)).over(w))
-         .withColumn("_tmax", F.max(F.size(tgt_col)).over(w)))
-    # Batches cut by a bucket boundary: a bucket whose first rank (offset+1)
-    # is not a batch start.  Known from the offset table (one row per
-    # bucket); only the rows of those batches are re-aggregated.
-    straddle = (offsets.where((F.col("_hr_off") % batch_size) != 0)
-                .select(F.floor(F.col("_hr_off") / batch_size).cast("long").alias("batch_id")))
-    fix = (b.join(F.broadcast(straddle), "batch_id")
-           .groupBy("batch_id").agg(F.max(F.size(src_col)).alias("_fs"), F.max(F.size(tgt_col)).alias("_ft")))
-    return (d.join(F.broadcast(fix), "batch_id", "left")
-            .withColumn("src_max_len", F.coalesce("_fs", "_smax"))
-            .withColumn("tgt_max_len", F.coalesce("_ft", "_tmax"))
-            .drop("_smax", "_tmax", "_fs", "_ft"))
-
-
-def _with_batch_max_plain(b: DataFrame, src_col: str, tgt_col: str) -> DataFrame:
-    w = Window.partitionBy("batch_id")
-    return (b.withColumn("src_max_len", F.max(F.size(src_col)).over(w))
-            .withColumn("tgt_max_len", F.max(F.size(tgt_col)).over(w)))
+def batch_layout(tokens: DataFrame, key_cols: list[str], batch_size: int, seed: int | str, epoch: int, shuffle: bool,
+                 src_col: str, tgt_col: str, digits: int | None = None) -> DataFrame:
+    """(*key_cols, batch_id, pos, src_max_len, tgt_max_len) of every row, from
+    keys and lengths alone: ranks, batches and batch maxima never see a token."""
+    narrow = tokens.select(*key_cols, F.size(src_col).alias("_s"), F.size(tgt_col).alias("_t"))
+    ensure_checkpoint_dir(tokens.sparkSession)
+    narrow = narrow.checkpoint(eager=True)
+    if shuffle:
+        ranked = shuffled_ranks(narrow, key_cols, seed, epoch, digits)
+    else:
+        if len(key_cols) != 2:
+            raise ValueError("unshuffled order needs (group, order) key columns")
+        ranked = ordered_ranks(narrow, key_cols[0], key_cols[1])
+    w = Window.partitionBy("batch_id")  # a batch holds at most batch_size rows
+    return assign_batches(ranked, batch_size).select(
+        *key_cols, "batch_id", "pos", F.max("_s").over(w).alias("src_max_len"), F.max("_t").over(w).alias("tgt_max_len"))
 
 
 def collate_columns(d: DataFrame, src_col: str, tgt_col: str, src_pad: int, tgt_pad: int) -> DataFrame:
@@ -116,15 +106,8 @@ def collate(tokens: DataFrame, key_cols: list[str], batch_size: int = MICRO_BATC
     if materialize:
         ensure_checkpoint_dir(tokens.sparkSession)
         tokens = tokens.checkpoint(eager=True)
-    if shuffle:
-        ranked, offsets = shuffled_ranks(tokens, key_cols, seed, epoch, digits, with_offsets=True)
-        b = assign_batches(ranked, batch_size)
-        d = _with_batch_max_bucketed(b, offsets, batch_size, src_col, tgt_col)
-    else:
-        if len(key_cols) != 2:
-            raise ValueError("unshuffled order needs (group, order) key columns")
-        b = assign_batches(ordered_ranks(tokens, key_cols[0], key_cols[1]), batch_size)
-        d = _with_batch_max_plain(b, src_col, tgt_col)
+    layout = batch_layout(tokens, key_cols, batch_size, seed, epoch, shuffle, src_col, tgt_col, digits)
+    d = tokens.join(layout, key_cols)  # the one shuffle of the token arrays
     out = collate_columns(d, src_col, tgt_col, src_pad, tgt_pad)
     return out.select(*key_cols, "batch_id", "pos", "src_input_ids", "src_pad_mask", "tgt_input_ids",
                       "tgt_pad_mask", "tgt_outputs")

@@ -28,13 +28,20 @@ MAX_HASH_DIGITS = 5  # at most 16**5 = 1,048,576 buckets (~16 MB offset table)
 
 
 def prefix_offsets(df: DataFrame, group_cols: list[str], order_col: str, weight_col: str,
-                   out_col: str = "offset", block_size: int = 1 << 16) -> DataFrame:
+                   out_col: str = "offset", block_size: int = 1 << 16, rows_per_block: int | None = None) -> DataFrame:
     """Add ``out_col`` = sum of ``weight_col`` over the rows of the same group
     that come before this row in ``order_col`` order (exclusive prefix sum).
 
-    ``order_col`` must be a non-negative long, unique inside a group.
+    ``order_col`` must be a long, unique inside a group.  A block spans
+    ``block_size`` values of it; with ``rows_per_block`` the span is widened
+    for sparse values (one aggregate of the narrow column), so that blocks hold
+    about that many rows.
     """
     blk = "_pfx_blk"
+    if rows_per_block:
+        s = df.agg(F.min(order_col).alias("a"), F.max(order_col).alias("z"), F.count(F.lit(1)).alias("n")).first()
+        if s["n"]:
+            block_size = max(rows_per_block, (s["z"] - s["a"] + 1) * rows_per_block // s["n"])
     d = df.withColumn(blk, F.floor(F.col(order_col) / F.lit(block_size)))
     in_block = Window.partitionBy(*group_cols, blk).orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, -1)
@@ -48,11 +55,10 @@ def prefix_offsets(df: DataFrame, group_cols: list[str], order_col: str, weight_
             .drop(blk, "_pfx_in", "_pfx_blk_off"))
 
 
-def hash_digits_for(n_rows: int, rows_per_bucket: int = 1 << 20) -> int:
-    """Hex digits of the bucket key so that a bucket holds ~rows_per_bucket rows."""
-    if n_rows <= rows_per_bucket:
-        return 1
-    return min(MAX_HASH_DIGITS, max(1, math.ceil(math.log(n_rows / rows_per_bucket, 16))))
+def hash_digits_for(n_rows: int, rows_per_bucket: int = 1 << 14) -> int:
+    """Hex digits of the bucket key so that a bucket holds about
+    ``rows_per_bucket`` rows; at least two, so that a cluster has tasks."""
+    return min(MAX_HASH_DIGITS, max(2, math.ceil(math.log(max(n_rows, 1) / rows_per_bucket, 16))))
 
 
 def hash_bucket(hash_col: Column, digits: int) -> Column:

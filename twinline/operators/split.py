@@ -47,30 +47,40 @@ def train_test_split(df: DataFrame, key_cols: list[str], test_share: float = TES
     Test rows are the smallest by (md5(seed:key), key).  One bucket
     histogram (<= 16**digits rows; its sum is n) and one ranked bucket reach
     the driver; the data itself is only filtered.  With ``materialize`` the
-    keyed input is reliably checkpointed first, so an expensive upstream plan
-    runs once instead of once per pass.
+    keys (not the rows) are reliably checkpointed first, so the upstream plan
+    runs once for them instead of once per pass.
     """
     h = "_split_hash"
-    d = df.withColumn(h, row_hash(seed, key_cols))
+    keys = df.select(*key_cols).withColumn(h, row_hash(seed, key_cols))
     if materialize:
-        ensure_checkpoint_dir(d.sparkSession)
-        d = d.checkpoint(eager=True)
+        ensure_checkpoint_dir(df.sparkSession)
+        keys = keys.checkpoint(eager=True)  # keys only: no text is stored
     if digits is None:
         digits = hash_digits_for(n_rows if n_rows is not None else 1 << 20)
-    hist = bucket_counts(d, h, digits)
+    hist = bucket_counts(keys, h, digits)
     n = sum(c for _, c in hist)
     if n_rows is None and hash_digits_for(n) != digits:
         digits = hash_digits_for(n)
-        hist = bucket_counts(d, h, digits)
+        hist = bucket_counts(keys, h, digits)
     k = test_rows(n, test_share)
-    found = hash_threshold(d, h, key_cols, k, digits, hist)
+    found = hash_threshold(keys, h, key_cols, k, digits, hist)
     if found is None:
         is_test = F.lit(False)
     else:
         bucket, row = found
         b = hash_bucket(F.col(h), digits)
         is_test = (b < F.lit(bucket)) | ((b == F.lit(bucket)) & tuple_le([h, *key_cols], list(row)))
-    return d.withColumn(split_col, F.when(is_test, F.lit("test")).otherwise(F.lit("train"))).drop(h)
+    return (df.withColumn(h, row_hash(seed, key_cols))
+            .withColumn(split_col, F.when(is_test, F.lit("test")).otherwise(F.lit("train"))).drop(h))
+
+
+def hash_share_split(df: DataFrame, key_cols: list[str], test_share: float = TEST_SHARE, seed: int | str = 42,
+                     split_col: str = "split") -> DataFrame:
+    """T2, cheap mode: a row is 'test' if its hash lies in the lowest
+    ``test_share`` of the range.  No pass over the data; the size is
+    approximate."""
+    bits = F.conv(F.substring(row_hash(seed, key_cols), 1, 12), 16, 10).cast("double")
+    return df.withColumn(split_col, F.when(bits < test_share * 16.0**12, F.lit("test")).otherwise(F.lit("train")))
 
 
 def select_split(df: DataFrame, name: str, split_col: str = "split") -> DataFrame:
