@@ -21,7 +21,6 @@ from twinline.functions import arrays as ax
 from twinline.functions import decode as dec
 from twinline.functions import wordpiece as wp
 from twinline.operators import align, collate, counts, filters, metrics, split
-from twinline.operators.wordpiece_train import train_wordpiece
 from twinline.plans import jobs
 from twinline.session import ensure_checkpoint_dir, shared_folder
 from twinline.sources import store, tables
@@ -65,8 +64,7 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _split_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_checkpoint_dir(spark)
-    return split.train_test_split(_pairs(spark, sf_dir), ["corpus", "line_no"], seed=SEED, materialize=True)
+    return jobs.build_pairs_from_documents(_docs(spark, sf_dir), seed=SEED)
 
 
 def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,6 +238,11 @@ def q_train_test_split(spark, sf_dir):
     return _split_pairs(spark, sf_dir).select("corpus", "line_no", "split")
 
 
+def q_hash_share_split(spark, sf_dir):
+    """T2, cheap mode."""
+    return split.hash_share_split(_pairs(spark, sf_dir), ["corpus", "line_no"], seed=SEED).select("corpus", "line_no", "split")
+
+
 def q_dataset_summary(spark, sf_dir):
     return split.dataset_summary(_split_pairs(spark, sf_dir))
 
@@ -312,12 +315,11 @@ def q_valid_positions(spark, sf_dir):
 
 
 def q_batch_metrics(spark, sf_dir):
-    return _round6(metrics.batch_metrics(_preds(spark, sf_dir)), ["accuracy", "loss"])
+    return _round6(jobs.evaluate(_preds(spark, sf_dir))[0], ["accuracy", "loss"])
 
 
 def q_eval_mean(spark, sf_dir):
-    b = metrics.batch_metrics(_preds(spark, sf_dir))
-    return _round6(metrics.eval_mean(b), ["test_loss", "test_acc", "weighted_loss", "weighted_acc"])
+    return _round6(jobs.evaluate(_preds(spark, sf_dir))[1], ["test_loss", "test_acc", "weighted_loss", "weighted_acc"])
 
 
 def q_rank_mean(spark, sf_dir):
@@ -345,12 +347,12 @@ def q_strip_specials(spark, sf_dir):
 
 
 def q_train_wordpiece(spark, sf_dir):
-    return train_wordpiece(_fr_texts(spark, sf_dir), vocab_size=TRAIN_VOCAB_SIZE).vocab
+    return jobs.train_vocab(_fr_texts(spark, sf_dir), vocab_size=TRAIN_VOCAB_SIZE).vocab
 
 
 def q_train_wordpiece_1k(spark, sf_dir):
     """The first 1,000 entries: a size whose merges SQL can follow one by one."""
-    return train_wordpiece(_fr_texts(spark, sf_dir), vocab_size=1000).vocab
+    return jobs.train_vocab(_fr_texts(spark, sf_dir), vocab_size=1000).vocab
 
 
 def q_flagship(spark, sf_dir):
@@ -379,6 +381,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "encode_list": q_encode_list,
     "metrics_log": q_metrics_log,
     "train_test_split": q_train_test_split,
+    "hash_share_split": q_hash_share_split,
     "dataset_summary": q_dataset_summary,
     "encode_target": q_encode_target,
     "encode_target_truncated": q_encode_target_truncated,

@@ -14,15 +14,6 @@ def min_target_length(df: DataFrame, min_length: int = MIN_TARGET_LENGTH, tgt_co
     return df.where(F.size(tgt_col) > min_length)
 
 
-def over_length(df: DataFrame, max_length: int = MAX_LENGTH, cols: tuple[str, ...] = ("src_ids", "tgt_ids")) -> DataFrame:
-    """Rows with any id sequence longer than ``max_length``."""
-    cond = None
-    for c in cols:
-        x = F.size(c) > max_length
-        cond = x if cond is None else (cond | x)
-    return df.where(cond)
-
-
 def over_length_report(df: DataFrame, max_length: int = MAX_LENGTH, by: tuple[str, ...] = ("split",),
                        cols: tuple[str, ...] = ("src_ids", "tgt_ids")) -> DataFrame:
     """per group, how many rows exceed the position table on each side."""

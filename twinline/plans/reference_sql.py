@@ -320,6 +320,9 @@ turns AS (
     "metrics_log": _with(PREDS, """SELECT epoch, step, round(train_loss, 6) AS train_loss, round(accuracy, 6) AS accuracy
         FROM steps"""),
     "train_test_split": _with(CORPUS_LINES, "SELECT corpus, line_no, split FROM split_pairs"),
+    "hash_share_split": _with(CORPUS_LINES, """SELECT corpus, line_no,
+        CASE WHEN ('0x' || substring(md5(concat_ws(':', '42', corpus, CAST(line_no AS VARCHAR))), 1, 12))::UBIGINT < 0.005::DOUBLE * pow(16, 12)
+             THEN 'test' ELSE 'train' END AS split FROM pairs"""),
     "dataset_summary": _with(CORPUS_LINES,
                              "SELECT corpus, split, count(*)::BIGINT AS num_rows FROM split_pairs GROUP BY corpus, split"),
     "encode_target": _with(CORPUS_LINES + "," + VOCAB + "," +
