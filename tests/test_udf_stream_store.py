@@ -8,7 +8,8 @@ from twinline.constants import SPECIAL_TOKENS
 from twinline.functions import wordpiece as wp
 from twinline.operators import udf
 from twinline.sources import store
-from twinline.streaming import PAIR_SCHEMA, start_tokenize_files, tokenize_stream
+from twinline.sources.store import RAW_SCHEMA
+from twinline.streaming import start_tokenize_files, tokenize_stream
 
 
 def test_map_filter_apply(spark):
@@ -33,11 +34,11 @@ def test_stream_matches_batch(spark, tmp_path):
     v = _vocab()
     rows = [("c", 0, "The cat.", "Le chat le chat.", "train"), ("c", 1, "a b", "ab le", "test")]
     src = tmp_path / "in"
-    spark.createDataFrame(rows, PAIR_SCHEMA).write.parquet(str(src))
+    spark.createDataFrame(rows, RAW_SCHEMA).write.parquet(str(src))
     q = start_tokenize_files(spark, str(src), str(tmp_path / "out"), str(tmp_path / "ckpt"), v, v)
     q.awaitTermination(120)
     got = spark.read.parquet(str(tmp_path / "out"))
-    batch = tokenize_stream(spark.createDataFrame(rows, PAIR_SCHEMA), v, v)
+    batch = tokenize_stream(spark.createDataFrame(rows, RAW_SCHEMA), v, v)
     cols = ["corpus", "line_no", "split", "src_ids", "tgt_ids"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, batch.select(cols).collect()))
     assert got.count() == 1  # "ab le" -> [BOS] a ##b le [EOS]: 5 ids, not more than 5

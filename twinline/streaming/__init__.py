@@ -10,32 +10,18 @@ checkpoint, for pair files that arrive over time.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..constants import MAX_LENGTH, MIN_TARGET_LENGTH
 from ..functions import wordpiece as wp
-from ..operators import filters
-
-PAIR_SCHEMA = T.StructType([
-    T.StructField("corpus", T.StringType()),
-    T.StructField("line_no", T.LongType()),
-    T.StructField("english", T.StringType()),
-    T.StructField("french", T.StringType()),
-    T.StructField("split", T.StringType()),
-])
+from ..plans.jobs import tokenize_pairs
+from ..sources.store import RAW_SCHEMA
 
 
 def tokenize_stream(pairs: DataFrame, src_vocab: wp.Vocabulary, tgt_vocab: wp.Vocabulary,
                     max_length: int = MAX_LENGTH, min_length: int = MIN_TARGET_LENGTH) -> DataFrame:
     """C3 over a streaming (or batch) pair table: stateless, row by row."""
-    spark = pairs.sparkSession
-    tok = pairs.select(
-        "corpus", "line_no", "split",
-        wp.encode_source(F.col("english"), src_vocab, spark, max_length).alias("src_ids"),
-        wp.encode_target(F.col("french"), tgt_vocab, spark).alias("tgt_ids"))
-    return filters.min_target_length(tok, min_length)
+    return tokenize_pairs(pairs, src_vocab, tgt_vocab, max_length, min_length)
 
 
 def start_tokenize_files(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_location: str,
@@ -44,7 +30,7 @@ def start_tokenize_files(spark: SparkSession, source_dir: str, sink_dir: str, ch
     """Read parquet pair files as they land in ``source_dir``, write token
     rows to ``sink_dir`` (partitioned by split).  ``checkpoint_location``
     must be on shared storage."""
-    src = spark.readStream.schema(PAIR_SCHEMA).parquet(source_dir)
+    src = spark.readStream.schema(RAW_SCHEMA).parquet(source_dir)
     out = tokenize_stream(src, src_vocab, tgt_vocab)
     w = (out.writeStream.format("parquet").option("path", sink_dir)
          .option("checkpointLocation", checkpoint_location).partitionBy("split").outputMode("append"))
