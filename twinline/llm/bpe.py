@@ -29,6 +29,7 @@ import hashlib
 import heapq
 import sys
 from collections.abc import Iterator
+from contextlib import closing
 
 import numpy as np
 import pyarrow as pa
@@ -40,27 +41,36 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SQL_WORD_BYTES = 256
-SQL_BATCH_WORDS = 40_000
-CACHE_WORDS = 400_000
-CHUNK_BYTES = 1 << 22
+SQL_BATCH_WORK = 1_500_000  # squared word lengths of one query: bounds the rows of all its steps
+CACHE_WORDS = 200_000
+CHUNK_BYTES = 1 << 20
 
+# A row is a token: g is word * 256 + position, nx the g of the word's next
+# token (-1 at its end).  A step contracts, in every word that still has a
+# known pair, the leftmost pair of the smallest rank.
 MERGE_SQL = """
-WITH RECURSIVE s(step, w, pos, id) AS (
-  SELECT 0, w, pos, id FROM start_tokens
+CREATE OR REPLACE TEMP TABLE steps AS
+WITH RECURSIVE s(step, g, nx, id) AS (
+  SELECT 0, g, nx, id FROM start_tokens
   UNION ALL
-  SELECT step + 1, w, pos, CASE WHEN pos = best_pos THEN best_id ELSE id END
-  FROM (
-    SELECT step, w, pos, id, prev_pos, best >> 20 AS best_id, best & 1048575 AS best_pos
-    FROM (
-      SELECT p.step, p.w, p.pos, p.id, p.prev_pos,
-             min((m.id::BIGINT << 20) + p.pos) OVER (PARTITION BY p.w) AS best
-      FROM (
-        SELECT step, w, pos, id, lead(id) OVER o AS next_id, lag(pos) OVER o AS prev_pos
-        FROM s WINDOW o AS (PARTITION BY w ORDER BY pos)) p
-      LEFT JOIN merges m ON m.l = p.id AND m.r = p.next_id)
-    WHERE best IS NOT NULL)
-  WHERE prev_pos IS DISTINCT FROM best_pos)
-SELECT w, pos, id FROM s QUALIFY step = max(step) OVER (PARTITION BY w) ORDER BY w, pos
+  SELECT t.step + 1, t.g, CASE WHEN t.g = b.at THEN b.after ELSE t.nx END, CASE WHEN t.g = b.at THEN b.joined ELSE t.id END
+  FROM s t JOIN (
+    SELECT p.g >> 8 AS w,
+           arg_min(p.g, (m.id::BIGINT << 8) | (p.g & 255)) AS at,
+           arg_min(p.nx, (m.id::BIGINT << 8) | (p.g & 255)) AS gone,
+           arg_min(p.right_nx, (m.id::BIGINT << 8) | (p.g & 255)) AS after,
+           arg_min(m.id, (m.id::BIGINT << 8) | (p.g & 255)) AS joined
+    FROM (SELECT g, nx, id, lead(id) OVER o AS right_id, lead(nx) OVER o AS right_nx FROM s WINDOW o AS (ORDER BY g)) p
+    JOIN merges m ON m.l = p.id AND m.r = p.right_id AND p.nx >= 0
+    GROUP BY p.g >> 8) b ON b.w = t.g >> 8
+  WHERE t.g <> b.gone)
+SELECT step, g, id FROM s
+"""
+
+LAST_SQL = """
+SELECT s.g >> 8 AS w, s.id FROM steps s
+JOIN (SELECT g >> 8 AS w, max(step) AS step FROM steps GROUP BY 1) l ON l.w = s.g >> 8 AND l.step = s.step
+ORDER BY s.g
 """
 
 DECODE_SQL = """
@@ -124,7 +134,7 @@ class TaskBpe:
         import duckdb
 
         self.ranks = ranks
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "700MB", "temp_directory": ""})
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         self._load("merges", pa.table({"l": pairs[0], "r": pairs[1], "id": pairs[2]}))
         # bytes travel as Latin-1 characters: tokens need not be valid UTF-8
         self._load("vocab", pa.table({"id": pa.array(list(ranks.values()), pa.int32()),
@@ -133,23 +143,27 @@ class TaskBpe:
         for t, i in ranks.items():
             if len(t) == 1:
                 self.byte_id[t[0]] = i
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}  # ids as little-endian 32-bit integers
 
     def _load(self, name: str, table: pa.Table) -> None:
         self.con.register("_in", table)
         self.con.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM _in")
         self.con.unregister("_in")
 
-    def _merge(self, words: list[bytes]) -> list[np.ndarray]:
+    def _merge(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word as little-endian 32-bit integers."""
         size = np.array([len(w) for w in words], np.int64)
         raw = np.frombuffer(b"".join(words), np.uint8)
-        self.con.register("start_tokens", pa.table({
-            "w": np.repeat(np.arange(len(words), dtype=np.int32), size),
-            "pos": ragged(np.zeros(len(words), np.int64), size).astype(np.int32), "id": self.byte_id[raw]}))
-        got = self.con.sql(MERGE_SQL).to_arrow_table()
+        g = np.repeat(np.arange(len(words), dtype=np.int64) << 8, size) + ragged(np.zeros(len(words), np.int64), size)
+        nx = g + 1
+        nx[np.cumsum(size) - 1] = -1
+        self.con.register("start_tokens", pa.table({"g": g, "nx": nx, "id": self.byte_id[raw]}))
+        self.con.execute(MERGE_SQL)
+        got = self.con.sql(LAST_SQL).to_arrow_table()
+        self.con.execute("DROP TABLE steps")
         self.con.unregister("start_tokens")
-        w, ids = np.asarray(got["w"]), np.asarray(got["id"]).astype(np.uint32)
-        return np.split(ids, np.searchsorted(w, np.arange(1, len(words))))
+        w, ids = np.asarray(got["w"]), np.asarray(got["id"]).astype("<u4")
+        return [x.tobytes() for x in np.split(ids, np.searchsorted(w, np.arange(1, len(words))))]
 
     def learn(self, words: list[str]) -> None:
         """Make the tokens of these words known."""
@@ -160,14 +174,23 @@ class TaskBpe:
             b = w.encode("utf-8")
             whole = self.ranks.get(b)
             if whole is not None:
-                self.known[w] = np.array([whole], np.uint32)
+                self.known[w] = whole.to_bytes(4, "little")
             elif len(b) > SQL_WORD_BYTES:
-                self.known[w] = np.array(heap_merge(b, self.ranks), np.uint32)
+                self.known[w] = np.array(heap_merge(b, self.ranks), "<u4").tobytes()
             else:
                 todo.append(w)
-        for i in range(0, len(todo), SQL_BATCH_WORDS):
-            part = todo[i:i + SQL_BATCH_WORDS]
-            self.known.update(zip(part, self._merge([w.encode("utf-8") for w in part])))
+        i = 0
+        while i < len(todo):
+            part, work = [], 0
+            while i < len(todo) and (not part or work < SQL_BATCH_WORK):
+                part.append(todo[i].encode("utf-8"))
+                work += len(part[-1]) ** 2
+                i += 1
+            self.known.update(zip(todo[i - len(part):i], self._merge(part)))
+
+    def close(self) -> None:
+        self.known.clear()
+        self.con.close()
 
     def encode(self, words: pa.Array, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts, and where each text's ids end (from 0)."""
@@ -177,8 +200,8 @@ class TaskBpe:
             self.known.clear()
         self.learn(distinct)
         got = [self.known[w] for w in distinct]
-        size = np.array([len(x) for x in got], np.int64)
-        flat = np.concatenate(got) if got else np.zeros(0, np.uint32)
+        size = np.array([len(x) for x in got], np.int64) // 4
+        flat = np.frombuffer(b"".join(got), "<u4")
         per = size[codes]
         ids = flat[ragged((np.cumsum(size) - size)[codes], per)]
         return ids, np.concatenate([[0], np.cumsum(per)])[ends]
@@ -218,24 +241,26 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     id_type = src.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task: TaskBpe | None = None
-        for b in batches:
-            task = task or TaskBpe(*shared.value)
-            lists = b.column("_words")
-            flat = lists.flatten()
-            ends = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists), dtype=np.int64))])
-            sizes = np.asarray(pc.binary_length(flat), dtype=np.int64)
-            for i, j in _slices(ends, sizes, CHUNK_BYTES):
-                ids, at = task.encode(flat.slice(ends[i], ends[j] - ends[i]), ends[i:j + 1] - ends[i])
-                row, n = b.column("_id").slice(i, j - i), pa.array(np.diff(at))
-                if digest:
-                    raw = ids.astype("<u4")
-                    sha = pa.array([hashlib.sha256(raw[x:y]).hexdigest() for x, y in zip(at[:-1], at[1:])], pa.string())
-                    dec = pa.array([hashlib.sha256(x).hexdigest() for x in task.decode(ids, at)], pa.string())
-                    yield pa.RecordBatch.from_arrays([row, n, sha, dec], names=["_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-                else:
-                    lists_out = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))
-                    yield pa.RecordBatch.from_arrays([row, n, lists_out], names=["_id", "n_tokens", "ids"])
+        with closing(TaskBpe(*shared.value)) as task:
+            for b in batches:
+                yield from encode_batch(task, b)
+
+    def encode_batch(task: TaskBpe, b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        lists = b.column("_words")
+        flat = lists.flatten()
+        ends = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists), dtype=np.int64))])
+        sizes = np.asarray(pc.binary_length(flat), dtype=np.int64)
+        for i, j in _slices(ends, sizes, CHUNK_BYTES):
+            ids, at = task.encode(flat.slice(ends[i], ends[j] - ends[i]), ends[i:j + 1] - ends[i])
+            row, n = b.column("_id").slice(i, j - i), pa.array(np.diff(at))
+            if digest:
+                raw = ids.astype("<u4")
+                sha = pa.array([hashlib.sha256(raw[x:y]).hexdigest() for x, y in zip(at[:-1], at[1:])], pa.string())
+                dec = pa.array([hashlib.sha256(x).hexdigest() for x in task.decode(ids, at)], pa.string())
+                yield pa.RecordBatch.from_arrays([row, n, sha, dec], names=["_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            else:
+                lists_out = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([row, n, lists_out], names=["_id", "n_tokens", "ids"])
 
     cols = "ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>"
     return src.mapInArrow(run, f"_id {id_type}, n_tokens long, {cols}").withColumnRenamed("_id", id_col)
@@ -251,15 +276,17 @@ def decode_documents(tokens: DataFrame, ranks_path: str, id_col: str = "doc_id",
     src = src.withColumn("_ids", F.when(bad, F.raise_error(F.lit("token id out of the vocabulary"))).otherwise(F.col("_ids")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task: TaskBpe | None = None
-        for b in batches:
-            task = task or TaskBpe(*shared.value)
-            lists = b.column("_ids")
-            flat = np.asarray(lists.flatten())
-            ends = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists), dtype=np.int64))])
-            for i, j in _slices(ends, np.full(len(flat), 4), CHUNK_BYTES):
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("_id").slice(i, j - i), pa.array(task.decode(flat[ends[i]:ends[j]], ends[i:j + 1] - ends[i]), pa.binary())],
-                    names=["_id", "decoded"])
+        with closing(TaskBpe(*shared.value)) as task:
+            for b in batches:
+                yield from decode_batch(task, b)
+
+    def decode_batch(task: TaskBpe, b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        lists = b.column("_ids")
+        flat = np.asarray(lists.flatten())
+        ends = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists), dtype=np.int64))])
+        for i, j in _slices(ends, np.full(len(flat), 4), CHUNK_BYTES):
+            yield pa.RecordBatch.from_arrays(
+                [b.column("_id").slice(i, j - i), pa.array(task.decode(flat[ends[i]:ends[j]], ends[i:j + 1] - ends[i]), pa.binary())],
+                names=["_id", "decoded"])
 
     return src.mapInArrow(run, f"_id {src.schema['_id'].dataType.simpleString()}, decoded binary").withColumnRenamed("_id", id_col)

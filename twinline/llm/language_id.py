@@ -43,7 +43,7 @@ SAMPLE_ROWS = 2_000      # bound of the fitting sample (expected rows)
 MAX_LANGUAGES = 1_000
 CALIBRATION_SHARE = 5    # one sampled row in five
 ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 0.01, 0.01, 4
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 UND = "und"
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
@@ -233,7 +233,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits_, languages, weights, bias, temperature = shared.value
         letters = _unpack(bits_)
-        for b in chunks(batches, "_text", max(1 << 16, CHUNK_BYTES // max(1, k // 8))):
+        for b in chunks(batches, "_text", max(1 << 14, CHUNK_BYTES // max(1, k // 8))):
             doc, feats, has = char_features(_texts(b, "_text"), letters)
             best, score = np.full(b.num_rows, -1), np.zeros(b.num_rows)
             if k and len(doc):
