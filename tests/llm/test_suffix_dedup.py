@@ -97,3 +97,14 @@ def test_edge_rows(edge, empty):
     assert zebra["n_spans"] == 1 and zebra["n_bytes"] - zebra["n_removed"] == 6
     assert {r["n_removed"] for r in got if r["doc_id"] != 2} == {0}
     assert sd.remove_repeats(empty).count() == 0
+
+
+def test_repeated_and_null_ids(spark):
+    """A repeated row is one document; rows of one id with other texts come in hash order; null ids come last."""
+    rng = random.Random(9)
+    prose = ["".join(rng.choice("abcdef ") for _ in range(400)) for _ in range(3)]
+    rows = [(1, prose[0]), (1, prose[0]), (2, prose[1]), (2, prose[0][:250] + prose[2]), (None, prose[1] + "tail"), (None, prose[2])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sd.remove_repeats(df, keep_bytes=True).collect()
+    kept = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["kept"].decode()) for r in got)
+    assert kept == sorted([(False, 1, prose[0]), (False, 1, prose[0]), (False, 2, prose[1]), (False, 2, prose[2]), (True, 0, "tail"), (True, 0, "")])

@@ -47,7 +47,10 @@ def with_row_key(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
     key = "_row"
     while key in docs.columns:
         key += "_"
-    return cut(docs.orderBy(F.col(id_col).asc_nulls_last()).withColumn(key, F.monotonically_increasing_id())), key
+    # the hash spreads the rows of one id (or of no id) over the sort's partitions
+    hashed = [F.col(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    rows = docs.orderBy(F.col(id_col).asc_nulls_last(), F.xxhash64(*hashed))
+    return cut(rows.withColumn(key, F.monotonically_increasing_id())), key
 
 
 def keep_rows(docs: DataFrame, key: str, kept: DataFrame, columns: list[str]) -> DataFrame:

@@ -446,31 +446,31 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # ------------------------------------------------------------------ the whole
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
     """(_id, _raw, _k): _k orders the documents.  It is the id itself where ids
-    are unique and not null; else ranks of distinct (id, text hash)."""
+    are unique and not null; else ranks of distinct (id, text hash).  And
+    whether _k is unique."""
     raw = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     src = docs.select(F.col(id_col).cast("long").alias("_id"), raw.alias("_raw"))
     odd = src.groupBy("_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or _id is null").limit(1).count()
     if not odd:
-        return src.withColumn("_k", F.col("_id"))
+        return src.withColumn("_k", F.col("_id")), True
     src = src.withColumn("_h", F.xxhash64("_raw"))
     pairs = src.select("_id", "_h").distinct().orderBy(F.col("_id").asc_nulls_last(), "_h")
     ranked = pairs.rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1])).toDF("_id long, _h long, _k long")
     ranked = cut(ranked).select(F.col("_id").alias("_i"), F.col("_h").alias("_hh"), "_k")
-    return src.join(ranked, src["_id"].eqNullSafe(ranked["_i"]) & (src["_h"] == ranked["_hh"])).select("_id", "_raw", "_k")
+    return src.join(ranked, src["_id"].eqNullSafe(ranked["_i"]) & (src["_h"] == ranked["_hh"])).select("_id", "_raw", "_k"), False
 
 
 def repeated_ranges(keyed: DataFrame, hot_gram: int = HOT_GRAM) -> DataFrame:
-    """(k, start, stop) byte ranges to remove; they may overlap."""
-    met = (keyed.select("_k", "_raw").mapInArrow(_emit_anchors, _ANCHOR_SCHEMA).repartition("route")
+    """(k, start, stop) byte ranges to remove; they may overlap.  keyed: (_k, _raw), _k unique."""
+    met = (keyed.mapInArrow(_emit_anchors, _ANCHOR_SCHEMA).repartition("route")
            .mapInArrow(_meet_by_gram, "kind int, gram long, k long, pos long, back int, span int"))
     met = cut(met)
     sure = met.where(F.col("kind") == REPEAT).select("k", F.col("pos").alias("start"), (F.col("pos") + F.col("back")).alias("stop"))
     firsts = met.where(F.col("kind") == FIRST)
     by_doc = firsts.groupBy("k").agg(F.collect_list(F.struct("gram", "pos", "back", "span")).alias("_firsts"))  # at most a text's anchors
-    texts = keyed.select("_k", "_raw").dropDuplicates(["_k"]) if keyed.columns != ["_id", "_raw", "_k"] else keyed.select("_k", "_raw")
-    contexts = texts.join(by_doc, texts["_k"] == by_doc["k"]).select("_k", "_raw", "_firsts").mapInArrow(_cut_contexts, _CONTEXT_SCHEMA)
+    contexts = keyed.join(by_doc, keyed["_k"] == by_doc["k"]).select("_k", "_raw", "_firsts").mapInArrow(_cut_contexts, _CONTEXT_SCHEMA)
     hot = firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_gram).select("gram")
     hot = cut(hot)
     calm = contexts
@@ -493,8 +493,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    keep_bytes: bool = False) -> DataFrame:
     """One row per document: id, ``n_bytes``, ``n_removed``, ``n_spans``,
     ``kept_sha256``, and with ``keep_bytes`` the remaining bytes as ``kept``."""
-    keyed = _keyed(docs, id_col, text_col)
-    spans = repeated_ranges(keyed, hot_gram).groupBy("k").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
+    keyed, unique = _keyed(docs, id_col, text_col)
+    texts = keyed.select("_k", "_raw")
+    spans = repeated_ranges(texts if unique else texts.dropDuplicates(["_k"]), hot_gram).groupBy("k").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
     rows = keyed.join(spans, keyed["_k"] == spans["k"], "left").select("_id", "_raw", "_spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
