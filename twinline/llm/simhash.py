@@ -10,8 +10,8 @@ coordinates (20 cells a fingerprint), and two linked fingerprints always share
 a cell.  Rows of a cell meet in one task, are filtered by Manhattan distance
 and then verified by their differing bits.
 
-A task reports links that connect its rows (a spanning forest), never all
-pairs.  A cell with many rows is cut into blocks of about ``BLOCK`` rows and
+A task reports links that connect its rows (a spanning forest with small
+degrees), never all pairs.  A cell with many rows is cut into blocks of about ``BLOCK`` rows and
 each pair of blocks is a task of its own, so no task grows with a group and
 no pair is lost.  Equal fingerprints are one node from the start.  Components
 come from repeated minimum-label steps with pointer jumping, each cut by a
@@ -50,6 +50,7 @@ SEED = 42
 BLOCK = 512                       # rows of a block of a large cell
 SEGMENT_BLOCKS = (5, 5, 5, 5, 6, 6)  # segments of each coordinate block
 NO_ID = (1 << 63) - 1
+FAN_OUT = 16
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -106,7 +107,9 @@ def cell_masks() -> list[int]:
 
 
 def _forest(fp: np.ndarray, unary: np.ndarray, ids: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
-    """Links that connect the rows of one task as all its verified pairs do."""
+    """Links that connect the rows of one task as all its verified pairs do.
+    A group of rows connected by verified pairs becomes a tree of ``FAN_OUT``
+    children a node over its sorted ids, so no id gets many links."""
     n = len(fp)
     if n == 2:
         ok = np.bitwise_count(unary[0] ^ unary[1]) <= max_bits and np.bitwise_count(fp[0] ^ fp[1]) <= max_bits
@@ -118,19 +121,20 @@ def _forest(fp: np.ndarray, unary: np.ndarray, ids: np.ndarray, max_bits: int) -
     near[r[ok], c[ok]] = near[c[ok], r[ok]] = True
     out, unseen = [], near.any(axis=1)
     while unseen.any():
-        front = [int(np.argmax(unseen))]
-        unseen[front[0]] = False
-        while front:
-            i = front.pop()
-            new = np.nonzero(near[i] & unseen)[0]
-            unseen[new] = False
-            out += [(int(ids[i]), int(ids[j])) for j in new]
-            front += new.tolist()
+        front = group = np.array([np.argmax(unseen)])
+        unseen[front] = False
+        while len(front):
+            front = np.nonzero(near[front].any(axis=0) & unseen)[0]
+            unseen[front] = False
+            group = np.concatenate([group, front])
+        tree = np.sort(ids[group]).tolist()
+        out += [(tree[(k - 1) // FAN_OUT], tree[k]) for k in range(1, len(tree))]
     return out
 
 
 def links(classes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
-    """(a, b) links that connect the nodes of ``classes`` (_fp, _node)."""
+    """(a, b) links that connect the nodes of ``classes`` (_fp, _node) as their
+    verified pairs do; nodes of a link need not be a pair themselves."""
     unary = unary_counts(F.col("_fp"))
     cells = classes.select("_fp", "_node", F.explode(F.array(*[
         F.struct(F.lit(i).alias("c"), unary.bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(cell_masks())])).alias("_x"))
