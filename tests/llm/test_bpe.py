@@ -54,3 +54,27 @@ def test_edge_rows(edge, empty, library):
     key = lambda x: (x[0] is None, x[0] or 0, x[1])
     assert sorted(((r["doc_id"], r["ids"]) for r in got), key=key) == sorted(want, key=key)
     assert bpe.encode_documents(empty, PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_text_of_several_million_tokens(spark, library):
+    text = "0;" * 3_000_000 + "end"
+    df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string").unionByName(
+        spark.range(1).selectExpr("3L AS doc_id", "concat(repeat('0;', 3000000), 'end') AS text")).coalesce(1)
+    got = {r["doc_id"]: r for r in bpe.encode_documents(df, PATH, public_tokenizers.PATTERN, digest=True).collect()}
+    ids = np.array(library.encode_ordinary(text), "<u4")
+    assert len(ids) > 5_000_000
+    assert (got[3]["n_tokens"], got[3]["ids_sha256"]) == (len(ids), hashlib.sha256(ids.tobytes()).hexdigest())
+    assert {i: r["decoded_sha256"] for i, r in got.items()} == {
+        i: hashlib.sha256(t.encode()).hexdigest() for i, t in ((1, "a b"), (2, ""), (3, text))}
+
+
+def test_pieces_of_the_longest_tokens_fit():
+    ranks = bpe.load_ranks(PATH)
+    longest = max(ranks, key=len)
+    task = bpe.TaskBpe(ranks, bpe.merge_pairs(ranks))
+    n = 3 * bpe.DECODE_TOKENS + 5
+    ids = np.full(n, ranks[longest], "<u4")
+    whole = hashlib.sha256(longest * (n - 7)).hexdigest()
+    assert task.decoded_sha256(ids, np.array([0, 7, 7, n])) == [
+        hashlib.sha256(longest * 7).hexdigest(), hashlib.sha256(b"").hexdigest(), whole]
+    task.close()

@@ -14,7 +14,9 @@ by an ordered aggregation.
 Words over ``SQL_WORD_BYTES`` bytes would need as many rounds as they have
 bytes; they are merged by the same rule with a heap instead.
 
-DuckDB runs inside the task: one thread, memory only, no files.
+DuckDB runs inside the task: one thread, memory only, no files.  Decoding
+feeds it at most ``DECODE_TOKENS`` tokens a query, whatever the length of a
+text, and the hash of the decoded bytes takes the pieces in order.
 
 Defined results: a null text is encoded like an empty one (no tokens); an
 empty table gives an empty result; extra columns are ignored, whatever their
@@ -44,6 +46,7 @@ SQL_WORD_BYTES = 256
 SQL_BATCH_WORK = 1_500_000  # squared word lengths of one query: bounds the rows of all its steps
 CACHE_WORDS = 200_000
 CHUNK_BYTES = 1 << 20
+DECODE_TOKENS = 1 << 18  # tokens of one decoding query: a longer text is decoded in pieces
 
 # A row is a token: g is word * 256 + position, nx the g of the word's next
 # token (-1 at its end).  A step contracts, in every word that still has a
@@ -206,18 +209,32 @@ class TaskBpe:
         ids = flat[ragged((np.cumsum(size) - size)[codes], per)]
         return ids, np.concatenate([[0], np.cumsum(per)])[ends]
 
-    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
-        """Bytes of each text by an ordered aggregation over token rows."""
-        n = np.diff(ends)
-        self.con.register("tokens", pa.table({
-            "doc": np.repeat(np.arange(len(n), dtype=np.int32), n), "pos": np.arange(len(ids), dtype=np.int32),
-            "id": ids.astype(np.int32)}))
-        rows = self.con.sql(DECODE_SQL).to_arrow_table()
-        self.con.unregister("tokens")
-        out = [b""] * len(n)
-        for d, s in zip(rows["doc"].to_pylist(), rows["bytes"].to_pylist()):
-            out[d] = s.encode("latin-1")
-        return out
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        """(text, bytes) pieces by an ordered aggregation over token rows: the
+        pieces of a text are in order, a text without tokens has none."""
+        doc = np.repeat(np.arange(len(ends) - 1, dtype=np.int32), np.diff(ends))
+        for i in range(0, len(ids), DECODE_TOKENS):
+            part = ids[i:i + DECODE_TOKENS].astype(np.int32)
+            self.con.register("tokens", pa.table({
+                "doc": doc[i:i + DECODE_TOKENS], "pos": np.arange(len(part), dtype=np.int32), "id": part}))
+            rows = self.con.sql(DECODE_SQL).to_arrow_table()
+            self.con.unregister("tokens")
+            for d, s in zip(rows["doc"].to_pylist(), rows["bytes"].to_pylist()):
+                yield d, s.encode("latin-1")
+
+    def decoded(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """Bytes of each text."""
+        out: list[list[bytes]] = [[] for _ in range(len(ends) - 1)]
+        for d, piece in self.decode(ids, ends):
+            out[d].append(piece)
+        return [b"".join(pieces) for pieces in out]
+
+    def decoded_sha256(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """SHA-256 of the bytes of each text, fed piece by piece."""
+        out = [hashlib.sha256() for _ in range(len(ends) - 1)]
+        for d, piece in self.decode(ids, ends):
+            out[d].update(piece)
+        return [h.hexdigest() for h in out]
 
 
 def _slices(ends: np.ndarray, sizes: np.ndarray, max_bytes: int) -> Iterator[tuple[int, int]]:
@@ -256,7 +273,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
             if digest:
                 raw = ids.astype("<u4")
                 sha = pa.array([hashlib.sha256(raw[x:y]).hexdigest() for x, y in zip(at[:-1], at[1:])], pa.string())
-                dec = pa.array([hashlib.sha256(x).hexdigest() for x in task.decode(ids, at)], pa.string())
+                dec = pa.array(task.decoded_sha256(ids, at), pa.string())
                 yield pa.RecordBatch.from_arrays([row, n, sha, dec], names=["_id", "n_tokens", "ids_sha256", "decoded_sha256"])
             else:
                 lists_out = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))
@@ -286,7 +303,7 @@ def decode_documents(tokens: DataFrame, ranks_path: str, id_col: str = "doc_id",
         ends = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists), dtype=np.int64))])
         for i, j in _slices(ends, np.full(len(flat), 4), CHUNK_BYTES):
             yield pa.RecordBatch.from_arrays(
-                [b.column("_id").slice(i, j - i), pa.array(task.decode(flat[ends[i]:ends[j]], ends[i:j + 1] - ends[i]), pa.binary())],
+                [b.column("_id").slice(i, j - i), pa.array(task.decoded(flat[ends[i]:ends[j]], ends[i:j + 1] - ends[i]), pa.binary())],
                 names=["_id", "decoded"])
 
     return src.mapInArrow(run, f"_id {src.schema['_id'].dataType.simpleString()}, decoded binary").withColumnRenamed("_id", id_col)
