@@ -2,6 +2,7 @@
 
 import math
 import os
+from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -31,6 +32,36 @@ def test_prefix_offsets_small_blocks_equal_large_blocks(spark):
     assert a.select("doc_id", "o").exceptAll(b.select("doc_id", "o")).count() == 0
 
 
+@pytest.mark.parametrize("ids", ["unique", "any"])
+def test_corpus_lines_of_null_groups_and_odd_ids(spark, ids):
+    rows = []
+    for i in range(60):
+        text = None if i % 13 == 5 else "\n".join(f"d{i} l{p}" for p in range(i % 4 + 1))
+        doc_id = i if ids == "unique" else (None if i % 7 == 3 else i // 4 if i % 3 == 0 else i)
+        rows.append((doc_id, text, [None, "en", "fr"][i % 3], [None, "s1"][i % 2]))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    want = defaultdict(list)
+    for doc_id, text, lang, source in rows:
+        for pos, line in enumerate(text.split("\n") if text is not None else []):
+            want[source, lang].append(((doc_id is None, doc_id or 0, pos), line))
+    results = []
+    for parts in (1, 5):
+        got = defaultdict(dict)
+        found = align.corpus_lines(df.repartition(parts, F.rand(parts)), block_size=4).collect()
+        for r in found:
+            got[r["corpus"], r["lang"]][r["line_no"]] = r["text"]
+        assert len(found) == sum(map(len, want.values())) and set(got) == set(want)
+        for group, lines in want.items():
+            assert sorted(got[group]) == list(range(len(lines)))
+            place = {line: key for key, line in lines}
+            # every line once, in (doc_id, position) order; lines are different
+            assert sorted(got[group].values()) == sorted(place)
+            keys = [place[got[group][n]] for n in range(len(lines))]
+            assert keys == sorted(keys)
+        results.append(got)
+    assert results[0] == results[1]
+
+
 def test_pairs_and_strict_mode(spark):
     cl = align.corpus_lines(tables.documents(spark, SF01))
     assert align.language_pairs(cl).count() == 1398

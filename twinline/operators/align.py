@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .numbering import prefix_offsets
 
 
@@ -25,12 +26,17 @@ def corpus_lines(docs: DataFrame, corpus_col: str = "source", block_size: int =
     """W1 over documents: one row per ``\\n``-separated line.
 
     ``line_no`` is the 0-based position of the line inside (corpus, lang) in
-    (doc_id, position-in-doc) order.  Documents with a null text have no
+    (doc_id, position-in-doc) order, null ids last; lines at one position of
+    a repeated (or null) id are ordered by a hash of the line.  A null corpus
+    or lang is a group like any other.  Documents with a null text have no
     lines.  Result: corpus, lang, line_no, text.
 
-    The windows see only (doc_id, line count); their offsets are joined back
-    on the unique doc_id, so the text is moved at most once and never sorted.
+    Where ids are unique and not null, the windows see only (doc_id, line
+    count); their offsets are joined back on doc_id, so the text is moved at
+    most once and never sorted.  Otherwise each line is numbered by itself.
     """
+    if docs.groupBy("doc_id").count().where((F.col("count") > 1) | F.col("doc_id").isNull()).limit(1).count():
+        return _lines_of_any_ids(docs, corpus_col, block_size)
     d = docs.where(F.col("text").isNotNull())
     n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     narrow = d.select("doc_id", F.col(corpus_col).alias("corpus"), "lang", n_lines.cast("long").alias("_n"))
@@ -40,6 +46,22 @@ def corpus_lines(docs: DataFrame, corpus_col: str = "source", block_size: int =
         "corpus", "lang", (F.col("_line_off") + F.col("_pos")).cast("long").alias("line_no"), "text")
 
 
+def _lines_of_any_ids(docs: DataFrame, corpus_col: str, block_size: int) -> DataFrame:
+    """``corpus_lines`` for repeated and null ids: rows get a checkpointed key,
+    and the keys of lines (no text) are sorted and numbered."""
+    ensure_checkpoint_dir(docs.sparkSession)
+    rows = docs.where(F.col("text").isNotNull()).select(
+        "doc_id", F.col(corpus_col).alias("corpus"), "lang", "text",
+        F.monotonically_increasing_id().alias("_row")).checkpoint(eager=True)
+    lines = rows.select("_row", "doc_id", "corpus", "lang", F.posexplode(F.split("text", "\n", -1)).alias("_pos", "text"))
+    order = lines.select("_row", "_pos", "doc_id", "corpus", "lang", F.xxhash64("text").alias("_hash")).orderBy(
+        F.col("doc_id").asc_nulls_last(), "_pos", "_hash", "_row")
+    order = order.select("_row", "_pos", "corpus", "lang", F.monotonically_increasing_id().alias("_ord"),
+                         F.lit(1).cast("long").alias("_one")).checkpoint(eager=True)
+    numbers = prefix_offsets(order, ["corpus", "lang"], "_ord", "_one", "line_no", block_size, rows_per_block=block_size)
+    return lines.join(numbers.select("_row", "_pos", "line_no"), ["_row", "_pos"]).select("corpus", "lang", "line_no", "text")
+
+
 def rename(df: DataFrame, old: str, new: str) -> DataFrame:
     """P1."""
     return df.withColumnRenamed(old, new)

@@ -20,6 +20,8 @@ and batch assignment (W2):
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,7 +34,8 @@ def prefix_offsets(df: DataFrame, group_cols: list[str], order_col: str, weight_
     """Add ``out_col`` = sum of ``weight_col`` over the rows of the same group
     that come before this row in ``order_col`` order (exclusive prefix sum).
 
-    ``order_col`` must be a long, unique inside a group.  A block spans
+    ``order_col`` must be a long, unique inside a group; a null group is a
+    group like any other.  A block spans
     ``block_size`` values of it; with ``rows_per_block`` the span is widened
     for sparse values (one aggregate of the narrow column), so that blocks hold
     about that many rows.
@@ -48,11 +51,13 @@ def prefix_offsets(df: DataFrame, group_cols: list[str], order_col: str, weight_
     d = d.withColumn("_pfx_in", F.coalesce(F.sum(weight_col).over(in_block), F.lit(0)))
     totals = d.groupBy(*group_cols, blk).agg(F.sum(weight_col).alias("_pfx_tot"))
     before = Window.partitionBy(*group_cols).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*group_cols, blk,
+    keys = {c: f"_pfx_key{i}" for i, c in enumerate([*group_cols, blk])}
+    totals = totals.select(*[F.col(c).alias(k) for c, k in keys.items()],
                            F.coalesce(F.sum("_pfx_tot").over(before), F.lit(0)).alias("_pfx_blk_off"))
-    return (d.join(totals, [*group_cols, blk])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()])
+    return (d.join(totals, same)
             .withColumn(out_col, (F.col("_pfx_blk_off") + F.col("_pfx_in")).cast("long"))
-            .drop(blk, "_pfx_in", "_pfx_blk_off"))
+            .drop(blk, "_pfx_in", "_pfx_blk_off", *keys.values()))
 
 
 def hash_digits_for(n_rows: int, rows_per_bucket: int = 1 << 14) -> int:
