@@ -54,3 +54,19 @@ def test_edge_rows(edge, empty):
     assert got[f"{plain_fingerprint('abc'):016x}"] == {3}
     assert sh.simhash_dedup(edge).count() == len(rows)
     assert sh.simhash_dedup(empty).count() == 0
+
+
+def test_null_and_repeated_ids_merge_no_unrelated_texts(spark):
+    rng = random.Random(11)
+    words = [[f"w{i}x{rng.randrange(10**6)}" for _ in range(1500)] for i in range(7)]
+    text = [" ".join(w) for w in words]
+    near = [" ".join(w[:-1]) for w in words]  # one word less: a few bits at most
+    assert [(plain_fingerprint(a) ^ plain_fingerprint(b)).bit_count() <= 3 for a, b in zip(text[:2], near[:2])] == [True] * 2
+    # two null-id texts near docs 7 and 100, null ids alone, one repeated id on two unrelated texts
+    rows = [(7, text[0]), (None, near[0]), (100, text[1]), (None, near[1]), (None, text[2]), (None, text[3]),
+            (200, text[4]), (200, text[5]), (300, text[5]), (301, text[6])]
+    fps = {t: f"{plain_fingerprint(t):016x}" for _, t in rows}
+    want = [7, 7, 100, 100, None, None, 200, 200, 200, 301]
+    got = sh.simhash_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    key = lambda x: tuple((v is None, v or 0) for v in (x[0], x[2])) + (x[1],)
+    assert sorted(map(tuple, got), key=key) == sorted(((i, fps[t], c) for (i, t), c in zip(rows, want)), key=key)

@@ -13,7 +13,7 @@ and then verified by their differing bits.
 A task reports links that connect its rows (a spanning forest with small
 degrees), never all pairs.  A cell with many rows is cut into blocks of about ``BLOCK`` rows and
 each pair of blocks is a task of its own, so no task grows with a group and
-no pair is lost.  Equal fingerprints are one node from the start.  Components
+no pair is lost.  A fingerprint is one node, whatever its ids.  Components
 come from repeated minimum-label steps with pointer jumping, each cut by a
 checkpoint.
 
@@ -22,9 +22,11 @@ Manhattan distance is the bit count of an exclusive or.
 
 Defined results: a null text has no words; texts without words have
 fingerprint zero and are linked like any other; fewer words than a shingle
-give one shingle of all of them; a null id never becomes a component's id
-while another id is there; repeated rows share a component; an empty table
-gives an empty result; extra columns are ignored, whatever their names.
+give one shingle of all of them; a component's id is the smallest id of its
+rows, null if they have none (so components of null ids alone have no name,
+and two components whose smallest id is one repeated id have the same name);
+repeated rows share a component; an empty table gives an empty result; extra
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -49,7 +51,6 @@ MAX_BITS = 3
 SEED = 42
 BLOCK = 512                       # rows of a block of a large cell
 SEGMENT_BLOCKS = (5, 5, 5, 5, 6, 6)  # segments of each coordinate block
-NO_ID = (1 << 63) - 1
 FAN_OUT = 16
 
 
@@ -201,12 +202,16 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if max_bits > 3:
         raise ValueError("six coordinate blocks cover at most 3 differing bits")
     by_doc = cut(fingerprints(docs, id_col, text_col, shingle))
-    classes = cut(by_doc.groupBy("_fp").agg(F.min(F.coalesce("_id", F.lit(NO_ID))).alias("_node")))
-    comp = components(links(classes, max_bits, block))
-    classes = classes.join(comp, "_node", "left").select("_fp", F.coalesce("_comp", "_node").alias("_comp"))
-    return by_doc.join(classes, "_fp").select(
+    classes = cut(by_doc.groupBy("_fp").agg(F.min("_id").alias("_first")))
+    comp = components(links(classes.select("_fp", F.col("_fp").alias("_node")), max_bits, block))
+    linked = cut(classes.join(comp, F.col("_fp") == F.col("_node")).select("_fp", "_comp", "_first"))
+    first = linked.groupBy("_comp").agg(F.min("_first").alias("_least"))
+    # a fingerprint without links is a component of its own
+    named = classes.join(linked.join(first, "_comp").select("_fp", F.lit(True).alias("_in"), "_least"), "_fp", "left").select(
+        "_fp", F.when(F.col("_in"), F.col("_least")).otherwise(F.col("_first")).alias("_name"))
+    return by_doc.join(named, "_fp").select(
         F.col("_id").alias(id_col), F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"),
-        F.nullif(F.col("_comp"), F.lit(NO_ID)).alias("component_id"))
+        F.col("_name").alias("component_id"))
 
 
 def keep_first_of_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
