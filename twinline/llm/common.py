@@ -116,3 +116,69 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> It
             stop = max(start + 1, int(np.searchsorted(ends, base + max_bytes, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+
+
+HOT_KEYS = 1024  # at most so many keys hold more than one row in HOT_KEYS each: the bound of what join_hot broadcasts
+
+
+def join_hot(rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner", least: int = 1024) -> DataFrame:
+    """``rows`` joined with ``lookup`` (unique in ``on``), however many rows
+    share a key.  Keys with more than ``least`` rows and more than one in
+    ``HOT_KEYS`` of all rows (so at most ``HOT_KEYS`` keys, whatever the data)
+    are broadcast with their lookup rows; the others meet by a shuffle."""
+    per_key = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_hot_n"))
+    n = rows.count()
+    hot = cut(per_key.where(F.col("_hot_n") > max(least, n // HOT_KEYS)).select(*on))
+    if not hot.limit(1).count():
+        return rows.join(lookup, on, how)
+    cold = rows.join(F.broadcast(hot), on, "left_anti").join(lookup, on, how)
+    few = cut(lookup.join(F.broadcast(hot), on, "left_semi"))
+    warm = rows.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(few), on, how)
+    return cold.unionByName(warm)
+
+
+TREE_FAN_OUT = 16
+
+
+def spanning_trees(near: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect ``ids`` as the symmetric boolean matrix ``near``
+    does: for each connected group a tree of small degree over its sorted ids."""
+    out, unseen = [], near.any(axis=1)
+    while unseen.any():
+        front = group = np.array([np.argmax(unseen)])
+        unseen[front] = False
+        while len(front):
+            front = np.nonzero(near[front].any(axis=0) & unseen)[0]
+            unseen[front] = False
+            group = np.concatenate([group, front])
+        tree = np.sort(ids[group]).tolist()
+        out += [(tree[(k - 1) // TREE_FAN_OUT], tree[k]) for k in range(1, len(tree))]
+    return out
+
+
+def groups_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows of equal ``keys`` (long columns) of a task sorted by them, one table a group."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        if b.num_rows == 0:
+            continue
+        k = np.stack([np.asarray(b.column(c)).astype(np.int64) for c in keys], axis=1)
+        new = (np.nonzero((k[1:] != k[:-1]).any(axis=1))[0] + 1).tolist()
+        edges = [0, *new, b.num_rows]
+        for i, j in zip(edges[:-1], edges[1:]):
+            now = tuple(k[i].tolist())
+            if now != last and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(b.slice(i, j - i))
+            last = now
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def vector_matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Rows of equally long lists without nulls as a matrix of doubles."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
