@@ -128,14 +128,17 @@ def word_types(counts: DataFrame, vocab: DataFrame, prefix: str = CONTINUATION_P
     return counts.select("word", F.col("count").cast("long").alias("n"), symbol_ids("word").alias("syms"))
 
 
-def pair_counts(types: DataFrame) -> DataFrame:
-    """A4: weighted count of each adjacent symbol pair over word types."""
+def pair_rows(types: DataFrame) -> DataFrame:
+    """(left_id, right_id, n): every adjacent symbol pair of every word type."""
     t = types.where(F.size("syms") >= 2)
     pairs = F.arrays_zip(F.slice("syms", 1, F.size("syms") - 1).alias("l"),
                          F.slice("syms", 2, F.size("syms") - 1).alias("r"))
-    return (t.select("n", F.explode(pairs).alias("p"))
-            .groupBy(F.col("p.l").alias("left_id"), F.col("p.r").alias("right_id"))
-            .agg(F.sum("n").alias("count")))
+    return t.select("n", F.explode(pairs).alias("p")).select(F.col("p.l").alias("left_id"), F.col("p.r").alias("right_id"), "n")
+
+
+def pair_counts(types: DataFrame) -> DataFrame:
+    """A4: weighted count of each adjacent symbol pair over word types."""
+    return pair_rows(types).groupBy("left_id", "right_id").agg(F.sum("n").alias("count"))
 
 
 def best_pairs(pairs: DataFrame, k: int) -> DataFrame:
@@ -154,3 +157,10 @@ def token_to_id(df: DataFrame, token_col: str, vocab: DataFrame, out_col: str =
     v = vocab.select(F.col("token").alias(token_col), F.col("id").alias(out_col))
     small = v.limit(MAX_VOCAB + 1).count() <= MAX_VOCAB
     return df.join(F.broadcast(v) if small else v, token_col, "left")
+
+
+def id_to_token(df: DataFrame, id_col: str, vocab: DataFrame, out_col: str = "token") -> DataFrame:
+    """J3 on a table of ids; unknown ids get a null token."""
+    v = vocab.select(F.col("id").alias(id_col), F.col("token").alias(out_col))
+    small = v.limit(MAX_VOCAB + 1).count() <= MAX_VOCAB
+    return df.join(F.broadcast(v) if small else v, id_col, "left")

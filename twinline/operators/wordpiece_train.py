@@ -7,34 +7,38 @@ left.  Vocabulary order: specials, characters by code point, continuation
 merge whose token already exists adds no id.  Ties between equally frequent
 pairs go to the smaller (left id, right id).
 
-Spark shape
------------
-* ``types(word, n, syms)``: one row per distinct word, its symbol ids --
-  built once from the distributed word count; words reduced to one symbol
-  are dropped because they can no longer form pairs.
-* Up to ``LOCAL_WORDS`` distinct words (counted, a bound on memory) the merges
-  run in one task over that table, with pair counts and a pair-to-word index
-  that are updated by each merge.  Beyond it they run in rounds over the
-  distributed table; both give the same vocabulary.
-* Each round is one aggregation job: explode adjacent pairs, ``groupBy``
-  with partial aggregation, keep the top K (at most K rows reach the
-  driver).  The driver keeps the longest prefix of the ranked list that the
-  sequential algorithm would also take next (the rule below), and the
-  merges are applied to ``types`` by a small Arrow UDF (a dict lookup per
-  adjacent symbol pair; the map holds at most K merges).
-* ``types`` is cached each round and reliably checkpointed (to the session's
-  checkpoint folder) every few rounds, so lineage stays short and a lost
-  executor recomputes at most a few rounds.
-* Session settings are left alone.
-
-Prefix rule (exact): a pair (c, d) may follow the already chosen pairs of a
-round only if for every chosen (a, b): d != a and c != b.  A pair whose two
-halves are equal, or whose joined token already exists, ends its round (it
-may be the last pair of a prefix: pairs its merge creates could outrank a
-later candidate, but nothing follows it).  Chosen merges then leave each other's
-counts unchanged, and every pair created by a merge involves a new token
-with a larger id and a count no larger than the pair it came from, so it
-ranks after the rest of the prefix.
+Spark shape: pair counts as a maintained view
+---------------------------------------------
+* ``words(n, syms)``: one row per distinct word, its symbol ids, built once
+  from the distributed word count; words of one symbol are dropped because
+  they can no longer form pairs.
+* ``pairs(left_id, right_id, count)``: counted once, then kept up to date.
+* A round plans as many merges as can be known exactly, applies them to the
+  words that hold them, and adds the signed changes of those words' pairs to
+  ``pairs``.  Words without a chosen pair are scanned but never moved, counted
+  again or handed to per-word code; only pairs of touched words are shuffled.
+* Both tables are checkpointed every round (to the session's checkpoint
+  folder): lineage stays short and a lost executor recomputes one round.
+
+Planning a round (exact)
+------------------------
+Take the K first pairs by rank.  Cut every word into its longest runs of
+symbols whose neighbours all are among these K, and count equal runs: a table
+that is far smaller than the words, because runs are short and repeat.  K is
+lowered until it has at most ``PLAN_RUNS`` rows (one pair always fits), so what
+the driver gets is bounded by two parameters, whatever the corpus.
+
+Merging these runs in rank order gives the merges of the whole table, as long
+as the next pair ranks no lower than the K-th pair did:
+
+* every occurrence of one of the K pairs lies inside a run, so their counts
+  are complete;
+* a new pair (x, ab) comes from neighbours x, a, so it is no more frequent than
+  (x, a), and on a tie it ranks after it because ab has the larger id; if it
+  ranks within the cut then so did (x, a), and all its occurrences lie inside
+  runs too;
+* a merge whose token exists already (two ways to one token) could add to a
+  pair that is only partly inside the runs, so it ends its round.
 """
 
 from __future__ import annotations
@@ -44,11 +48,12 @@ import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..constants import CONTINUATION_PREFIX, SPECIAL_TOKENS, TARGET_VOCAB_SIZE
 from ..session import ensure_checkpoint_dir
@@ -56,8 +61,10 @@ from . import counts as cnt
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+PLAN_PAIRS = 2048      # pairs a round looks at
+PLAN_RUNS = 1 << 14    # distinct runs a round may plan with
 
-LOCAL_WORDS = 500_000  # distinct words up to which one task merges (a few hundred MB)
+Pair = tuple[int, int]
 
 
 @dataclass
@@ -66,68 +73,76 @@ class TrainResult:
     merges: DataFrame         # rank int, left_id int, right_id int, new_id int, count long
     rounds: int
     tokens: list[str] = field(repr=False, default_factory=list)
+    plans: list[dict] = field(repr=False, default_factory=list)  # a round's pairs, runs and merges
 
 
-def _merge_symbols(syms: list[int], merges: dict[tuple[int, int], int]) -> list[int]:
-    """Apply one round of merges left to right (a merged symbol is new, so
-    it never merges again in the same round)."""
-    out: list[int] = []
-    fresh = False
-    for s in syms:
-        if out and not fresh:
-            m = merges.get((out[-1], s))
-            if m is not None:
-                out[-1] = m
-                fresh = True
-                continue
-        out.append(s)
-        fresh = False
-    return out
+def _neighbours(syms: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Flat symbols, where rows end (from 0), the code of each symbol and its
+    right neighbour, and whether both are of one row."""
+    flat = np.asarray(syms.flatten()).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(syms), dtype=np.int64))])
+    code = (flat[:-1] << 32) | flat[1:]
+    inside = np.ones(len(code), bool)
+    last = ends[1:-1]
+    inside[last[(last > 0) & (last < len(flat))] - 1] = False
+    return flat, ends, code, inside
 
 
-def _apply_merges(types: DataFrame, merges: dict[tuple[int, int], int]) -> DataFrame:
-    """Rewrite every word's symbols with this round's merges (an Arrow UDF:
-    a dict lookup per adjacent pair; the merge map holds at most K pairs)."""
-    table = dict(merges)
-    lefts = sorted({a for a, _ in table})
+def _codes(pairs: list[Pair]) -> np.ndarray:
+    return np.sort(np.array([(a << 32) | b for a, b in pairs], np.int64))
 
-    @F.arrow_udf(T.ArrayType(T.IntegerType(), containsNull=False))
-    def merge_batch(col: pa.Array) -> pa.Array:
-        rows = col.to_pylist()
-        out = []
-        for syms in rows:
-            out.append(None if syms is None else _merge_symbols(syms, table))
-        return pa.array(out, pa.list_(pa.int32()))
 
-    # only words that hold a merge's left symbol go to Python
-    touched = F.when(F.arrays_overlap("syms", F.array(*[F.lit(x) for x in lefts])), F.col("syms"))
-    return types.withColumn("syms", F.coalesce(merge_batch(touched), "syms")).where(F.size("syms") >= 2)
+def _among(code: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    return chosen[np.minimum(np.searchsorted(chosen, code), len(chosen) - 1)] == code
 
 
-def merge_in_task(types: DataFrame, tokens: list[str], vocab_size: int, prefix: str) -> list[tuple[int, int, int, int]]:
-    """All merges (left, right, new id, count) of a bounded table of word
-    types, one after the other, in one task."""
+def runs_of(words: DataFrame, pairs: list[Pair]) -> DataFrame:
+    """(run, n): the longest runs whose neighbours all are among ``pairs``,
+    counted over all words."""
+    chosen = _codes(pairs)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: list[list[int]] = []
-        weight: list[int] = []
         for b in batches:
-            weight += b.column(0).to_pylist()
-            words += b.column(1).to_pylist()
-        made = _merge_loop(words, weight, list(tokens), vocab_size, prefix)
-        cols = list(zip(*made)) if made else [(), (), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["l", "r", "i", "n"])
+            if not b.num_rows:
+                continue
+            flat, ends, code, inside = _neighbours(b.column(1))
+            hit = np.concatenate([[False], _among(code, chosen) & inside, [False]])
+            first = np.nonzero(hit[1:] & ~hit[:-1])[0]     # a run's first symbol
+            size = np.nonzero(hit[:-1] & ~hit[1:])[0] - first + 1
+            if not len(first):
+                continue
+            stop = np.cumsum(size)
+            at = np.arange(stop[-1]) + np.repeat(first - (stop - size), size)
+            weight = np.asarray(b.column(0))[np.searchsorted(ends, first, side="right") - 1]
+            runs = pa.ListArray.from_arrays(pa.array(np.append(0, stop).astype(np.int32)), pa.array(flat[at].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([runs, pa.array(weight)], names=["run", "n"])
 
-    rows = types.select("n", "syms").coalesce(1).mapInArrow(run, "l long, r long, i long, n long").collect()  # at most a vocabulary of merges
-    return [tuple(r) for r in rows]
+    return words.select("n", "syms").mapInArrow(run, "run array<int>, n long").groupBy("run").agg(F.sum("n").alias("n"))
 
 
-def _merge_loop(words: list[list[int]], weight: list[int], tokens: list[str], vocab_size: int,
-                prefix: str) -> list[tuple[int, int, int, int]]:
-    """Sequential merging with pair counts and a pair -> words index; ``tokens`` grows."""
-    ids = {t: i for i, t in enumerate(tokens)}
-    total: dict[tuple[int, int], int] = {}
-    where: dict[tuple[int, int], set[int]] = {}
-    for k, syms in enumerate(words):
+def joined_token(left: str, right: str, prefix: str) -> str:
+    return left + (right[len(prefix):] if right.startswith(prefix) else right)
+
+
+def _merged(syms: list[int], pair: Pair, new: int) -> list[int]:
+    """One merge, left to right."""
+    out: list[int] = []
+    for s in syms:
+        if out and s == pair[1] and out[-1] == pair[0]:
+            out[-1] = new  # never ``pair[0]``: the joined token is longer
+        else:
+            out.append(s)
+    return out
+
+
+def plan_merges(runs: list[list[int]], weight: list[int], cut: tuple[int, int, int], tokens: list[str], ids: dict[str, int],
+                vocab_size: int, prefix: str) -> list[tuple[int, int, int, int]]:
+    """(left, right, new id, count) of the merges down to the rank ``cut``
+    (-count, left, right); ``tokens`` and ``ids`` grow."""
+    runs = list(runs)
+    total: dict[Pair, int] = {}
+    where: dict[Pair, set[int]] = {}
+    for k, syms in enumerate(runs):
         for p in zip(syms, syms[1:]):
             total[p] = total.get(p, 0) + weight[k]
             where.setdefault(p, set()).add(k)
@@ -135,20 +150,25 @@ def _merge_loop(words: list[list[int]], weight: list[int], tokens: list[str], vo
     heapq.heapify(heap)
     out: list[tuple[int, int, int, int]] = []
     while heap and len(tokens) < vocab_size:
-        n, a, b = heapq.heappop(heap)
+        rank = heapq.heappop(heap)
+        n, a, b = rank
         if total.get((a, b)) != -n:
             continue  # an older count of this pair
-        tb = tokens[b]
-        joined = tokens[a] + (tb[len(prefix):] if tb.startswith(prefix) else tb)
+        if rank > cut:
+            break
+        joined = joined_token(tokens[a], tokens[b], prefix)
         new = ids.get(joined)
-        if new is None:
+        known = new is not None
+        if not known:
             new = ids[joined] = len(tokens)
             tokens.append(joined)
         out.append((a, b, new, -n))
-        changed: set[tuple[int, int]] = set()
+        if known:
+            break
+        changed: set[Pair] = set()
         for k in where.pop((a, b)):
-            old = words[k]
-            syms = words[k] = _merge_symbols(old, {(a, b): new})
+            old = runs[k]
+            syms = runs[k] = _merged(old, (a, b), new)
             for p in zip(old, old[1:]):
                 total[p] -= weight[k]
                 changed.add(p)
@@ -160,109 +180,108 @@ def _merge_loop(words: list[list[int]], weight: list[int], tokens: list[str], vo
                 where.setdefault(p, set()).add(k)
         for p in changed:
             if total[p]:
-                heapq.heappush(heap, (-total[p], *p))
+                if (-total[p], *p) <= cut:
+                    heapq.heappush(heap, (-total[p], *p))
             else:
                 del total[p]
                 where.pop(p, None)
     return out
 
 
-def choose_prefix(ranked: list[tuple[int, int, int]], id_to_token: list[str],
-                  token_to_id: dict[str, int], prefix: str) -> list[tuple[int, int, int, str]]:
-    """Longest prefix of ``ranked`` (left, right, count) that sequential
-    merging would take next.  Returns (left, right, count, joined)."""
-    chosen: list[tuple[int, int, int, str]] = []
-    lefts: set[int] = set()
-    rights: set[int] = set()
-    made: set[str] = set()
-    for a, b, c in ranked:
-        joined = id_to_token[a] + (id_to_token[b][len(prefix):] if id_to_token[b].startswith(prefix)
-                                   else id_to_token[b])
-        solo = a == b or joined in token_to_id or joined in made
-        if chosen and (b in lefts or a in rights):
-            break
-        chosen.append((a, b, c, joined))
-        lefts.add(a)
-        rights.add(b)
-        made.add(joined)
-        if solo:
-            break
-    return chosen
+def apply_merges(words: DataFrame, merges: list[tuple[int, int, int, int]]) -> DataFrame:
+    """(n, syms, before): the words after the merges, in their order;
+    ``before`` holds the former symbols of a touched word, else null."""
+    chosen = _codes([(a, b) for a, b, _, _ in merges])
+    order = {(a, b): k for k, (a, b, _, _) in enumerate(merges)}  # a pair is merged once a round
+
+    def rewrite(syms: list[int]) -> list[int]:
+        k = -1
+        while True:
+            k = min((at for p in zip(syms, syms[1:]) if (at := order.get(p, -1)) > k), default=None)
+            if k is None:
+                return syms
+            a, b, new, _ = merges[k]
+            syms = _merged(syms, (a, b), new)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            syms = b.column(1)
+            flat, ends, code, inside = _neighbours(syms)
+            touched = np.zeros(b.num_rows, bool)
+            touched[np.searchsorted(ends, np.nonzero(_among(code, chosen) & inside)[0], side="right") - 1] = True
+            mask = pa.array(touched)
+            old = syms.filter(mask)
+            new = pa.array([rewrite(s) for s in old.to_pylist()], pa.list_(pa.int32()))
+            # untouched rows first, then the touched ones: the order of rows is free
+            rest = pc.invert(mask)
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(rest), syms.filter(rest).cast(pa.list_(pa.int32())),
+                                              pa.nulls(b.num_rows - len(old), pa.list_(pa.int32()))], names=["n", "syms", "before"])
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(mask), new, old.cast(pa.list_(pa.int32()))], names=["n", "syms", "before"])
+
+    return words.select("n", "syms").mapInArrow(run, "n long, syms array<int>, before array<int>")
+
+
+def pair_deltas(words: DataFrame) -> DataFrame:
+    """(left_id, right_id, count): signed changes of the pair counts, from the
+    touched words alone."""
+    touched = words.where(F.col("before").isNotNull())
+    gone = cnt.pair_rows(touched.select((-F.col("n")).alias("n"), F.col("before").alias("syms")))
+    come = cnt.pair_rows(touched.select("n", "syms"))
+    return gone.unionByName(come).groupBy("left_id", "right_id").agg(F.sum("n").alias("count")).where("count <> 0")
 
 
 def train_wordpiece(texts: DataFrame, text_col: str = "text", vocab_size: int = TARGET_VOCAB_SIZE,
-                    top_k: int = 64, max_top_k: int = 4096, checkpoint_every: int = 10,
-                    prefix: str = CONTINUATION_PREFIX, max_rounds: int | None = None,
-                    local_words: int = LOCAL_WORDS) -> TrainResult:
+                    plan_pairs: int = PLAN_PAIRS, plan_runs: int = PLAN_RUNS, prefix: str = CONTINUATION_PREFIX,
+                    max_rounds: int | None = None) -> TrainResult:
     """A5: learn a vocabulary of at most ``vocab_size`` tokens (the alphabet
     is always kept whole, so the result can be larger when V is tiny)."""
     spark = texts.sparkSession
     ensure_checkpoint_dir(spark)
     wc = cnt.word_counts(texts, text_col).checkpoint(eager=True)
     base = cnt.initial_vocab(wc, prefix)
-    id_to_token = [r["token"] for r in base.orderBy("id").collect()]  # alphabet-sized
-    assert id_to_token[: len(SPECIAL_TOKENS)] == list(SPECIAL_TOKENS)
-    types = cnt.word_types(wc, base, prefix).where(F.size("syms") >= 2)
-    if max_rounds is None and wc.limit(local_words + 1).count() <= local_words:
-        made = merge_in_task(types, id_to_token, vocab_size, prefix)
-        for a, b, new, _ in made:
-            if new == len(id_to_token):
-                tb = id_to_token[b]
-                id_to_token.append(id_to_token[a] + (tb[len(prefix):] if tb.startswith(prefix) else tb))
-        merges, rounds = [(k, *m) for k, m in enumerate(made)], 1
-    else:
-        merges, rounds = _merge_in_rounds(types, id_to_token, vocab_size, top_k, max_top_k, checkpoint_every, prefix, max_rounds)
-    vocab = spark.createDataFrame([(t, i) for i, t in enumerate(id_to_token)], "token string, id int")
-    merges_df = spark.createDataFrame(merges, "rank int, left_id int, right_id int, new_id int, count long")
-    return TrainResult(vocab=vocab, merges=merges_df, rounds=rounds, tokens=id_to_token)
-
-
-def _merge_in_rounds(types: DataFrame, id_to_token: list[str], vocab_size: int, top_k: int, max_top_k: int,
-                     checkpoint_every: int, prefix: str, max_rounds: int | None) -> tuple[list, int]:
-    """The distributed loop; ``id_to_token`` grows."""
-    token_to_id = {t: i for i, t in enumerate(id_to_token)}
-    # spread word types over the cluster (a small aggregate can come back as
-    # one partition, which would serialise every round)
-    parts = max(1, types.sparkSession.sparkContext.defaultParallelism)
-    types = types.repartition(parts, "word").checkpoint(eager=True)
-    merges: list[tuple[int, int, int, int, int]] = []
-    rounds, k = 0, top_k
-    release: DataFrame | None = None   # previous cached round, freed once its successor is built
-    while len(id_to_token) < vocab_size and (max_rounds is None or rounds < max_rounds):
-        ranked = [(int(r["left_id"]), int(r["right_id"]), int(r["count"]))
-                  for r in cnt.best_pairs(cnt.pair_counts(types), k).collect()]
-        if release is not None:
-            release.unpersist()
-            release = None
+    tokens = [r["token"] for r in base.orderBy("id").collect()]  # alphabet-sized
+    assert tokens[: len(SPECIAL_TOKENS)] == list(SPECIAL_TOKENS)
+    # dealt over the cluster once: a small aggregate can come back as one partition
+    words = cnt.word_types(wc, base, prefix).where(F.size("syms") >= 2)
+    words = words.repartition(max(1, spark.sparkContext.defaultParallelism), "word").select("n", "syms").checkpoint(eager=True)
+    merges, plans = _merge_in_rounds(words, tokens, vocab_size, plan_pairs, plan_runs, prefix, max_rounds)
+    vocab = spark.createDataFrame([(t, i) for i, t in enumerate(tokens)], "token string, id int")
+    merges_df = spark.createDataFrame([(k, *m) for k, m in enumerate(merges)],
+                                      "rank int, left_id int, right_id int, new_id int, count long")
+    return TrainResult(vocab=vocab, merges=merges_df, rounds=len(plans), tokens=tokens, plans=plans)
+
+
+def _merge_in_rounds(words: DataFrame, tokens: list[str], vocab_size: int, plan_pairs: int, plan_runs: int, prefix: str,
+                     max_rounds: int | None) -> tuple[list[tuple[int, int, int, int]], list[dict]]:
+    """The rounds; ``tokens`` grows."""
+    ids = {t: i for i, t in enumerate(tokens)}
+    pairs = cnt.pair_counts(words).checkpoint(eager=True)
+    merges: list[tuple[int, int, int, int]] = []
+    plans: list[dict] = []
+    k = plan_pairs
+    while len(tokens) < vocab_size and (max_rounds is None or len(plans) < max_rounds):
+        ranked = [(int(r["left_id"]), int(r["right_id"]), int(r["count"])) for r in cnt.best_pairs(pairs, plan_pairs).collect()]
         if not ranked:
             break
-        rounds += 1
-        chosen = choose_prefix(ranked, id_to_token, token_to_id, prefix)
-        applied: dict[tuple[int, int], int] = {}
-        for a, b, c, joined in chosen:
-            if len(id_to_token) >= vocab_size:
+        k = min(k, len(ranked))
+        while True:
+            top = ranked[:k]
+            got = runs_of(words, [(a, b) for a, b, _ in top]).limit(plan_runs + 1).collect()
+            if len(got) <= plan_runs or k == 1:
                 break
-            new_id = token_to_id.get(joined)
-            if new_id is None:
-                new_id = len(id_to_token)
-                id_to_token.append(joined)
-                token_to_id[joined] = new_id
-            applied[(a, b)] = new_id
-            merges.append((len(merges), a, b, new_id, c))
-        if not applied:
+            k = max(1, min(k // 2, k * plan_runs // (2 * len(got))))
+        a, b, n = top[-1]
+        planned = plan_merges([list(r["run"]) for r in got], [int(r["n"]) for r in got], (-n, a, b), tokens, ids, vocab_size, prefix)
+        plans.append({"pairs": k, "runs": len(got), "merges": len(planned)})
+        merges += planned
+        if len(got) < plan_runs // 2:
+            k = min(plan_pairs, 2 * k)
+        if len(tokens) >= vocab_size:
             break
-        # widen the candidate list while whole lists are usable
-        if len(chosen) == len(ranked):
-            k = min(max_top_k, k * 2)
-        nxt = _apply_merges(types, applied)
-        if rounds % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)   # reliable: cuts lineage
-            if types.is_cached:
-                types.unpersist()
-        else:
-            nxt = nxt.cache()
-            release = types if types.is_cached else None
-        types = nxt
-    if types.is_cached:
-        types.unpersist()
-    return merges, rounds
+        after = apply_merges(words, planned).checkpoint(eager=True)
+        pairs = (pairs.unionByName(pair_deltas(after)).groupBy("left_id", "right_id").agg(F.sum("count").alias("count"))
+                 .where("count > 0").checkpoint(eager=True))
+        words = after.where(F.size("syms") >= 2).select("n", "syms")
+    return merges, plans
