@@ -27,8 +27,8 @@ def test_corpus_lines_counts(spark):
 
 def test_prefix_offsets_small_blocks_equal_large_blocks(spark):
     docs = tables.documents(spark, SF01).select("doc_id", "source", "lang", F.length("text").cast("long").alias("w"))
-    a = prefix_offsets(docs, ["source", "lang"], "doc_id", "w", "o", block_size=7)
-    b = prefix_offsets(docs, ["source", "lang"], "doc_id", "w", "o", block_size=1 << 20)
+    a = prefix_offsets(docs, ["source", "lang"], "doc_id", "w", "o", block_rows=7)
+    b = prefix_offsets(docs, ["source", "lang"], "doc_id", "w", "o", block_rows=1 << 20)
     assert a.select("doc_id", "o").exceptAll(b.select("doc_id", "o")).count() == 0
 
 
@@ -47,7 +47,7 @@ def test_corpus_lines_of_null_groups_and_odd_ids(spark, ids):
     results = []
     for parts in (1, 5):
         got = defaultdict(dict)
-        found = align.corpus_lines(df.repartition(parts, F.rand(parts)), block_size=4).collect()
+        found = align.corpus_lines(df.repartition(parts, F.rand(parts)), block_rows=4).collect()
         for r in found:
             got[r["corpus"], r["lang"]][r["line_no"]] = r["text"]
         assert len(found) == sum(map(len, want.values())) and set(got) == set(want)

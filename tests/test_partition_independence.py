@@ -9,7 +9,7 @@ from twinline.sources import tables
 
 
 def _chain(spark, docs, vocab):
-    lines = align.corpus_lines(docs, block_size=16)
+    lines = align.corpus_lines(docs, block_rows=16)
     pairs = align.language_pairs(lines)
     sp = split.train_test_split(pairs, ["corpus", "line_no"], 0.05, seed=9)
     tok = jobs.tokenize_pairs(sp, vocab, vocab)

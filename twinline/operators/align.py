@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from .numbering import prefix_offsets
+from .skew import join_hot, null_safe_join
 
 
 class AlignmentError(ValueError):
     """Raised in strict mode when two sides of a corpus differ in length."""
 
 
-def corpus_lines(docs: DataFrame, corpus_col: str = "source", block_size: int = 1 << 16) -> DataFrame:
+def corpus_lines(docs: DataFrame, corpus_col: str = "source", block_rows: int = 1 << 16) -> DataFrame:
     """W1 over documents: one row per ``\\n``-separated line.
 
     ``line_no`` is the 0-based position of the line inside (corpus, lang) in
@@ -31,35 +32,34 @@ def corpus_lines(docs: DataFrame, corpus_col: str = "source", block_size: int =
     or lang is a group like any other.  Documents with a null text have no
     lines.  Result: corpus, lang, line_no, text.
 
-    Where ids are unique and not null, the windows see only (doc_id, line
-    count); their offsets are joined back on doc_id, so the text is moved at
-    most once and never sorted.  Otherwise each line is numbered by itself.
+    The scan sees only (corpus, lang, doc_id, lines); its offsets are joined
+    back, so the text is moved at most once and never sorted.  Ids that many
+    rows share are joined by a bounded broadcast; their lines, and only theirs,
+    are numbered one by one after the id's offset.
     """
-    if docs.groupBy("doc_id").count().where((F.col("count") > 1) | F.col("doc_id").isNull()).limit(1).count():
-        return _lines_of_any_ids(docs, corpus_col, block_size)
-    d = docs.where(F.col("text").isNotNull())
+    key = ["corpus", "lang", "doc_id"]
+    d = docs.where(F.col("text").isNotNull()).select(F.col(corpus_col).alias("corpus"), "lang", "doc_id", "text")
     n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
-    narrow = d.select("doc_id", F.col(corpus_col).alias("corpus"), "lang", n_lines.cast("long").alias("_n"))
-    offsets = prefix_offsets(narrow, ["corpus", "lang"], "doc_id", "_n", "_line_off", block_size, rows_per_block=block_size)
-    lines = d.select("doc_id", F.col(corpus_col).alias("corpus"), "lang", "text").join(offsets.select("doc_id", "_line_off"), "doc_id")
-    return lines.select("corpus", "lang", "_line_off", F.posexplode(F.split("text", "\n", -1)).alias("_pos", "text")).select(
-        "corpus", "lang", (F.col("_line_off") + F.col("_pos")).cast("long").alias("line_no"), "text")
-
-
-def _lines_of_any_ids(docs: DataFrame, corpus_col: str, block_size: int) -> DataFrame:
-    """``corpus_lines`` for repeated and null ids: rows get a checkpointed key,
-    and the keys of lines (no text) are sorted and numbered."""
+    per_id = d.groupBy(*key).agg(F.sum(n_lines.cast("long")).alias("_n"), F.count(F.lit(1)).alias("_rows"))
+    offsets = prefix_offsets(per_id, key[:2], "doc_id", "_n", "_line_off", block_rows)
     ensure_checkpoint_dir(docs.sparkSession)
-    rows = docs.where(F.col("text").isNotNull()).select(
-        "doc_id", F.col(corpus_col).alias("corpus"), "lang", "text",
-        F.monotonically_increasing_id().alias("_row")).checkpoint(eager=True)
-    lines = rows.select("_row", "doc_id", "corpus", "lang", F.posexplode(F.split("text", "\n", -1)).alias("_pos", "text"))
-    order = lines.select("_row", "_pos", "doc_id", "corpus", "lang", F.xxhash64("text").alias("_hash")).orderBy(
-        F.col("doc_id").asc_nulls_last(), "_pos", "_hash", "_row")
-    order = order.select("_row", "_pos", "corpus", "lang", F.monotonically_increasing_id().alias("_ord"),
-                         F.lit(1).cast("long").alias("_one")).checkpoint(eager=True)
-    numbers = prefix_offsets(order, ["corpus", "lang"], "_ord", "_one", "line_no", block_size, rows_per_block=block_size)
-    return lines.join(numbers.select("_row", "_pos", "line_no"), ["_row", "_pos"]).select("corpus", "lang", "line_no", "text")
+    offsets = offsets.select(*key, "_rows", "_line_off").checkpoint(eager=True)
+    repeated = offsets.where("_rows > 1").select(*key)
+    lines = F.posexplode(F.split("text", "\n", -1)).alias("_pos", "text")
+    if not repeated.limit(1).count():
+        placed = null_safe_join(d, offsets.drop("_rows"), key)
+        return placed.select(*key[:2], "_line_off", lines).select(
+            *key[:2], (F.col("_line_off") + F.col("_pos")).cast("long").alias("line_no"), "text")
+    rows = d.withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True)
+    placed = join_hot(rows, offsets, key)
+    single = placed.where("_rows = 1").select(*key[:2], "_line_off", lines).select(
+        *key[:2], (F.col("_line_off") + F.col("_pos")).cast("long").alias("line_no"), "text")
+    several = placed.where("_rows > 1").select(*key, "_row", "_line_off", lines).withColumn("_hash", F.xxhash64("text"))
+    several = several.checkpoint(eager=True)
+    inside = prefix_offsets(several.select(*key, "_row", "_pos", "_hash", F.lit(1).cast("long").alias("_one")), key,
+                            ["_pos", "_hash", "_row"], "_one", "_nth", block_rows)
+    numbered = several.join(inside.select("_row", "_pos", "_nth"), ["_row", "_pos"])
+    return single.unionByName(numbered.select(*key[:2], (F.col("_line_off") + F.col("_nth")).cast("long").alias("line_no"), "text"))
 
 
 def rename(df: DataFrame, old: str, new: str) -> DataFrame:

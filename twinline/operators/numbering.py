@@ -4,10 +4,13 @@ Two building blocks used by line numbering (W1), the train/test split (T2)
 and batch assignment (W2):
 
 ``prefix_offsets``
-    exclusive running sum of a weight inside a group, ordered by a long key.
-    Two levels: a window per (group, key-block) -- each window partition holds
-    at most ``block_size`` rows whatever the group skew -- plus a running sum
-    over the per-block totals, a table ``block_size`` times smaller.
+    exclusive running sum of a weight inside a group, ordered by any columns: a
+    distributed scan.  Rows are sorted once over the cluster (sampled splitters
+    on the order), which gives each a place in its partition; every
+    ``block_rows`` places of a partition are a block.  A window per (group, block) sums inside
+    it, and a running sum over the per-block totals, a table ``block_rows`` times
+    smaller, gives what lies before.  No window partition holds more than
+    ``block_rows`` rows, whatever the distribution of keys and groups.
 
 ``hash_rank``
     1-based global rank in the order of a uniform hex hash (md5) with a
@@ -20,44 +23,50 @@ and batch assignment (W2):
 from __future__ import annotations
 
 import math
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+from .skew import null_safe_join
+
 MAX_HASH_DIGITS = 5  # at most 16**5 = 1,048,576 buckets (~16 MB offset table)
 
 
-def prefix_offsets(df: DataFrame, group_cols: list[str], order_col: str, weight_col: str,
-                   out_col: str = "offset", block_size: int = 1 << 16, rows_per_block: int | None = None) -> DataFrame:
-    """Add ``out_col`` = sum of ``weight_col`` over the rows of the same group
-    that come before this row in ``order_col`` order (exclusive prefix sum).
+PLACE_BITS = 33  # of a monotonically increasing id: the rest is the partition
 
-    ``order_col`` must be a long, unique inside a group; a null group is a
-    group like any other.  A block spans
-    ``block_size`` values of it; with ``rows_per_block`` the span is widened
-    for sparse values (one aggregate of the narrow column), so that blocks hold
-    about that many rows.
-    """
-    blk = "_pfx_blk"
-    if rows_per_block:
-        s = df.agg(F.min(order_col).alias("a"), F.max(order_col).alias("z"), F.count(F.lit(1)).alias("n")).first()
-        if s["n"]:
-            block_size = max(rows_per_block, (s["z"] - s["a"] + 1) * rows_per_block // s["n"])
-    d = df.withColumn(blk, F.floor(F.col(order_col) / F.lit(block_size)))
-    in_block = Window.partitionBy(*group_cols, blk).orderBy(order_col).rowsBetween(
-        Window.unboundedPreceding, -1)
-    d = d.withColumn("_pfx_in", F.coalesce(F.sum(weight_col).over(in_block), F.lit(0)))
-    totals = d.groupBy(*group_cols, blk).agg(F.sum(weight_col).alias("_pfx_tot"))
+
+def ordered_blocks(df: DataFrame, order: list[Column], block_rows: int, place_col: str = "_scan_at",
+                   block_col: str = "_scan_block") -> DataFrame:
+    """Add two longs that follow ``order``: a place, different for each row, and
+    a block of at most ``block_rows`` rows.  The result is checkpointed: places
+    must not change between its readers."""
+    ensure_checkpoint_dir(df.sparkSession)
+    place = F.col(place_col)
+    inside = F.floor(place.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)) / F.lit(block_rows))
+    first = F.shiftleft(F.shiftright(place, PLACE_BITS), PLACE_BITS)
+    placed = df.orderBy(*order).withColumn(place_col, F.monotonically_increasing_id())
+    return placed.withColumn(block_col, (first + inside).cast("long")).checkpoint(eager=True)
+
+
+def prefix_offsets(df: DataFrame, group_cols: list[str], order_col: str | list[str], weight_col: str,
+                   out_col: str = "offset", block_rows: int = 1 << 16) -> DataFrame:
+    """Add ``out_col`` = sum of ``weight_col`` over the rows of the same group
+    that come before this row in ``order_col`` order (exclusive prefix sum),
+    nulls last.  The order must be unique inside a group; a null group is a
+    group like any other.  ``df`` should be narrow: it is sorted and
+    checkpointed."""
+    at, blk = "_scan_at", "_scan_block"
+    by = [*group_cols, *([order_col] if isinstance(order_col, str) else order_col)]
+    d = ordered_blocks(df, [F.col(c).asc_nulls_last() for c in by], block_rows, at, blk)
+    in_block = Window.partitionBy(*group_cols, blk).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    totals = d.groupBy(*group_cols, blk).agg(F.sum(weight_col).alias("_scan_tot"))
     before = Window.partitionBy(*group_cols).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
-    keys = {c: f"_pfx_key{i}" for i, c in enumerate([*group_cols, blk])}
-    totals = totals.select(*[F.col(c).alias(k) for c, k in keys.items()],
-                           F.coalesce(F.sum("_pfx_tot").over(before), F.lit(0)).alias("_pfx_blk_off"))
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()])
-    return (d.join(totals, same)
-            .withColumn(out_col, (F.col("_pfx_blk_off") + F.col("_pfx_in")).cast("long"))
-            .drop(blk, "_pfx_in", "_pfx_blk_off", *keys.values()))
+    totals = totals.select(*group_cols, blk, F.coalesce(F.sum("_scan_tot").over(before), F.lit(0)).alias("_scan_before"))
+    d = d.withColumn("_scan_in", F.coalesce(F.sum(weight_col).over(in_block), F.lit(0)))
+    return (null_safe_join(d, totals, [*group_cols, blk])
+            .withColumn(out_col, (F.col("_scan_before") + F.col("_scan_in")).cast("long"))
+            .drop(at, blk, "_scan_in", "_scan_before"))
 
 
 def hash_digits_for(n_rows: int, rows_per_bucket: int = 1 << 14) -> int:

@@ -38,7 +38,7 @@ def build_pairs(spark: SparkSession, root: str, test_share: float = TEST_SHARE,
 def build_pairs_from_documents(docs: DataFrame, test_share: float = TEST_SHARE, seed: int | str = 42,
                                src_lang: str = "en", tgt_lang: str = "fr", mode: str = "truncate") -> DataFrame:
     """C1 over a documents table: line table, zip, split."""
-    lines = align.corpus_lines(docs)
+    lines = align.corpus_lines(docs.where(F.col("lang").isin(src_lang, tgt_lang)))
     pairs = align.language_pairs(lines, src_lang, tgt_lang, "english", "french", mode)
     return split.train_test_split(pairs, ["corpus", "line_no"], test_share, seed, materialize=True)
 
