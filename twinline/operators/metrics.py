@@ -2,9 +2,10 @@
 
 A prediction table has one row per target position:
 ``example_id, batch_id, pos, target_id, logits array<float>``.
-Everything is native: log-sum-exp with ``aggregate``/``transform``, the
-target logit with ``try_element_at`` (ids are 0-based), per-batch means by
-``groupBy`` with partial aggregation.
+Argmax and log-sum-exp come from one Arrow kernel over whole rows, or over
+pieces of the vocabulary that are merged by a small aggregate
+(``functions/logits.py``, which also defines NaN, infinite and null logits);
+means by ``groupBy`` with partial aggregation.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..constants import EVALUATION_STEPS, GRAD_ACCUMULATION, IGNORE_INDEX, MICRO_BATCH
 from ..functions import arrays as ax
+from ..functions.logits import merge_shards, row_scores, shard_scores
 
 
 def prediction_table(emb: DataFrame, batch_size: int = MICRO_BATCH, ignore_every: int = 7) -> DataFrame:
@@ -38,31 +40,31 @@ def valid_positions(df: DataFrame, target: str = "target_id") -> DataFrame:
     return df.where(is_valid(target))
 
 
-def token_loss(logits: Column | str = "logits", target: Column | str = "target_id") -> Column:
-    """Cross-entropy of one position: logsumexp(logits) - logits[target]."""
-    lg = F.col(logits) if isinstance(logits, str) else logits
-    t = F.col(target) if isinstance(target, str) else target
-    x = F.transform(lg, lambda v: v.cast("double"))
+def with_predictions(df: DataFrame) -> DataFrame:
+    """T3 argmax, correctness and cross-entropy per position (the latter two
+    null when ignored)."""
+    return _judged(df.withColumn("_score", row_scores("logits", "target_id")).select("*", "_score.pred_id", "_score.loss").drop("_score"))
 
-    # a one-element array binds the maximum to a lambda variable, so it is
-    # computed once per row and not once per element
-    def log_sum_exp(m: Column) -> Column:
-        return F.log(F.aggregate(x, F.lit(0.0).cast("double"), lambda a, v: a + F.exp(v - m))) + m
 
-    return F.get(F.transform(F.array(F.array_max(x)), log_sum_exp), 0) - F.try_element_at(x, t + 1)
+def _judged(df: DataFrame) -> DataFrame:
+    v = is_valid()
+    return (df.withColumn("correct", F.when(v, (F.col("pred_id") == F.col("target_id")).cast("double")))
+            .withColumn("loss", F.when(v, F.col("loss"))))
 
 
-def with_predictions(df: DataFrame) -> DataFrame:
-    """T3 argmax, correctness and loss per position (null when ignored)."""
-    v = is_valid()
-    return df.select(
-        "*",
-        ax.argmax("logits").alias("pred_id"),
-    ).select(
-        "*",
-        F.when(v, (F.col("pred_id") == F.col("target_id")).cast("double")).alias("correct"),
-        F.when(v, token_loss()).alias("loss"),
-    )
+def vocabulary_shards(df: DataFrame, width: int) -> DataFrame:
+    """A prediction table whose logits are stored in pieces of ``width`` ids:
+    one row per position and piece, with the piece's first id as ``shard_start``."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size("logits") - 1, F.lit(0)), F.lit(width))
+    return df.withColumn("shard_start", F.explode(starts)).withColumn("logits", F.slice("logits", F.col("shard_start") + 1, width))
+
+
+def sharded_predictions(shards: DataFrame) -> DataFrame:
+    """``with_predictions`` over vocabulary shards (without the logits): each
+    piece is reduced where it is read, and only its few numbers are shuffled."""
+    keys = [c for c in shards.columns if c not in ("logits", "shard_start")]
+    score = shard_scores(F.col("logits"), F.col("target_id"), F.col("shard_start"))
+    return _judged(merge_shards(shards.select(*keys, score.alias("score")), keys))
 
 
 def batch_metrics(df: DataFrame, by: tuple[str, ...] = ("batch_id",)) -> DataFrame:
@@ -76,10 +78,10 @@ def batch_metrics(df: DataFrame, by: tuple[str, ...] = ("batch_id",)) -> DataFra
     )
 
 
-def eval_mean(batches: DataFrame) -> DataFrame:
+def eval_mean(batches: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Unweighted mean of batch means (the reference) and the
-    token-weighted mean."""
-    return batches.agg(
+    token-weighted mean, of all batches or per ``by``."""
+    return batches.groupBy(*by).agg(
         F.avg("loss").alias("test_loss"),
         F.avg("accuracy").alias("test_acc"),
         (F.sum(F.col("loss") * F.col("valid_tokens")) / F.sum("valid_tokens")).alias("weighted_loss"),
