@@ -9,8 +9,9 @@ sides; doubles are rounded to 6 places on both sides.
 
 from __future__ import annotations
 
-import importlib.util
+import os
 import threading
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,8 @@ TOP_PAIRS = 64          # first-round best pairs
 EVAL_EVERY = 3          # the fixture has few steps, so evaluate more often than the library's default
 EDGE_PREFIX = "x[PAD]y [EOS] [pad] [ UNK ]?[BOS] " + "a" * 101 + " \u2603 a\u2603 \u2028 b "
 TOP_WORDS = 100         # top-k word report per language
+SHARD_WIDTH = 16        # ids of a vocabulary shard in the sharded prediction query
+MERGES_VOCAB_SIZE = 400  # a training whose merges SQL can follow in seconds
 WORLD_SIZE = 2          # processes for the rank-mean query
 TRAIN_VOCAB_SIZE = TARGET_VOCAB_SIZE  # or until no pair is left
 
@@ -60,7 +63,8 @@ def _vocab(spark: SparkSession, sf_dir: str) -> wp.Vocabulary:
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return align.language_pairs(align.corpus_lines(_docs(spark, sf_dir)))
+    # numbers are per language: the filter comes first, so that other languages are not numbered
+    return align.language_pairs(align.corpus_lines(_docs(spark, sf_dir).where(F.col("lang").isin("en", "fr"))))
 
 
 def _split_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +177,7 @@ def q_concat_corpora(spark, sf_dir):
 
 def q_rename(spark, sf_dir):
     """P1 over the French lines."""
-    lines = align.corpus_lines(_docs(spark, sf_dir)).where(F.col("lang") == "fr")
+    lines = align.corpus_lines(_fr_texts(spark, sf_dir))
     return align.rename(lines, "text", "french").select("corpus", "line_no", "french")
 
 
@@ -192,9 +196,22 @@ def q_saved_vocab(spark, sf_dir):
 
 
 def q_token_to_id(spark, sf_dir):
-    """J2 over the word counts."""
-    words = counts.word_counts(_docs(spark, sf_dir)).withColumnRenamed("word", "token")
-    return counts.token_to_id(words, "token", _vocab_df(spark, sf_dir)).select("token", "count", "id")
+    """J2 over the word counts; the text is counted once for both sides."""
+    ensure_checkpoint_dir(spark)
+    words = counts.word_counts(_docs(spark, sf_dir)).checkpoint(eager=True)
+    vocab = counts.vocab_freq(words, VOCAB_K, materialize=False).checkpoint(eager=True)
+    return counts.token_to_id(words.withColumnRenamed("word", "token"), "token", vocab).select("token", "count", "id")
+
+
+def q_saved_merges(spark, sf_dir):
+    """Vocabulary and merges of a small training written and read back."""
+    path = shared_folder(spark, "trained")
+    res = jobs.train_vocab(_fr_texts(spark, sf_dir), vocab_size=MERGES_VOCAB_SIZE)
+    store.write_vocab(res.vocab, path, res.merges)
+    v, m = store.read_vocab(spark, path), store.read_merges(spark, path)
+    for side in ("left", "right", "new"):
+        m = counts.id_to_token(m, f"{side}_id", v, side)
+    return m.select("rank", "left", "right", F.col("new").alias("joined"), "count")
 
 
 def _with_edges(spark, sf_dir):
@@ -226,12 +243,29 @@ def q_encode_list(spark, sf_dir):
 
 
 def q_metrics_log(spark, sf_dir):
-    """The step rows of two epochs appended one after the other."""
+    """The step rows of two epochs committed one after the other, the
+    first one twice (as after a retry)."""
     path = shared_folder(spark, "metrics")
     steps = jobs.step_log(metrics.two_epochs(_preds(spark, sf_dir)), GRAD_ACCUMULATION)
-    for epoch in (0, 1):
-        store.append_metrics(steps.where(F.col("epoch") == epoch), path)
-    return _round6(spark.read.parquet(path), ["train_loss", "accuracy"])
+    for epoch in (0, 1, 0):
+        store.append_metrics(steps.where(F.col("epoch") == epoch), path, "run")
+    return _round6(store.read_metrics(spark, path), ["train_loss", "accuracy"]).select("epoch", "step", "train_loss", "accuracy")
+
+
+def q_metrics_log_eval(spark, sf_dir):
+    """S7 with both kinds of rows: a training row a step, and at every
+    evaluation step the means over that epoch's batches; all committed twice."""
+    path = shared_folder(spark, "metrics")
+    preds = metrics.two_epochs(_preds(spark, sf_dir))
+    steps = jobs.step_log(preds, GRAD_ACCUMULATION)
+    means = metrics.eval_mean(metrics.batch_metrics(preds, ("epoch", "batch_id")), ("epoch",))
+    evals = metrics.eval_points(steps, EVAL_EVERY).select("epoch", "step").join(means, "epoch").select(
+        "epoch", "step", "test_loss", "test_acc")
+    for _ in range(2):
+        store.append_metrics(steps, path, "run")
+        store.append_metrics(evals, path, "run", "eval")
+    out = store.read_metrics(spark, path).select("run", "kind", "epoch", "step", "train_loss", "accuracy", "test_loss", "test_acc")
+    return _round6(out, ["train_loss", "accuracy", "test_loss", "test_acc"])
 
 
 def q_train_test_split(spark, sf_dir):
@@ -283,6 +317,19 @@ def q_decode(spark, sf_dir):
     return t.select("corpus", "line_no", dec.decode(F.col("tgt_ids"), v).alias("text"))
 
 
+def q_decode_specials(spark, sf_dir):
+    """X11 with the special tokens kept."""
+    v = _vocab(spark, sf_dir)
+    t = _tokens(spark, sf_dir)
+    return t.select("corpus", "line_no", dec.decode(F.col("tgt_ids"), v, skip_special_tokens=False).alias("text"))
+
+
+def q_decode_list(spark, sf_dir):
+    """X11 on lists: the encoded texts of each conversation back to texts."""
+    v = _vocab(spark, sf_dir)
+    return q_encode_list(spark, sf_dir).select("conv_id", dec.decode_list("ids", v).alias("texts"))
+
+
 def q_assign_batches(spark, sf_dir):
     r = collate.shuffled_ranks(_train_tokens(spark, sf_dir), ["corpus", "line_no"], SEED, 0)
     return collate.assign_batches(r, MICRO_BATCH).select("corpus", "line_no", "batch_id", "pos")
@@ -310,6 +357,13 @@ def q_predictions(spark, sf_dir):
     return _round6(p.select("example_id", "batch_id", "pos", "target_id", "pred_id", "correct", "loss"), ["loss"])
 
 
+def q_predictions_sharded(spark, sf_dir):
+    """T3 and A9 over logits that are stored in pieces of the vocabulary."""
+    shards = metrics.vocabulary_shards(_preds(spark, sf_dir), SHARD_WIDTH)
+    p = metrics.sharded_predictions(shards)
+    return _round6(p.select("example_id", "batch_id", "pos", "target_id", "pred_id", "correct", "loss"), ["loss"])
+
+
 def q_valid_positions(spark, sf_dir):
     return metrics.valid_positions(_preds(spark, sf_dir)).select("example_id", "batch_id", "pos", "target_id")
 
@@ -376,10 +430,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "saved_dataset": q_saved_dataset,
     "saved_vocab": q_saved_vocab,
     "token_to_id": q_token_to_id,
+    "saved_merges": q_saved_merges,
     "encode_edges": q_encode_edges,
     "encode_source_edges": q_encode_source_edges,
     "encode_list": q_encode_list,
     "metrics_log": q_metrics_log,
+    "metrics_log_eval": q_metrics_log_eval,
     "train_test_split": q_train_test_split,
     "hash_share_split": q_hash_share_split,
     "dataset_summary": q_dataset_summary,
@@ -389,12 +445,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tokenize_pairs": q_tokenize_pairs,
     "over_length_report": q_over_length_report,
     "decode": q_decode,
+    "decode_specials": q_decode_specials,
+    "decode_list": q_decode_list,
     "strip_specials": q_strip_specials,
     "assign_batches": q_assign_batches,
     "batch_max_len": q_batch_max_len,
     "collate": q_collate,
     "collate_eval": q_collate_eval,
     "predictions": q_predictions,
+    "predictions_sharded": q_predictions_sharded,
     "valid_positions": q_valid_positions,
     "batch_metrics": q_batch_metrics,
     "eval_mean": q_eval_mean,
@@ -410,14 +469,16 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # The pipeline operators (twinline/llm and corpus_pipeline.py) are optional.
 _LLM_ORACLE: dict[str, str] = {}
-if importlib.util.find_spec("twinline.llm") and importlib.util.find_spec("corpus_pipeline"):
+try:
     import corpus_pipeline
     from twinline.llm import queries as llm_queries
-
+except ImportError as missing:  # the folders, or a package that only they need
+    if os.path.exists(os.path.join(os.path.dirname(os.path.abspath(__file__)), "corpus_pipeline.py")):
+        warnings.warn(f"pipeline operators left out: {missing}", stacklevel=1)
+else:
     _QUERIES |= llm_queries.QUERIES
     _LLM_ORACLE |= llm_queries.ORACLE
-    if corpus_pipeline.STAGES:
-        _QUERIES["pipeline"] = corpus_pipeline.run
+    _QUERIES["pipeline"] = corpus_pipeline.run
     if corpus_pipeline.ORACLE_SQL:
         _LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
 

@@ -1,5 +1,11 @@
 """The driver contract."""
 
+import os
+import subprocess
+import sys
+
+import pytest
+
 import __spark_entry__ as se
 
 
@@ -15,3 +21,29 @@ def test_every_sql_has_a_query():
     assert set(s) <= set(q)
     own = {k for k in q if not k.startswith("op") and k != "pipeline"}
     assert own - set(s) <= {"train_wordpiece"}
+
+
+@pytest.mark.parametrize("absent", ["twinline.llm", "corpus_pipeline", "xxhash", "public_tokenizers"])
+def test_entry_without_the_optional_operators(absent):
+    """The core queries are there when the folders, or a package that only they use, are not."""
+    code = f"""
+import sys, warnings
+warnings.simplefilter("ignore")
+class Absent:
+    def find_spec(self, name, path=None, target=None):
+        if name == {absent!r} or name.startswith({absent!r} + "."):
+            raise ModuleNotFoundError(f"No module named {{name!r}}", name=name)
+sys.meta_path.insert(0, Absent())
+import os
+import subprocess
+import sys
+
+import pytest
+
+import __spark_entry__ as se
+names = set(se.queries())
+assert "flagship" in names and not any(n.startswith("op") or n == "pipeline" for n in names), names
+assert set(se.oracle_sql()) <= names
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)

@@ -5,6 +5,7 @@ import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from twinline.constants import SPECIAL_TOKENS
+from twinline.functions import decode as dec
 from twinline.functions import wordpiece as wp
 from twinline.operators import udf
 from twinline.sources import store
@@ -54,9 +55,40 @@ def test_dataset_and_vocab_round_trip(spark, tmp_path):
     back = store.read_dataset(spark, str(tmp_path / "d"))
     assert back.where("split = 'test'").count() == 1
     assert sorted(map(tuple, back.select(t.columns).collect())) == sorted(map(tuple, t.collect()))
-    store.append_metrics(spark.createDataFrame([(0, 1.5)], "step long, loss double"), str(tmp_path / "m"))
-    store.append_metrics(spark.createDataFrame([(1, 1.2)], "step long, loss double"), str(tmp_path / "m"))
-    assert spark.read.parquet(str(tmp_path / "m")).count() == 2
+
+
+def test_metric_commits_are_idempotent(spark, tmp_path):
+    log = str(tmp_path / "m")
+    options = {"steps_per_folder": 2}
+    steps = spark.createDataFrame([(0, s, 1.5 - s / 10, 0.5) for s in range(4)], "epoch int, step long, train_loss double, accuracy double")
+    tests = spark.createDataFrame([(0, 2.5, 0.25), (3, 1.5, 0.5)], "step long, test_loss double, test_acc double")
+    store.append_metrics(steps, log, "a", **options)
+    store.append_metrics(tests, log, "a", "eval", **options)
+    once = sorted(map(tuple, store.read_metrics(spark, log).collect()), key=repr)
+    assert len(once) == 6
+    store.append_metrics(steps, log, "a", **options)                      # a job that runs again
+    store.append_metrics(steps.where("step >= 2"), log, "a", **options)   # a resumed one
+    store.append_metrics(tests, log, "a", "eval", **options)
+    assert sorted(map(tuple, store.read_metrics(spark, log).collect()), key=repr) == once
+    # a step that is logged anew replaces itself alone; another run is another series
+    store.append_metrics(steps.where("step = 1").withColumn("train_loss", F.lit(9.0)), log, "a", **options)
+    store.append_metrics(steps, log, "b", **options)
+    got = store.read_metrics(spark, log)
+    assert got.where("run = 'a' and kind = 'train'").count() == 4 and got.where("run = 'b'").count() == 4
+    assert [r["train_loss"] for r in got.where("run = 'a' and step = 1 and kind = 'train'").collect()] == [9.0]
+    assert got.where("kind = 'eval'").where("train_loss is null and epoch is null").count() == 2
+
+
+def test_decode_lists(spark):
+    v = _vocab()
+    df = spark.createDataFrame([([[2, 4, 5, 3], [2, 8, 10, 11, 3], [], None],), (None,), ([],)], "ids array<array<int>>")
+    got = [r[0] for r in df.select(dec.decode_list("ids", v)).collect()]
+    assert got == [["le chat", "ab.", "", None], None, []]
+    kept = df.select(dec.decode_list("ids", v, skip_special_tokens=False)).first()[0]
+    assert kept == ["[BOS] le chat [EOS]", "[BOS] ab. [EOS]", "", None]
+    texts = spark.createDataFrame([(["le chat", "ab."],)], "texts array<string>")
+    back = wp.encode_list(texts, "texts", v).select(dec.decode_list("ids", v)).first()[0]
+    assert back == ["le chat", "ab."]
 
 
 def test_bert_style_source_vocab(spark, tmp_path):

@@ -50,3 +50,10 @@ def decode(ids: Column, vocab: Vocabulary, skip_special_tokens: bool = True) ->
         ids = strip_specials(ids, special_ids)
     toks = F.filter(id_to_token(ids, vocab), lambda t: t.isNotNull())
     return F.when(ids.isNotNull(), join_pieces(toks))
+
+
+def decode_list(lists: Column | str, vocab: Vocabulary, skip_special_tokens: bool = True) -> Column:
+    """X11 on a list of id lists (``array<array<int>>``): a list of texts, the
+    inverse of ``wordpiece.encode_list``; a null list of ids gives a null text."""
+    lists = F.col(lists) if isinstance(lists, str) else lists
+    return F.transform(lists, lambda ids: decode(ids, vocab, skip_special_tokens))

@@ -249,7 +249,7 @@ fr_pc AS (
 )"""
 
 
-def trainer_sql(vocab_size: int) -> str:
+def trainer_sql(vocab_size: int, merges: bool = False) -> str:
     """One merge a step over all word types.  A word is its symbols, each
     between two marks, so replace() merges left to right without overlap."""
     return _with(_fr_pairs_cte() + f""",
@@ -263,7 +263,7 @@ state(step, word, n, token, id) AS (
   pc AS (SELECT a, b, sum(n) AS c FROM (SELECT n, unnest(l[1:-2]) AS a, unnest(l[2:]) AS b FROM lists) GROUP BY a, b),
   top AS (SELECT c, a, b FROM pc WHERE c = (SELECT max(c) FROM pc) AND (SELECT count(*) FROM v) < {vocab_size}),
   best AS (
-    SELECT a, b, a || CASE WHEN starts_with(b, '##') THEN b[3:] ELSE b END AS joined
+    SELECT a, b, c, a || CASE WHEN starts_with(b, '##') THEN b[3:] ELSE b END AS joined
     FROM top JOIN v va ON va.token = a JOIN v vb ON vb.token = b ORDER BY va.id, vb.id LIMIT 1)
   SELECT step + 1, replace(word, chr(1) || a || chr(1) || chr(1) || b || chr(1), chr(1) || joined || chr(1)), n, NULL, NULL
   FROM state, best WHERE token IS NULL AND contains(word, chr(1) || chr(1))
@@ -271,12 +271,36 @@ state(step, word, n, token, id) AS (
   SELECT step + 1, NULL, NULL, token, id FROM state, best WHERE token IS NOT NULL
   UNION ALL
   SELECT (SELECT max(step) FROM state) + 1, NULL, NULL, joined, (SELECT count(*) FROM v)::INT
-  FROM best WHERE joined NOT IN (SELECT token FROM v))
-)""", "SELECT DISTINCT token, id FROM state WHERE token IS NOT NULL")
+  FROM best WHERE joined NOT IN (SELECT token FROM v)
+  UNION ALL
+  SELECT (SELECT max(step) FROM state) + 1, a || chr(2) || b || chr(2) || joined, c, NULL, NULL FROM best)
+)""", """SELECT (step - 1)::INT AS rank, string_split(word, chr(2))[1] AS "left", string_split(word, chr(2))[2] AS "right",
+       string_split(word, chr(2))[3] AS joined, n::BIGINT AS count FROM state WHERE contains(word, chr(2))"""
+                 if merges else "SELECT DISTINCT token, id FROM state WHERE token IS NOT NULL")
+
+
+def _decode_sql(rows: str, keys: str, out: str) -> str:
+    """CTEs that turn id lists (rows: keys, ids) into texts (``out``: keys, text)."""
+    d = ", ".join(f"d.{k.strip()}" for k in keys.split(","))
+    return f"""
+{out}_t AS (SELECT {keys}, unnest(ids) AS id, unnest(range(1, len(ids) + 1)) AS k FROM {rows}),
+{out}_j AS (
+  SELECT {d}, d.k, v.token, row_number() OVER (PARTITION BY {d} ORDER BY d.k) AS r FROM {out}_t d JOIN vocab v ON v.id = d.id
+),
+{out}_p AS (
+  SELECT {keys}, k,
+         CASE WHEN r = 1 THEN token
+              WHEN starts_with(token, '##') THEN substring(token, 3)
+              ELSE regexp_replace(' ' || token, '^ ([.?!,]|n''t|''m|''s|''ve|''re)', '\\1') END AS piece
+  FROM {out}_j
+),
+{out}_s AS (SELECT {keys}, string_agg(piece, '' ORDER BY k) AS text FROM {out}_p GROUP BY {keys}),
+{out} AS (SELECT {keys}, coalesce(s.text, '') AS text FROM {rows} LEFT JOIN {out}_s s USING ({keys}))"""
 
 
 ORACLE: dict[str, str] = {
     "train_wordpiece_1k": trainer_sql(1000),
+    "saved_merges": trainer_sql(400, merges=True),
     "word_counts": _with(WORD_COUNTS, "SELECT lang, word, count FROM wc_lang"),
     "top_words": _with(WORD_COUNTS, """SELECT * FROM (
         SELECT lang, word, count, row_number() OVER (PARTITION BY lang ORDER BY count DESC, word)::INT AS rank
@@ -317,6 +341,12 @@ turns AS (
     "encode_list": _with(VOCAB + "," + encode_rows("cl", "SELECT conv_id, turn, text FROM conversations", "conv_id, turn",
                                                    tok("text"), None),
                          "SELECT conv_id, list(ids ORDER BY turn) AS ids FROM cl GROUP BY conv_id"),
+    "metrics_log_eval": _with(PREDS, """SELECT 'run' AS run, 'train' AS kind, epoch, step, round(train_loss, 6) AS train_loss,
+        round(accuracy, 6) AS accuracy, NULL::DOUBLE AS test_loss, NULL::DOUBLE AS test_acc FROM steps
+        UNION ALL
+        SELECT 'run', 'eval', s.epoch, s.step, NULL, NULL, round(e.test_loss, 6), round(e.test_acc, 6)
+        FROM steps s JOIN (SELECT epoch, avg(loss) AS test_loss, avg(accuracy) AS test_acc FROM epoch_batches GROUP BY epoch) e
+          ON e.epoch = s.epoch WHERE s.step % 3 = 0"""),
     "metrics_log": _with(PREDS, """SELECT epoch, step, round(train_loss, 6) AS train_loss, round(accuracy, 6) AS accuracy
         FROM steps"""),
     "train_test_split": _with(CORPUS_LINES, "SELECT corpus, line_no, split FROM split_pairs"),
@@ -342,23 +372,16 @@ turns AS (
         sum((len(tgt_ids) > 512)::BIGINT)::BIGINT AS tgt_ids_over, count(*)::BIGINT AS num_rows
         FROM tokens_all GROUP BY split"""),
     "decode": _with(TOKENS + """,
-dec_ids AS (SELECT corpus, line_no, list_filter(tgt_ids, lambda x: x NOT IN (0, 1, 2, 3)) AS ids FROM tokens),
-dec_t AS (SELECT corpus, line_no, unnest(ids) AS id, unnest(range(1, len(ids) + 1)) AS k FROM dec_ids),
-dec_j AS (
-  SELECT d.corpus, d.line_no, d.k, v.token,
-         row_number() OVER (PARTITION BY d.corpus, d.line_no ORDER BY d.k) AS r
-  FROM dec_t d JOIN vocab v ON v.id = d.id
-),
-dec_p AS (
-  SELECT corpus, line_no, k,
-         CASE WHEN r = 1 THEN token
-              WHEN starts_with(token, '##') THEN substring(token, 3)
-              ELSE regexp_replace(' ' || token, '^ ([.?!,]|n''t|''m|''s|''ve|''re)', '\\1') END AS piece
-  FROM dec_j
-),
-dec_s AS (SELECT corpus, line_no, string_agg(piece, '' ORDER BY k) AS text FROM dec_p GROUP BY corpus, line_no)""",
-                    """SELECT t.corpus, t.line_no, coalesce(s.text, '') AS text
-        FROM tokens t LEFT JOIN dec_s s USING (corpus, line_no)"""),
+dec_ids AS (SELECT corpus, line_no, list_filter(tgt_ids, lambda x: x NOT IN (0, 1, 2, 3)) AS ids FROM tokens),"""
+                    + _decode_sql("dec_ids", "corpus, line_no", "texts"), "SELECT corpus, line_no, text FROM texts"),
+    "decode_specials": _with(TOKENS + """,
+dec_ids AS (SELECT corpus, line_no, tgt_ids AS ids FROM tokens),"""
+                             + _decode_sql("dec_ids", "corpus, line_no", "texts"), "SELECT corpus, line_no, text FROM texts"),
+    "decode_list": _with(VOCAB + "," + encode_rows("cl", "SELECT conv_id, turn, text FROM conversations", "conv_id, turn", tok("text"), None)
+                         + """,
+dec_ids AS (SELECT conv_id, turn, list_filter(ids, lambda x: x NOT IN (0, 1, 2, 3)) AS ids FROM cl),"""
+                         + _decode_sql("dec_ids", "conv_id, turn", "texts"),
+                         "SELECT conv_id, list(text ORDER BY turn) AS texts FROM texts GROUP BY conv_id"),
     "strip_specials": _with(TOKENS, """SELECT corpus, line_no, list_filter(tgt_ids, lambda x: x NOT IN (0, 1, 2, 3)) AS ids
         FROM tokens"""),
     "assign_batches": _with(TOKENS, "SELECT corpus, line_no, batch_id, pos FROM train_batched"),
@@ -394,6 +417,8 @@ padded AS (
         FROM padded"""),
     "predictions": _with(PREDS, """SELECT example_id, batch_id, pos, target_id, pred_id, correct, round(loss, 6) AS loss
         FROM scored2"""),
+    "predictions_sharded": _with(PREDS, """SELECT example_id, batch_id, pos, target_id, pred_id, correct, round(loss, 6) AS loss
+        FROM scored2"""),
     "valid_positions": _with(PREDS, "SELECT example_id, batch_id, pos, target_id FROM preds WHERE target_id <> -100"),
     "batch_metrics": _with(PREDS, """SELECT batch_id, round(accuracy, 6) AS accuracy, round(loss, 6) AS loss, valid_tokens
         FROM batches"""),
