@@ -118,25 +118,6 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> It
             start = stop
 
 
-HOT_KEYS = 1024  # at most so many keys hold more than one row in HOT_KEYS each: the bound of what join_hot broadcasts
-
-
-def join_hot(rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner", least: int = 1024) -> DataFrame:
-    """``rows`` joined with ``lookup`` (unique in ``on``), however many rows
-    share a key.  Keys with more than ``least`` rows and more than one in
-    ``HOT_KEYS`` of all rows (so at most ``HOT_KEYS`` keys, whatever the data)
-    are broadcast with their lookup rows; the others meet by a shuffle."""
-    per_key = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_hot_n"))
-    n = rows.count()
-    hot = cut(per_key.where(F.col("_hot_n") > max(least, n // HOT_KEYS)).select(*on))
-    if not hot.limit(1).count():
-        return rows.join(lookup, on, how)
-    cold = rows.join(F.broadcast(hot), on, "left_anti").join(lookup, on, how)
-    few = cut(lookup.join(F.broadcast(hot), on, "left_semi"))
-    warm = rows.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(few), on, how)
-    return cold.unionByName(warm)
-
-
 TREE_FAN_OUT = 16
 
 

@@ -43,6 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinline.llm.common import cut, keep_rows, with_row_key
+from twinline.operators.skew import hot_keys, join_hot
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -52,6 +53,7 @@ SEED = 42
 BLOCK = 512                       # rows of a block of a large cell
 SEGMENT_BLOCKS = (5, 5, 5, 5, 6, 6)  # segments of each coordinate block
 FAN_OUT = 16
+HOT = 256                         # rows of a key from which join_hot may take it as hot
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -140,8 +142,9 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> D
     cells = classes.select("_fp", "_node", F.explode(F.array(*[
         F.struct(F.lit(i).alias("c"), unary.bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(cell_masks())])).alias("_x"))
     cells = cells.select("_fp", "_node", F.col("_x.c").alias("_c"), F.col("_x.k").alias("_k"))
-    shared = cells.groupBy("_c", "_k").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    rows = cells.join(shared, ["_c", "_k"])
+    shared = cut(cells.groupBy("_c", "_k").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
+    total = shared.agg(F.sum("_n")).first()[0] or 0
+    rows = join_hot(cells, shared, ["_c", "_k"], hot=hot_keys(shared, "_n", total, HOT))
     # a large cell: about `block` rows to a block, a task for each pair of blocks
     blocks = F.when(F.col("_n") <= 2 * block, 1).otherwise(F.ceil(F.col("_n") / block)).cast("int")
     rows = rows.withColumn("_nb", blocks).withColumn("_b", F.pmod(F.xxhash64("_fp"), F.col("_nb")).cast("int"))
@@ -189,7 +192,8 @@ def components(edges: DataFrame) -> DataFrame:
         hooked = label.join(seen, "a").select("a", F.col("l").alias("old"), F.least("l", "m").alias("l"))
         hooked = cut(hooked)
         jump = hooked.select(F.col("a").alias("l"), F.col("l").alias("j"))
-        new = cut(hooked.join(jump, "l").select("a", "old", F.least("l", "j").alias("l")))
+        # the nodes of a large component share their label
+        new = cut(join_hot(hooked, jump, ["l"], least=HOT).select("a", "old", F.least("l", "j").alias("l")))
         moved = new.where("l <> old").limit(1).count()
         label = new.select("a", "l")
         if not moved:
@@ -209,7 +213,7 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # a fingerprint without links is a component of its own
     named = classes.join(linked.join(first, "_comp").select("_fp", F.lit(True).alias("_in"), "_least"), "_fp", "left").select(
         "_fp", F.when(F.col("_in"), F.col("_least")).otherwise(F.col("_first")).alias("_name"))
-    return by_doc.join(named, "_fp").select(
+    return join_hot(by_doc, named, ["_fp"], least=HOT).select(
         F.col("_id").alias(id_col), F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"),
         F.col("_name").alias("component_id"))
 

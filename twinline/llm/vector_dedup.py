@@ -43,8 +43,9 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinline.llm.common import cut, groups_of, join_hot, spanning_trees, vector_matrix
+from twinline.llm.common import cut, groups_of, spanning_trees, vector_matrix
 from twinline.llm.simhash import components
+from twinline.operators.skew import join_hot
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
