@@ -1,5 +1,7 @@
 """Encode / decode goldens (FIXTURES.md section 4) and a library cross-check."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,11 +109,53 @@ def test_encode_rejects_non_columns(spark):
         wp.encode_target("plain string", _vocab(["a"]), spark)
 
 
-def test_longest_piece_bound_is_exact():
-    vocab = {t: i for i, t in enumerate(list(SPECIAL_TOKENS) + ["a", "ab", "abc", "##b", "##bc", "##c", "##abcd"])}
-    assert wp.longest_piece(vocab) == 5  # "[UNK]" (specials count too); "##abcd" counts 4
-    for word in ["abc", "abcabcd", "abbbc", "a" * 40, "abcz", "ab" * 30]:
-        assert wp.greedy_pieces(word, vocab, 0, max_piece=5) == wp.greedy_pieces(word, vocab, 0)
+def longest_match(word, vocab, unk=0, prefix="##"):
+    """The definition: try every end, the longest first."""
+    out, start = [], 0
+    while start < len(word):
+        for end in range(len(word), start, -1):
+            piece = word[start:end] if start == 0 else prefix + word[start:end]
+            if piece in vocab:
+                out.append(vocab[piece])
+                start = end
+                break
+        else:
+            return [unk]
+    return out if len(word) <= 100 else [unk]
+
+
+class CountedSteps(dict):
+    probes = 0
+
+    def get(self, key, default=None):
+        CountedSteps.probes += 1
+        return dict.get(self, key, default)
+
+
+def test_matcher_equals_the_definition_in_linear_probes():
+    rnd = random.Random(4)
+    for trial in range(60):
+        letters = "ab#é"[:rnd.randint(2, 4)]
+        some = ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 6))) for _ in range(25)]
+        tokens = [*SPECIAL_TOKENS, *dict.fromkeys([*some[:12], *("##" + t for t in some[12:])])]
+        vocab = {t: i for i, t in enumerate(tokens)}
+        steps, fails, pops = wp.build_matcher(vocab)
+        matcher = (CountedSteps(steps), fails, pops)
+        for _ in range(120):
+            word = "".join(rnd.choice(letters) for _ in range(rnd.randint(0, 30)))
+            CountedSteps.probes = 0
+            assert wp.match_pieces(word, matcher, 0) == longest_match(word, vocab), (vocab, word)
+            assert CountedSteps.probes <= 2 * len(word)
+
+
+def test_matcher_on_every_word_of_the_documents(spark):
+    wc = counts.word_counts(tables.documents(spark, "/root/testdata/sf0.01"))
+    v = wp.Vocabulary.from_df(counts.vocab_freq(wc, 2000))
+    matcher = wp.build_matcher(v.token_to_id)
+    words = [r["word"] for r in wc.select("word").collect()]
+    assert len(words) > 60_000
+    for w in [*words, "a" * 100, "a" * 101, "###", "##a", "[UNK]", "[PAD]x"]:
+        assert wp.match_pieces(w, matcher, 0) == longest_match(w, v.token_to_id), w
 
 
 def test_encode_list_after_shuffles_keeps_every_row(spark):

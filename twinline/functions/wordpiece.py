@@ -40,40 +40,78 @@ from . import text as tx
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _MEMO_LIMIT = 500_000
-_LONGEST = ("longest piece",)  # memo slot for the vocabulary's longest piece (not a string, so never a word)
 
 
-def longest_piece(vocab: dict[str, int], prefix: str = CONTINUATION_PREFIX) -> int:
-    """Characters of the longest piece a vocabulary can match (a continuation
-    token's prefix not counted): no match can be longer."""
-    return max((len(t) - (len(prefix) if t.startswith(prefix) else 0) for t in vocab), default=0)
-
-
-def greedy_pieces(word: str, vocab: dict[str, int], unk_id: int,
-                  prefix: str = CONTINUATION_PREFIX,
-                  max_chars: int = MAX_INPUT_CHARS_PER_WORD, max_piece: int | None = None) -> list[int]:
-    """Greedy longest-match-first split of one word (X5); any unmatched
-    piece, or a word longer than ``max_chars``, gives one unknown id (X6).
-    ``max_piece`` (see ``longest_piece``) only skips lookups that cannot
-    match."""
+Matcher = tuple[dict[int, int], list[int], list[tuple[int, ...]]]
+_START, _CONT = 0, 1   # roots of the matcher: a word's start, and after a piece
+_CHAR_BITS = 21        # a code point fits
+
+
+def build_matcher(vocab: dict[str, int], prefix: str = CONTINUATION_PREFIX) -> Matcher:
+    """A trie of all tokens (root ``_START``) and of the continuation tokens
+    without their prefix (root ``_CONT``), with failure links: (steps, fails,
+    pops).  ``steps`` maps node and character to the next node.  A node without
+    such a step has matched text whose longest-match split begins with the
+    pieces ``pops[node]`` and leaves what ``fails[node]`` stands for (-1: the
+    text cannot be split).  Plain containers, so that it travels without code."""
+    steps: dict[int, int] = {}
+    ends: dict[int, int] = {}
+    parents: list[tuple[int, int]] = [(-1, 0), (-1, 0)]
+    depth = [0, 0]
+
+    def insert(text: str, node: int, token: int) -> None:
+        for c in map(ord, text):
+            key = node << _CHAR_BITS | c
+            nxt = steps.get(key)
+            if nxt is None:
+                nxt = steps[key] = len(parents)
+                parents.append((node, c))
+                depth.append(depth[node] + 1)
+            node = nxt
+        ends[node] = token
+
+    for t, i in vocab.items():
+        if t:
+            insert(t, _START, i)
+        if t.startswith(prefix) and len(t) > len(prefix):
+            insert(t[len(prefix):], _CONT, i)
+    fails, pops = [-1] * len(parents), [()] * len(parents)
+    for v in sorted(range(2, len(parents)), key=depth.__getitem__):  # shallow nodes first
+        u, c = parents[v]
+        if v in ends:
+            pops[v], fails[v] = (ends[v],), _CONT
+            continue
+        z, out = fails[u], pops[u]
+        while z >= 0 and (z << _CHAR_BITS | c) not in steps:
+            z, out = fails[z], out + pops[z]
+        if z >= 0:
+            fails[v], pops[v] = steps[z << _CHAR_BITS | c], out
+    return steps, fails, pops
+
+
+def match_pieces(word: str, matcher: Matcher, unk_id: int, max_chars: int = MAX_INPUT_CHARS_PER_WORD) -> list[int]:
+    """The greedy longest-match split of one word (X5, X6), in time linear in
+    its length: every probe either takes a character or follows a failure link,
+    and a link never leads to longer text."""
     if len(word) > max_chars:
         return [unk_id]
+    steps, fails, pops = matcher
     out: list[int] = []
-    start, n = 0, len(word)
-    while start < n:
-        end = n if max_piece is None else min(n, start + max_piece)
-        found = None
-        while start < end:
-            piece = word[start:end] if start == 0 else prefix + word[start:end]
-            tid = vocab.get(piece)
-            if tid is not None:
-                found = tid
-                break
-            end -= 1
-        if found is None:
+    node = _START
+    for c in map(ord, word):
+        nxt = steps.get(node << _CHAR_BITS | c)
+        while nxt is None:
+            out += pops[node]
+            node = fails[node]
+            if node < 0:
+                return [unk_id]
+            nxt = steps.get(node << _CHAR_BITS | c)
+        node = nxt
+    while node > _CONT:
+        out += pops[node]
+        node = fails[node]
+        if node < 0:
             return [unk_id]
-        out.append(found)
-        start = end
     return out
 
 
@@ -106,21 +144,18 @@ class Vocabulary:
 
     def broadcast(self, spark):
         if self._bc is None:
-            self._bc = spark.sparkContext.broadcast(self.token_to_id)
+            self._bc = spark.sparkContext.broadcast(build_matcher(self.token_to_id))  # within MAX_VOCAB
         return self._bc
 
 
-def _wordpiece_udf(bc, unk_id: int, prefix: str, max_chars: int, specials: tuple[str, ...], nested: bool = False):
+def _wordpiece_udf(bc, unk_id: int, max_chars: int, specials: dict[str, int], nested: bool = False):
     """Arrow UDF: array<string> words -> array<int> piece ids (no specials);
     ``nested``: a list of word arrays -> a list of id arrays."""
     memo_key = uuid.uuid4().hex  # one memo per vocabulary (per deserialised UDF, i.e. per task)
 
     def encode_flat(words: pa.ListArray) -> pa.ListArray:
-        vocab = bc.value
+        matcher = bc.value
         memo = _memo_for(memo_key)
-        longest = memo.get(_LONGEST)
-        if longest is None:
-            longest = memo[_LONGEST] = longest_piece(vocab, prefix)
         flat = words.flatten()
         if len(flat) == 0:
             offsets = np.zeros(len(words) + 1, dtype=np.int32)
@@ -135,13 +170,9 @@ def _wordpiece_udf(bc, unk_id: int, prefix: str, max_chars: int, specials: tuple
         for w in uniq:
             p = memo.get(w)
             if p is None:
-                if w in specials and w in vocab:
-                    p = [vocab[w]]
-                else:
-                    p = greedy_pieces(w, vocab, unk_id, prefix, max_chars, longest)
+                p = [specials[w]] if w in specials else match_pieces(w, matcher, unk_id, max_chars)
                 if len(memo) > _MEMO_LIMIT:
                     memo.clear()
-                    memo[_LONGEST] = longest
                 memo[w] = p
             pieces.append(p)
         ulen = np.fromiter((len(p) for p in pieces), dtype=np.int64, count=len(pieces))
@@ -222,7 +253,8 @@ def wordpiece_ids(word_array: Column, vocab: Vocabulary, spark, unk: str = UNK,
                   specials: tuple[str, ...] = SPECIAL_TOKENS, nested: bool = False) -> Column:
     """X5/X6 over an array<string> of words -> array<int> (no specials)."""
     bc = vocab.broadcast(spark)
-    udf = _wordpiece_udf(bc, vocab.id_of(unk), CONTINUATION_PREFIX, MAX_INPUT_CHARS_PER_WORD, specials, nested)
+    known = {t: vocab.token_to_id[t] for t in specials if t in vocab.token_to_id}
+    udf = _wordpiece_udf(bc, vocab.id_of(unk), MAX_INPUT_CHARS_PER_WORD, known, nested)
     return udf(word_array)
 
 
