@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import threading
+import uuid
 import warnings
 from collections.abc import Callable
 
@@ -24,7 +25,7 @@ from twinline.functions import wordpiece as wp
 from twinline.operators import align, collate, counts, filters, metrics, split
 from twinline.plans import jobs
 from twinline.session import ensure_checkpoint_dir, shared_folder
-from twinline.sources import store, tables
+from twinline.sources import counted, epochs, store, tables
 
 SEED = 42
 VOCAB_K = 2000          # words in the frequency vocabulary
@@ -32,6 +33,7 @@ TOP_PAIRS = 64          # first-round best pairs
 EVAL_EVERY = 3          # the fixture has few steps, so evaluate more often than the library's default
 EDGE_PREFIX = "x[PAD]y [EOS] [pad] [ UNK ]?[BOS] " + "a" * 101 + " \u2603 a\u2603 \u2028 b "
 TOP_WORDS = 100         # top-k word report per language
+BUCKETS = 8              # of the bucketed token table
 SHARD_WIDTH = 16        # ids of a vocabulary shard in the sharded prediction query
 MERGES_VOCAB_SIZE = 400  # a training whose merges SQL can follow in seconds
 WORLD_SIZE = 2          # processes for the rank-mean query
@@ -344,6 +346,43 @@ def q_collate(spark, sf_dir):
     return jobs.collate(_train_tokens(spark, sf_dir), MICRO_BATCH, SEED, 0, True)
 
 
+def q_collate_bucketed(spark, sf_dir):
+    """C4 over tokens stored in buckets of their key (S4): the join with the
+    batch layout reads them where they lie."""
+    path = shared_folder(spark, "bucketed")
+    tokens = store.write_bucketed(_train_tokens(spark, sf_dir), f"tokens_{uuid.uuid4().hex}", path, ["corpus", "line_no"], BUCKETS)
+    return jobs.collate(tokens, MICRO_BATCH, SEED, 0, True)
+
+
+def _stored_epoch(spark, sf_dir):
+    path = shared_folder(spark, "epoch")
+    epochs.write_epoch(_train_tokens(spark, sf_dir), path, ["corpus", "line_no"], SEED, 0, MICRO_BATCH)
+    return path
+
+
+def q_epoch_order(spark, sf_dir):
+    """T1 as stored files: every row's rank, batch and place from the manifest."""
+    rows = epochs.read_epoch(spark, _stored_epoch(spark, sf_dir))
+    return rows.select("corpus", "line_no", "rank", "batch_id", "pos")
+
+
+def q_epoch_batches(spark, sf_dir):
+    """Some batches of the stored epoch, read by seek."""
+    rows = epochs.read_batches(spark, _stored_epoch(spark, sf_dir), [0, 7, 15])
+    return rows.select("batch_id", "pos", "corpus", "line_no", "src_ids", "tgt_ids")
+
+
+def q_word_counts_incremental(spark, sf_dir):
+    """A2 over a corpus that grows in three steps: partial counts of the new
+    files alone, merged on reading."""
+    root = shared_folder(spark, "growing")
+    d = _docs(spark, sf_dir).select("text", "lang", F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(3)).alias("step"))
+    for step in range(3):
+        d.where(F.col("step") == step).drop("step").write.mode("append").parquet(f"{root}/corpus")
+        counted.add_files(spark, f"{root}/corpus/*.parquet", f"{root}/counts", by=["lang"])
+    return counted.stored_counts(spark, f"{root}/counts", by=["lang"])
+
+
 def q_collate_eval(spark, sf_dir):
     return jobs.collate(split.select_split(_stored_tokens(spark, sf_dir), "test"), MICRO_BATCH, SEED, 0, False)
 
@@ -415,6 +454,7 @@ def q_flagship(spark, sf_dir):
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_counts": q_word_counts,
+    "word_counts_incremental": q_word_counts_incremental,
     "top_words": q_top_words,
     "alphabet": q_alphabet,
     "vocab_freq": q_vocab_freq,
@@ -452,6 +492,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_max_len": q_batch_max_len,
     "collate": q_collate,
     "collate_eval": q_collate_eval,
+    "collate_bucketed": q_collate_bucketed,
+    "epoch_order": q_epoch_order,
+    "epoch_batches": q_epoch_batches,
     "predictions": q_predictions,
     "predictions_sharded": q_predictions_sharded,
     "valid_positions": q_valid_positions,

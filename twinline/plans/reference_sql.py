@@ -302,6 +302,7 @@ ORACLE: dict[str, str] = {
     "train_wordpiece_1k": trainer_sql(1000),
     "saved_merges": trainer_sql(400, merges=True),
     "word_counts": _with(WORD_COUNTS, "SELECT lang, word, count FROM wc_lang"),
+    "word_counts_incremental": _with(WORD_COUNTS, "SELECT lang, word, count FROM wc_lang"),
     "top_words": _with(WORD_COUNTS, """SELECT * FROM (
         SELECT lang, word, count, row_number() OVER (PARTITION BY lang ORDER BY count DESC, word)::INT AS rank
         FROM wc_lang) WHERE rank <= 100"""),
@@ -399,6 +400,21 @@ padded AS (
         tp[1:len(tp) - 1] AS tgt_input_ids, list_transform(tp[1:len(tp) - 1], lambda x: x <> 1) AS tgt_pad_mask,
         list_transform(tp[2:len(tp)], lambda x: CASE WHEN x = 1 THEN -100 ELSE x END) AS tgt_outputs
         FROM padded"""),
+    "collate_bucketed": _with(TOKENS + """,
+mx AS (SELECT batch_id, max(len(src_ids)) AS sm, max(len(tgt_ids)) AS tm FROM train_batched GROUP BY batch_id),
+padded AS (
+  SELECT b.corpus, b.line_no, b.batch_id, b.pos,
+         list_concat(b.src_ids, list_transform(range(mx.sm - len(b.src_ids)), lambda x: 1))::INTEGER[] AS sp,
+         list_concat(b.tgt_ids, list_transform(range(mx.tm - len(b.tgt_ids)), lambda x: 1))::INTEGER[] AS tp
+  FROM train_batched b JOIN mx USING (batch_id)
+)""", """SELECT corpus, line_no, batch_id, pos,
+        sp AS src_input_ids, list_transform(sp, lambda x: x <> 1) AS src_pad_mask,
+        tp[1:len(tp) - 1] AS tgt_input_ids, list_transform(tp[1:len(tp) - 1], lambda x: x <> 1) AS tgt_pad_mask,
+        list_transform(tp[2:len(tp)], lambda x: CASE WHEN x = 1 THEN -100 ELSE x END) AS tgt_outputs
+        FROM padded"""),
+    "epoch_order": _with(TOKENS, """SELECT corpus, line_no, (rk - 1)::BIGINT AS rank, batch_id, pos FROM train_batched"""),
+    "epoch_batches": _with(TOKENS, """SELECT batch_id, pos, corpus, line_no, src_ids, tgt_ids FROM train_batched
+        WHERE batch_id IN (0, 7, 15)"""),
     "collate_eval": _with(TOKENS + """,
 test_ranked AS (
   SELECT *, row_number() OVER (ORDER BY corpus, line_no) AS rk FROM tokens WHERE split = 'test'

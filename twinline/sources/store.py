@@ -46,8 +46,10 @@ MERGES_SCHEMA = T.StructType([
 
 
 def write_dataset(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """S4."""
-    df.write.mode(mode).partitionBy("split").parquet(path)
+    """S4.  Rows are rebalanced by split before they are written: adaptive
+    execution cuts a large split into files near the session's advisory size
+    and joins the pieces of a small one, so neither leaves a file a task."""
+    df.hint("rebalance", "split").write.mode(mode).partitionBy("split").parquet(path)
 
 
 def read_dataset(spark: SparkSession, path: str, schema: T.StructType = TOKEN_SCHEMA) -> DataFrame:
@@ -55,6 +57,17 @@ def read_dataset(spark: SparkSession, path: str, schema: T.StructType = TOKEN_SC
     return spark.read.schema(schema).parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """S4 as a table whose files are dealt by ``keys``: a join on them (C4 with
+    its batch layout) reads the token arrays where they lie.  ``table`` is a
+    name in the session's catalog, ``path`` a folder all executors see; a row's
+    bucket is the hash that Spark's exchange uses, so one exchange on writing
+    saves one for every epoch that is collated."""
+    dealt = df.repartition(buckets, *keys).sortWithinPartitions(*keys)  # one file a bucket
+    (dealt.write.mode("overwrite").bucketBy(buckets, keys[0], *keys[1:]).sortBy(*keys).option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 def write_vocab(vocab: DataFrame, path: str, merges: DataFrame | None = None) -> None:
     """``path/vocab`` (token, id) and optionally ``path/merges``."""
     vocab.select("token", "id").write.mode("overwrite").parquet(path.rstrip("/") + "/vocab")
