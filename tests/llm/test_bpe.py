@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -40,12 +41,82 @@ def test_tricky_texts_and_round_trip(spark, library):
         bpe.decode_documents(spark.createDataFrame([(1, [5, 10**6])], "doc_id long, ids array<int>"), PATH).collect()
 
 
-def test_query_and_heap_follow_one_rule(monkeypatch):
-    ranks = bpe.load_ranks(PATH)
-    task = bpe.TaskBpe(ranks, bpe.merge_pairs(ranks))
+def plain_merge(word, ranks):
+    """One merge at a time: the leftmost pair of the smallest rank."""
+    parts = [word[i:i + 1] for i in range(len(word))]
+    while True:
+        best = min(((ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks), default=None)
+        if best is None:
+            return [ranks[p] for p in parts]
+        i = best[1]
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+
+
+def ids_of(pieces):
+    return [np.frombuffer(x, "<u4").tolist() for x in pieces]
+
+
+@pytest.fixture()
+def task():
+    t = bpe.TaskBpe(bpe.Vocabulary(bpe.load_ranks(PATH)))
+    yield t
+    t.close()
+
+
+def test_both_queries_follow_the_rule(task):
     rng = random.Random(3)
-    words = ["".join(rng.choice("aeinrstéß0 ") for _ in range(rng.randint(1, 60))) for _ in range(400)]
-    assert [np.frombuffer(x, "<u4").tolist() for x in task._merge([w.encode() for w in words])] == [bpe.heap_merge(w.encode(), ranks) for w in words]
+    words = ["".join(rng.choice("aeinrstéß0 ") for _ in range(rng.randint(1, 90))).encode() for _ in range(300)]
+    want = [plain_merge(w, task.ranks) for w in words]
+    assert ids_of(task.merge(words)) == want
+    assert ids_of(task._merge_short(words)) == want
+    assert ids_of(task._merge_long(words)) == want
+
+
+def test_queries_on_odd_vocabularies():
+    """Vocabularies in which a longer entry ranks before its parts, so that a
+    joined token may pair with a neighbour before the next occurrence."""
+    rng = random.Random(7)
+    for trial in range(40):
+        entries = {bytes([c]) for c in b"abc"}
+        while len(entries) < 14:
+            a, b = rng.sample(sorted(entries), 2) if rng.random() < 0.8 else [rng.choice(sorted(entries))] * 2
+            entries.add(a + b)
+        order = sorted(entries)
+        rng.shuffle(order)
+        ranks = {t: k for k, t in enumerate(order)}
+        task = bpe.TaskBpe(bpe.Vocabulary(ranks))
+        words = ["".join(rng.choice("abc"[:rng.randint(1, 3)]) for _ in range(rng.randint(1, 40))).encode() for _ in range(40)]
+        want = [plain_merge(w, ranks) for w in words]
+        assert ids_of(task._merge_short(words)) == want, trial
+        assert ids_of(task._merge_long(words)) == want, trial
+        assert ids_of(task.merge(words)) == want, trial
+        task.close()
+
+
+@pytest.mark.parametrize("word", ["a" * 20_000, "ab" * 20_000, "etaoinshrdlu" * 2000, "日本語テキスト" * 2000, "aaabaaab" * 3000])
+def test_long_words_take_few_rounds(task, library, word):
+    t0 = time.process_time()
+    assert ids_of(task.merge([word.encode()])) == [library.encode_ordinary(word)]
+    assert time.process_time() - t0 < 20
+
+
+def test_long_word_of_random_letters(task, library):
+    rng = random.Random(5)
+    for letters, n in (("etaoins", 3000), ("abcdefghijklmnopqrstuvwxyz", 20_000)):
+        word = "".join(rng.choice(letters) for _ in range(n))
+        assert ids_of(task.merge([word.encode()])) == [library.encode_ordinary(word)]
+
+
+def test_remembered_words_are_bounded():
+    kept = bpe.Remembered(40 * (bpe.ENTRY_BYTES + 10))
+    for k in range(0, 1000, 10):
+        keys = ["often", *(f"w{i:06d}" for i in range(k, k + 10))]
+        got = kept.look(keys)
+        new = [x for x, v in zip(keys, got) if v is None]
+        kept.keep(new, [x.encode() for x in new])
+        assert k == 0 or got[0] == b"often"
+        assert len(kept.young) + len(kept.old) <= 40
+    assert kept.look(["w000001"]) == [None] and kept.look(["w000999"]) == [b"w000999"]
 
 
 def test_edge_rows(edge, empty, library):
@@ -71,7 +142,7 @@ def test_text_of_several_million_tokens(spark, library):
 def test_pieces_of_the_longest_tokens_fit():
     ranks = bpe.load_ranks(PATH)
     longest = max(ranks, key=len)
-    task = bpe.TaskBpe(ranks, bpe.merge_pairs(ranks))
+    task = bpe.TaskBpe(bpe.Vocabulary(ranks))
     n = 3 * bpe.DECODE_TOKENS + 5
     ids = np.full(n, ranks[longest], "<u4")
     whole = hashlib.sha256(longest * (n - 7)).hexdigest()

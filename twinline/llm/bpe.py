@@ -8,15 +8,25 @@ neighbouring tokens with the merge table and contracts each word's leftmost
 pair of the smallest rank, until no word has a pair left.  The merge table
 holds every split of a vocabulary entry into two entries, so joining it is
 looking up the joined bytes.  A word that is an entry as a whole is that
-token.  Decoding joins token rows with the vocabulary and concatenates bytes
-by an ordered aggregation.
-
-Words over ``SQL_WORD_BYTES`` bytes would need as many rounds as they have
-bytes; they are merged by the same rule with a heap instead.
-
-DuckDB runs inside the task: one thread, memory only, no files.  Decoding
-feeds it at most ``DECODE_TOKENS`` tokens a query, whatever the length of a
-text, and the hash of the decoded bytes takes the pieces in order.
+token.
+
+Before that, a word is cut where no vocabulary entry holds the two bytes beside
+the cut: no merge can cross it, so its pieces are merged on their own.  A piece
+of over ``LONG_PIECE`` bytes goes through a second recursive query that
+contracts, in one step, every occurrence of the smallest-rank pair that does not
+overlap one before it.  That is what the rule does one by one, provided that no
+joined token makes a pair of a smaller rank with its neighbours (looked up in the
+same step; if one would, only the leftmost is contracted).  Rounds then follow
+the number of different pairs, not the length.
+
+Decoding joins token rows with the vocabulary and concatenates bytes by an
+ordered aggregation.
+
+DuckDB runs inside the task: one thread, memory only, no files.  Encoding feeds
+it at most ``SQL_BATCH_WORK`` a query, decoding at most ``DECODE_TOKENS`` tokens,
+whatever the length of a text, and the hash of the decoded bytes takes the
+pieces in order.  Known words are kept while the Python worker lives, up to
+``CACHE_BYTES``.
 
 Defined results: a null text is encoded like an empty one (no tokens); an
 empty table gives an empty result; extra columns are ignored, whatever their
@@ -28,8 +38,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 import sys
+import types
 from collections.abc import Iterator
 from contextlib import closing
 
@@ -42,38 +52,74 @@ from pyspark.sql import functions as F
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SQL_WORD_BYTES = 256
-SQL_BATCH_WORK = 1_500_000  # squared word lengths of one query: bounds the rows of all its steps
-CACHE_WORDS = 200_000
-CHUNK_BYTES = 1 << 20
-DECODE_TOKENS = 1 << 18  # tokens of one decoding query: a longer text is decoded in pieces
-
-# A row is a token: g is word * 256 + position, nx the g of the word's next
-# token (-1 at its end).  A step contracts, in every word that still has a
-# known pair, the leftmost pair of the smallest rank.
+LONG_PIECE = 64             # bytes of a piece from which a step contracts all occurrences of a pair
+SQL_BATCH_WORK = 4_000_000  # squared piece lengths of one query: bounds the rows of all its steps
+LONG_BATCH_BYTES = 1 << 20  # bytes of long pieces of one query (at least one piece)
+CACHE_BYTES = 64 << 20      # of known words and their tokens, with what Python adds
+ENTRY_BYTES = 180           # what Python adds to a key and its value
+CHUNK_BYTES = 1 << 22
+DECODE_TOKENS = 1 << 18     # tokens of one decoding query: a longer text is decoded in pieces
+
+# A row is a piece with its tokens; the token positions join the merge table.  A
+# step contracts, in every piece that still has a known pair, the leftmost pair
+# of the smallest rank.  The last step of a piece is its result.
 MERGE_SQL = """
 CREATE OR REPLACE TEMP TABLE steps AS
-WITH RECURSIVE s(step, g, nx, id) AS (
-  SELECT 0, g, nx, id FROM start_tokens
+WITH RECURSIVE s(step, w, ids) AS (
+  SELECT 0, w, ids FROM start_pieces
   UNION ALL
-  SELECT t.step + 1, t.g, CASE WHEN t.g = b.at THEN b.after ELSE t.nx END, CASE WHEN t.g = b.at THEN b.joined ELSE t.id END
-  FROM s t JOIN (
-    SELECT p.g >> 8 AS w,
-           arg_min(p.g, (m.id::BIGINT << 8) | (p.g & 255)) AS at,
-           arg_min(p.nx, (m.id::BIGINT << 8) | (p.g & 255)) AS gone,
-           arg_min(p.right_nx, (m.id::BIGINT << 8) | (p.g & 255)) AS after,
-           arg_min(m.id, (m.id::BIGINT << 8) | (p.g & 255)) AS joined
-    FROM (SELECT g, nx, id, lead(id) OVER o AS right_id, lead(nx) OVER o AS right_nx FROM s WINDOW o AS (ORDER BY g)) p
-    JOIN merges m ON m.l = p.id AND m.r = p.right_id AND p.nx >= 0
-    GROUP BY p.g >> 8) b ON b.w = t.g >> 8
-  WHERE t.g <> b.gone)
-SELECT step, g, id FROM s
+  SELECT s.step + 1, s.w, s.ids[:b.at - 1] || [b.joined] || s.ids[b.at + 2:]
+  FROM s JOIN (
+    SELECT p.w, arg_min(p.at, (m.id::BIGINT << 32) | p.at) AS at, min(m.id) AS joined
+    FROM (SELECT w, unnest(range(1, len(ids))) AS at, unnest(ids[:-2]) AS l, unnest(ids[2:]) AS r FROM s) p
+    JOIN merges m ON m.l = p.l AND m.r = p.r
+    GROUP BY p.w) b ON b.w = s.w)
+SELECT step, w, ids FROM s
 """
 
 LAST_SQL = """
-SELECT s.g >> 8 AS w, s.id FROM steps s
-JOIN (SELECT g >> 8 AS w, max(step) AS step FROM steps GROUP BY 1) l ON l.w = s.g >> 8 AND l.step = s.step
-ORDER BY s.g
+SELECT s.w, s.ids FROM steps s
+JOIN (SELECT w, max(step) AS step FROM steps GROUP BY w) l ON l.w = s.w AND l.step = s.step
+ORDER BY s.w
+"""
+
+# A row is a token of a long piece; only its latest state is kept (id -1: joined
+# to the token before), and a step returns the rows it changed.  ``nth`` numbers
+# the occurrences of the piece's smallest pair; ``place - nth`` is equal in a run
+# of overlapping ones, of which every second one waits.  ``early``: the joined
+# token and a neighbour (the left one as it then is, the right one as it still is)
+# would be a pair of a smaller rank, so the occurrences must go one by one.
+LONG_SQL = """
+WITH RECURSIVE s(w, pos, id) USING KEY (w, pos) AS (
+  SELECT w, pos, id FROM start_tokens
+  UNION
+  SELECT w, pos, CASE WHEN goes THEN -1 ELSE best END
+  FROM (
+    SELECT w, pos, best, takes, coalesce(lag(takes) OVER (PARTITION BY w ORDER BY pos), false) AS goes
+    FROM (
+      SELECT w, pos, best, nth, CASE WHEN bool_or(early) OVER (PARTITION BY w) THEN hit AND nth = 1 ELSE chosen END AS takes
+      FROM (
+        SELECT c.*, chosen AND (coalesce(a.id < best, false) OR coalesce(b.id < best, false)) AS early
+        FROM (
+          SELECT *, CASE WHEN coalesce(lag(chosen, 2) OVER o, false) THEN best ELSE lag(id) OVER o END AS before, lead(id, 2) OVER o AS after
+          FROM (
+            SELECT *, hit AND (row_number() OVER (PARTITION BY w, hit, place - nth ORDER BY pos)) % 2 = 1 AS chosen
+            FROM (
+              SELECT *, row_number() OVER (PARTITION BY w, hit ORDER BY pos) AS nth
+              FROM (
+                SELECT *, joined IS NOT NULL AND joined = best AS hit
+                FROM (
+                  SELECT q.*, f.id AS joined, min(f.id) OVER (PARTITION BY q.w) AS best
+                  FROM (SELECT w, pos, id, lead(id) OVER o AS r, row_number() OVER o AS place FROM recurring.s
+                        WHERE id >= 0 AND w IN (SELECT w FROM s) WINDOW o AS (PARTITION BY w ORDER BY pos)) q
+                  LEFT JOIN merges f ON f.l = q.id AND f.r = q.r)
+                WHERE best IS NOT NULL)))
+          WINDOW o AS (PARTITION BY w ORDER BY pos)) c
+        LEFT JOIN merges a ON chosen AND a.l = c.before AND a.r = c.best
+        LEFT JOIN merges b ON chosen AND b.l = c.best AND b.r = c.after)))
+  WHERE goes OR takes
+)
+SELECT w, id FROM s WHERE id >= 0 ORDER BY w, pos
 """
 
 DECODE_SQL = """
@@ -87,41 +133,19 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def merge_pairs(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(left, right, joined) ids of every split of an entry into two entries."""
-    rows = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
-    return tuple(np.array(rows, np.int32).reshape(-1, 3).T)
-
-
-def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same rule for one long word: smallest rank first, leftmost on ties."""
-    n = len(word)
-    stop = list(range(1, n + 1))      # token at i is word[i:stop[i]]
-    prev, alive = list(range(-1, n - 1)), [True] * n
-
-    def rank(i: int) -> int | None:
-        j = stop[i]
-        return ranks.get(word[i:stop[j]]) if j < n else None
-
-    heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(i)) is not None]
-    heapq.heapify(heap)
-    while heap:
-        r, i, end = heapq.heappop(heap)
-        if not alive[i] or stop[i] >= n or stop[stop[i]] != end or rank(i) != r:
-            continue
-        j = stop[i]
-        alive[j], stop[i] = False, stop[j]
-        if stop[i] < n:
-            prev[stop[i]] = i
-            if (q := rank(i)) is not None:
-                heapq.heappush(heap, (q, i, stop[stop[i]]))
-        if prev[i] >= 0 and (q := rank(prev[i])) is not None:
-            heapq.heappush(heap, (q, prev[i], stop[i]))
-    out, i = [], 0
-    while i < n:
-        out.append(ranks[word[i:stop[i]]])
-        i = stop[i]
-    return out
+class Vocabulary:
+    """What tasks need of a rank file; built once, on the driver."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        parts = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
+        # every split of an entry into two entries
+        self.left, self.right, self.joined = np.array(parts, np.int32).reshape(-1, 3).T
+        self.beside = np.zeros((256, 256), bool)  # byte pairs inside an entry
+        for t in ranks:
+            a = np.frombuffer(t, np.uint8)
+            self.beside[a[:-1], a[1:]] = True
+        self.key = hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest()
 
 
 def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -130,15 +154,48 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
+def _worker_state() -> types.ModuleType:
+    """Where a Python worker keeps known words from one task to the next
+    (code that travels by value has new globals in every task)."""
+    return sys.modules.setdefault("_bpe_known_words", types.ModuleType("_bpe_known_words"))
+
+
+class Remembered:
+    """Keys and values within ``limit`` bytes: when the young half is full, it
+    becomes the old one, and what is then not looked up is forgotten."""
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old, self.size = limit // 2, {}, {}, 0
+
+    def look(self, keys: list) -> list:
+        young, old = self.young.get, self.old.get
+        got = [young(k) for k in keys]
+        if self.old:
+            again = [(i, v) for i, x in enumerate(got) if x is None and (v := old(keys[i])) is not None]
+            for i, v in again:
+                got[i] = v
+            self.keep([keys[i] for i, _ in again], [v for _, v in again])
+        return got
+
+    def keep(self, keys: list, values: list) -> None:
+        size = sum(map(len, keys)) + sum(map(len, values)) + ENTRY_BYTES * len(keys)
+        if self.size + size > self.limit:
+            self.young, self.old, self.size = {}, self.young, 0
+        if size <= self.limit:
+            self.young.update(zip(keys, values))
+            self.size += size
+
+
 class TaskBpe:
     """One task's encoder and decoder around an in-process DuckDB."""
 
-    def __init__(self, ranks: dict[bytes, int], pairs: tuple[np.ndarray, np.ndarray, np.ndarray]):
+    def __init__(self, vocabulary: Vocabulary | types.SimpleNamespace):
         import duckdb
 
-        self.ranks = ranks
+        v, ranks = vocabulary, vocabulary.ranks
+        self.ranks, self.beside = ranks, v.beside
         self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
-        self._load("merges", pa.table({"l": pairs[0], "r": pairs[1], "id": pairs[2]}))
+        self._load("merges", pa.table({"l": v.left, "r": v.right, "id": v.joined}))
         # bytes travel as Latin-1 characters: tokens need not be valid UTF-8
         self._load("vocab", pa.table({"id": pa.array(list(ranks.values()), pa.int32()),
                                       "bytes": pa.array([t.decode("latin-1") for t in ranks])}))
@@ -146,64 +203,97 @@ class TaskBpe:
         for t, i in ranks.items():
             if len(t) == 1:
                 self.byte_id[t[0]] = i
-        self.known: dict[str, bytes] = {}  # ids as little-endian 32-bit integers
+        state = _worker_state()
+        if getattr(state, "key", None) != v.key:
+            state.key, state.known = v.key, Remembered(CACHE_BYTES)
+        self.known = state.known  # word -> ids as little-endian 32-bit integers
 
     def _load(self, name: str, table: pa.Table) -> None:
         self.con.register("_in", table)
         self.con.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM _in")
         self.con.unregister("_in")
 
-    def _merge(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word as little-endian 32-bit integers."""
-        size = np.array([len(w) for w in words], np.int64)
-        raw = np.frombuffer(b"".join(words), np.uint8)
-        g = np.repeat(np.arange(len(words), dtype=np.int64) << 8, size) + ragged(np.zeros(len(words), np.int64), size)
-        nx = g + 1
-        nx[np.cumsum(size) - 1] = -1
-        self.con.register("start_tokens", pa.table({"g": g, "nx": nx, "id": self.byte_id[raw]}))
+    def close(self) -> None:
+        self.con.close()
+
+    def _merge_short(self, pieces: list[bytes]) -> list[bytes]:
+        size = np.array([len(w) for w in pieces], np.int64)
+        ends = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
+        ids = pa.ListArray.from_arrays(ends, pa.array(self.byte_id[np.frombuffer(b"".join(pieces), np.uint8)]))
+        self.con.register("start_pieces", pa.table({"w": np.arange(len(pieces), dtype=np.int32), "ids": ids}))
         self.con.execute(MERGE_SQL)
-        got = self.con.sql(LAST_SQL).to_arrow_table()
+        got = self.con.sql(LAST_SQL).to_arrow_table()["ids"].combine_chunks()
         self.con.execute("DROP TABLE steps")
+        self.con.unregister("start_pieces")
+        flat = np.asarray(got.flatten()).astype("<u4").tobytes()
+        at = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(got)))]).tolist()
+        return [flat[4 * i:4 * j] for i, j in zip(at[:-1], at[1:])]
+
+    def _merge_long(self, pieces: list[bytes]) -> list[bytes]:
+        size = np.array([len(w) for w in pieces], np.int64)
+        w = np.repeat(np.arange(len(pieces), dtype=np.int32), size)
+        pos = ragged(np.zeros(len(pieces), np.int64), size).astype(np.int32)
+        self.con.register("start_tokens", pa.table({"w": w, "pos": pos, "id": self.byte_id[np.frombuffer(b"".join(pieces), np.uint8)]}))
+        got = self.con.sql(LONG_SQL).to_arrow_table()
         self.con.unregister("start_tokens")
         w, ids = np.asarray(got["w"]), np.asarray(got["id"]).astype("<u4")
-        return [x.tobytes() for x in np.split(ids, np.searchsorted(w, np.arange(1, len(words))))]
-
-    def learn(self, words: list[str]) -> None:
-        """Make the tokens of these words known."""
-        todo: list[str] = []
-        for w in words:
-            if w in self.known:
-                continue
-            b = w.encode("utf-8")
-            whole = self.ranks.get(b)
-            if whole is not None:
-                self.known[w] = whole.to_bytes(4, "little")
-            elif len(b) > SQL_WORD_BYTES:
-                self.known[w] = np.array(heap_merge(b, self.ranks), "<u4").tobytes()
-            else:
-                todo.append(w)
-        i = 0
-        while i < len(todo):
-            part, work = [], 0
-            while i < len(todo) and (not part or work < SQL_BATCH_WORK):
-                part.append(todo[i].encode("utf-8"))
-                work += len(part[-1]) ** 2
-                i += 1
-            self.known.update(zip(todo[i - len(part):i], self._merge(part)))
+        return [x.tobytes() for x in np.split(ids, np.searchsorted(w, np.arange(1, len(pieces))))]
 
-    def close(self) -> None:
-        self.known.clear()
-        self.con.close()
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word as little-endian 32-bit integers."""
+        if not words:
+            return []
+        size = np.array([len(w) for w in words], np.int64)
+        ends = np.cumsum(size)
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        cut = np.zeros(len(raw), bool)
+        cut[1:] = ~self.beside[raw[:-1], raw[1:]]
+        cut[ends - size] = True
+        start = np.nonzero(cut)[0]
+        offsets = pa.py_buffer(np.append(start, len(raw)).astype(np.int32))
+        enc = pa.Array.from_buffers(pa.binary(), len(start), [None, offsets, pa.py_buffer(raw)]).dictionary_encode()
+        pieces, codes = enc.dictionary.to_pylist(), np.asarray(enc.indices)
+        got: list[bytes] = [b""] * len(pieces)
+        for long in (False, True):
+            mine = [k for k, p in enumerate(pieces) if (len(p) > LONG_PIECE) is long]
+            run = self._merge_long if long else self._merge_short
+            bound = LONG_BATCH_BYTES if long else SQL_BATCH_WORK
+            i = 0
+            while i < len(mine):
+                j, work = i, 0
+                while j < len(mine) and (j == i or work < bound):
+                    n = len(pieces[mine[j]])
+                    work += n if long else n * n
+                    j += 1
+                for k, ids in zip(mine[i:j], run([pieces[k] for k in mine[i:j]])):
+                    got[k] = ids
+                i = j
+        first = np.searchsorted(start, np.append(ends - size, len(raw))).tolist()
+        parts = [got[c] for c in codes.tolist()]
+        return [parts[i] if j == i + 1 else b"".join(parts[i:j]) for i, j in zip(first[:-1], first[1:])]
+
+    def tokens_of(self, words: list[str]) -> list[bytes]:
+        """Ids of each (distinct) word; what is new is merged and remembered."""
+        got = self.known.look(words)
+        new = [k for k, x in enumerate(got) if x is None]
+        if new:
+            raw = {k: words[k].encode("utf-8") for k in new}
+            whole = {k: self.ranks.get(b) for k, b in raw.items()}
+            todo = [k for k in new if whole[k] is None]
+            for k, ids in zip(todo, self.merge([raw[k] for k in todo])):
+                got[k] = ids
+            for k in new:
+                if whole[k] is not None:
+                    got[k] = whole[k].to_bytes(4, "little")
+            self.known.keep([words[k] for k in new], [got[k] for k in new])
+        return got
 
     def encode(self, words: pa.Array, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts, and where each text's ids end (from 0)."""
         enc = words.dictionary_encode()
-        distinct, codes = enc.dictionary.to_pylist(), np.asarray(enc.indices)
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        self.learn(distinct)
-        got = [self.known[w] for w in distinct]
-        size = np.array([len(x) for x in got], np.int64) // 4
+        codes = np.asarray(enc.indices)
+        got = self.tokens_of(enc.dictionary.to_pylist())
+        size = np.fromiter(map(len, got), np.int64, len(got)) // 4
         flat = np.frombuffer(b"".join(got), "<u4")
         per = size[codes]
         ids = flat[ragged((np.cumsum(size) - size)[codes], per)]
@@ -251,14 +341,13 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
                      digest: bool = False) -> DataFrame:
     """One row per document: id, ``n_tokens`` and ``ids`` (array of int), or
     with ``digest`` the hashes of the ids and of the decoded bytes instead."""
-    ranks = load_ranks(ranks_path)
-    shared = docs.sparkSession.sparkContext.broadcast((ranks, merge_pairs(ranks)))  # one vocabulary: fixed size
+    shared = docs.sparkSession.sparkContext.broadcast(vars(Vocabulary(load_ranks(ranks_path))))  # one vocabulary: fixed size
     words = F.regexp_extract_all(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit("(?U)" + pattern), F.lit(0))
     src = docs.select(F.col(id_col).alias("_id"), words.alias("_words"))
     id_type = src.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with closing(TaskBpe(*shared.value)) as task:
+        with closing(TaskBpe(types.SimpleNamespace(**shared.value))) as task:
             for b in batches:
                 yield from encode_batch(task, b)
 
@@ -286,14 +375,14 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
 def decode_documents(tokens: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """One row per row: id and ``decoded`` (binary); null ids decode to nothing."""
     ranks = load_ranks(ranks_path)
-    shared = tokens.sparkSession.sparkContext.broadcast((ranks, merge_pairs(ranks)))
+    shared = tokens.sparkSession.sparkContext.broadcast(vars(Vocabulary(ranks)))
     src = tokens.select(F.col(id_col).alias("_id"), F.coalesce(F.col(ids_col).cast("array<int>"), F.array().cast("array<int>")).alias("_ids"))
     known = max(ranks.values())
     bad = F.exists("_ids", lambda x: x.isNull() | (x < 0) | (x > known))
     src = src.withColumn("_ids", F.when(bad, F.raise_error(F.lit("token id out of the vocabulary"))).otherwise(F.col("_ids")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with closing(TaskBpe(*shared.value)) as task:
+        with closing(TaskBpe(types.SimpleNamespace(**shared.value))) as task:
             for b in batches:
                 yield from decode_batch(task, b)
 
