@@ -20,12 +20,15 @@ EDGE = [
 ]
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 # names that operators use inside or return
-CLASH = "_id long, _text string, size long, kept boolean, shard int, component_id long, n_tokens long, k long, _n long"
+CLASH = ("_id long, _text string, size long, kept boolean, shard int, component_id long, n_tokens long, k long, _n long, "
+         + ", ".join(f"{c} long" for c in ("_k", "_f", "_r", "_s", "_off", "_copies", "_copy", "_key", "_of", "_block", "_p", "_row", "_size",
+                                           "_crc", "_shard", "_rank", "_base", "_lang", "_words", "_ids", "_pair", "_fp", "_c", "_b", "_lo",
+                                           "_hi", "_comp", "_node", "_first", "_all", "_kept_key", "text_sha256", "copies", "target")))
 
 
 @pytest.fixture(scope="session")
 def edge(spark):
-    rows = [(*r, 1, "x", 2, True, 3, 4, 5, 6, 7) for r in EDGE]
+    rows = [(*r, 1, "x", 2, True, 3, 4, 5, 6, 7, *range(8, 42)) for r in EDGE]
     return spark.createDataFrame(rows, f"{COLUMNS}, {CLASH}").repartition(3).cache()
 
 

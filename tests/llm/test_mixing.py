@@ -75,8 +75,8 @@ def test_pivot_keeps_the_sum_and_the_probabilities():
     p0 = np.random.default_rng(3).random(n)
     hits = np.zeros(n)
     for seed in range(2000):
-        pdf = pd.DataFrame({"_rank": 0, "_block": 1, "_size": np.arange(n), "_id": np.arange(n), "_p": p0})
-        out = _pivot(pdf, seed, 0).sort_values("_id")["_p"].to_numpy()
+        pdf = pd.DataFrame({"_rank": 0, "_block": 1, "_size": np.arange(n), "_key": np.arange(n), "_p": p0})
+        out = _pivot(pdf, seed, 0).sort_values("_key")["_p"].to_numpy()
         inside = (out > 1e-9) & (out < 1 - 1e-9)
         assert inside.sum() <= 1 and out.sum() == pytest.approx(p0.sum())
         hits += out
@@ -91,3 +91,23 @@ def test_repeated_rows_of_the_mixture(docs):
     for r in out.select("doc_id").collect():
         got[r["doc_id"]] += 1
     assert got == {i: c for i, c in copies.items() if c}
+
+
+def test_blocks_of_a_hot_id_are_bounded(spark, monkeypatch):
+    """A third of the rows under one id, a third without: no block is large."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, "w " * (i % 9 + 1), "s") for i in range(6000)]
+    rows += [(i, "w w w", "t") for i in range(10_000, 11_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    seen, real = [], type(df).groupBy
+
+    def watched(self, *cols):
+        if cols == ("_rank", "_block"):
+            seen.append(self)
+        return real(self, *cols)
+
+    monkeypatch.setattr(type(df), "groupBy", watched)
+    got = mix(df, block_rows=500).collect()
+    assert len(got) == len(rows) and sum(r["taken"] for r in got if r["source"] == "s") == pytest.approx(
+        next(r["target"] for r in got if r["source"] == "s"), abs=30)
+    blocks = [r["count"] for r in real(seen[0], "_rank", "_block").count().collect()]
+    assert max(blocks) <= 2 * 500

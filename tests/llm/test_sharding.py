@@ -49,3 +49,23 @@ def test_shard_files(spark, docs, tmp_path):
     write_shards(docs, str(tmp_path / "s"), shards=4)
     back = spark.read.parquet(str(tmp_path / "s"))
     assert back.count() == docs.count() and back.select("shard").distinct().count() == 4
+
+
+@pytest.mark.parametrize("fine", [1, 12])
+@pytest.mark.parametrize("ids", ["null", "one", "both"])
+def test_equal_rows_are_cut(spark, ids, fine):
+    """A third (or two) of the rows share id and text."""
+    rows = [(i, "own text " * (1 + i % 40)) for i in range(4000)]
+    rows += [(None, "the same text " * 3)] * (3000 if ids != "one" else 0) + [(17, "the same text " * 3)] * (3000 if ids != "null" else 0)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    sizes = check(rows, shard(df, shards=8, fine_per_shard=fine).collect(), 8)
+    ideal = sum(sizes.values()) / 8
+    assert len(sizes) == 8 and all(abs(s - ideal) <= 0.01 * ideal for s in sizes.values())
+
+
+def test_columns_pass_through_whatever_their_names(spark):
+    names = ["_k", "_f", "_r", "_off", "_n", "_s", "_row", "_id", "_size", "_crc", "_shard", "_copy", "_copies", "_key", "odd.name"]
+    rows = [(i, f"text {i % 7}", *[f"{n}{i}" for n in names]) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    got = shard(df.repartition(3), shards=3).collect()
+    assert sorted(tuple(r)[:2 + len(names)] for r in got) == sorted(rows)

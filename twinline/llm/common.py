@@ -26,6 +26,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise in the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -48,7 +53,7 @@ def with_row_key(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
     while key in docs.columns:
         key += "_"
     # the hash spreads the rows of one id (or of no id) over the sort's partitions
-    hashed = [F.col(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    hashed = [quoted(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
     rows = docs.orderBy(F.col(id_col).asc_nulls_last(), F.xxhash64(*hashed))
     return cut(rows.withColumn(key, F.monotonically_increasing_id())), key
 
@@ -56,7 +61,7 @@ def with_row_key(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
 def keep_rows(docs: DataFrame, key: str, kept: DataFrame, columns: list[str]) -> DataFrame:
     """The rows of ``docs`` whose key is in ``kept`` (one column, unique)."""
     names = kept.withColumnRenamed(kept.columns[0], "_kept_key")
-    return docs.join(names, docs[key] == names["_kept_key"], "left_semi").select(*columns)
+    return docs.join(names, quoted(key) == names["_kept_key"], "left_semi").select(*[quoted(c) for c in columns])
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

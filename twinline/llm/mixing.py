@@ -32,7 +32,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from twinline.llm.common import cut, with_row_key
+from twinline.llm.common import cut, quoted, with_row_key
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -68,7 +68,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, ceili
 
 def _pivot(pdf: pd.DataFrame, seed: int, level: int) -> pd.DataFrame:
     """One node: settle all rows but at most one."""
-    pdf = pdf.sort_values(["_size", "_id"], ascending=[False, True], na_position="last", kind="stable").reset_index(drop=True)
+    pdf = pdf.sort_values(["_size", "_key"], ascending=[False, True], na_position="last", kind="stable").reset_index(drop=True)
     draws = np.random.default_rng([seed, level, int(pdf["_rank"][0]), int(pdf["_block"][0])]).random(len(pdf))
     p = pdf["_p"].to_numpy().copy()
     held = -1
@@ -101,6 +101,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, ceiling: float =
     ``target``, ``copies`` and ``taken`` (copies times size)."""
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     narrow = cut(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"), size.alias("size")))
+    narrow, key = with_row_key(narrow, "_id")  # rows of one id go to blocks of their own
     stats = source_targets(narrow, weights, ceiling)
     wanted = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(ceiling))).otherwise(0.0)
     per_source = stats.select(F.col("source").alias("_source"), "_rank", "source_size", "target",
@@ -111,7 +112,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, ceiling: float =
     rows = narrow.join(right, narrow["source"].eqNullSafe(per_source["_source"]))
     base = F.floor(F.col("_wanted") + EPS)
     rows = rows.select(
-        "_id", F.col("_rank").cast("int").alias("_rank"), F.pmod(F.xxhash64("_id"), F.col("_blocks")).alias("_block"),
+        "_id", F.col(key).alias("_key"), F.col("_rank").cast("int").alias("_rank"), F.pmod(F.xxhash64(key), F.col("_blocks")).alias("_block"),
         F.col("size").alias("_size"), base.cast("long").alias("_base"),
         F.when(F.col("size") > 0, F.greatest(F.col("_wanted") - base, F.lit(0.0))).otherwise(0.0).alias("_p"))
     schema = rows.schema
@@ -126,7 +127,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, ceiling: float =
         n, blocks = n + 1, -(-blocks // fan_in)
         now = cut(level(open_.withColumn("_block", F.floor(F.col("_block") / fan_in)), n))
         done, open_ = done.unionByName(now.where(settled)), now.where(~settled)
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("_rank"), F.col("_id")), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("_rank"), F.col("_key")), F.lit(1 << 30)) / float(1 << 30)
     done = done.unionByName(open_.withColumn("_p", F.when(draw < F.col("_p"), 1.0).otherwise(0.0)))
     copies = (F.col("_base") + F.round("_p").cast("long"))
     done = done.select("_id", F.col("_rank").alias("_r"), "_size", copies.alias("copies"))
@@ -139,6 +140,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, ceiling: float =
 def repeat_rows(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The mixture itself: every row of ``docs`` as many times as it is taken."""
     rows, key = with_row_key(docs, id_col)
-    copies = mix(rows, id_col=key, **options).where("copies > 0").select(F.col(key).alias("_key"), F.col("copies").alias("_copies"))
-    joined = rows.join(copies, rows[key] == copies["_key"])
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    # the user's columns travel as one, so that no name can clash
+    whole = rows.select(F.struct(*[quoted(c) for c in docs.columns]).alias("_row"), F.col(key).alias("_key"))
+    copies = mix(rows, id_col=key, **options).where("copies > 0").select(F.col(key).alias("_of"), F.col("copies").cast("int").alias("_copies"))
+    taken = whole.join(copies, F.col("_key") == F.col("_of")).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return taken.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
