@@ -5,9 +5,12 @@ Method.  Texts are lower-cased; every run of other characters than letters
 becomes one boundary.  Features are the 1- to 3-grams hashed to ``DIM``
 buckets.  Document frequencies count every training row.  The classifier is
 fitted with follow-the-regularised-leader (per-coordinate rates) under an
-elastic net (L1 gives exact zeros) on at most about ``SAMPLE_ROWS`` labelled
-rows, taken evenly over the languages by a hash of the id; a fifth of them is
-set aside to fit the temperature that calibrates the scores.  Prediction
+elastic net (L1 gives exact zeros) on about ``SAMPLE_ROWS`` labelled texts (or
+``SAMPLE_EACH`` a language) and at most twice as many, taken evenly over the languages by a hash of the text (a
+text counts once, however many rows or ids it has); a fifth of them is set aside
+to fit the temperature that calibrates the scores.  Of more than
+``MAX_LANGUAGES`` labels the most frequent ones are learned (ties: by code
+point); rows with other labels count in no statistic.  Prediction
 reads whole texts, a gather and a segmented sum per batch.
 
 A feature's value is ``SCALE * count / n * idf``; it needs no per-document
@@ -21,6 +24,7 @@ are ignored, whatever their names; repeated rows are predicted alike.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,7 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinline.llm.common import chunks
@@ -39,8 +43,9 @@ DIM_BITS = 16
 DIM = 1 << DIM_BITS
 ORDERS = (1, 2, 3)
 SCALE = 10.0
-SAMPLE_ROWS = 2_000      # bound of the fitting sample (expected rows)
-MAX_LANGUAGES = 1_000
+SAMPLE_ROWS = 2_000      # expected texts of the fitting sample
+SAMPLE_EACH = 50         # or so many a language, if that is more
+MAX_LANGUAGES = 200      # labels learned: bounds the weight matrix (DIM x labels)
 CALIBRATION_SHARE = 5    # one sampled row in five
 ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 0.01, 0.01, 4
 CHUNK_BYTES = 1 << 19
@@ -188,25 +193,27 @@ def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on the labelled rows of ``docs``."""
+          sample_rows: int = SAMPLE_ROWS, max_languages: int = MAX_LANGUAGES) -> Model:
+    """Fit on the labelled rows of ``docs``; only text and label are read."""
     bits = letter_bits()
-    labelled = docs.where(F.col(lang_col).isNotNull()).select(
-        F.col(id_col).cast("string").alias("_id"), F.col(lang_col).alias("_lang"), F.col(text_col).cast("string").alias("_text"))
-    counts = {r["_lang"]: r["n"] for r in labelled.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    labelled = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("_lang"), F.col(text_col).cast("string").alias("_text"))
+    per_label = labelled.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "_lang")
+    counts = {r["_lang"]: r["n"] for r in per_label.limit(max_languages).collect()}
     languages = sorted(counts)
     if not languages:
         return Model([], np.zeros((DIM, 0)), np.zeros(0), 1.0, 1.0)
+    each = max(sample_rows / len(languages), SAMPLE_EACH)
+    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, each / n))])
+    labelled = labelled.withColumn("_share", F.try_element_at(share, F.col("_lang"))).where(F.col("_share").isNotNull())
     total = sum(counts.values())
     idf = np.log((1 + total) / (1 + document_frequencies(labelled.select("_text"), bits))) + 1
-    each = sample_rows / len(languages)
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("_lang") == lang, min(1.0, each / n)).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.lit("sample"), F.col("_id")), F.lit(1 << 30)) / float(1 << 30)
-    rows = sorted(sparse_counts(labelled.where(draw < share), bits), key=lambda r: (r["_id"] or "", r["_lang"]))
+    hashed = F.xxhash64(F.lit("sample"), F.col("_text"))
+    draw = F.pmod(hashed, F.lit(1 << 30)) / float(1 << 30)
+    drawn = labelled.withColumn("_hash", hashed).where(draw < F.col("_share")).groupBy("_lang", "_hash").agg(F.min("_text").alias("_text"))
+    few = Window.partitionBy("_lang").orderBy("_hash")
+    drawn = drawn.withColumn("_nth", F.row_number().over(few)).where(F.col("_nth") <= max(1, math.ceil(2 * each)))
+    rows = sorted(sparse_counts(drawn.select(F.hex("_hash").alias("_id"), "_lang", "_text"), bits),
+                  key=lambda r: (r["_id"], r["_lang"], r["idx"], r["cnt"]))
     examples = []
     for r in rows:
         idx, cnt = np.frombuffer(r["idx"], "<u2").astype(np.int64), np.frombuffer(r["cnt"], "<f4").astype(np.float64)
