@@ -1,3 +1,5 @@
+import math
+import random
 import re
 from collections import Counter
 
@@ -77,3 +79,68 @@ def test_edge_rows(edge, empty):
     assert sorted(((r["doc_id"], *plain(r["text"])) for r in rows), key=key) == sorted(
         ((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) for r in got), key=key)
     assert ql.quality_rules(empty, ql.vocabulary_path()).count() == 0
+
+
+def plain_verdict(rows, sp):
+    """kept of (id, text, lang) rows, recomputed from the definitions; at most
+    MAX_LANGUAGES labels, Latin script."""
+    prepared = {}
+    for i, t, lang in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        ids = [x for w in words for x in sp.encode(w)]
+        prepared[i] = (lang or "latin", words, Counter(ids), len(ids), plain(t)[5])
+    df, n = {}, Counter()
+    for lang, _, cnt, _, failed in prepared.values():
+        if not failed:
+            n[lang] += 1
+            df.setdefault(lang, Counter()).update(cnt.keys())
+    bits = {i: sum(c * -math.log2((df[lang][k] - 0.5) / n[lang]) for k, c in cnt.items()) / size
+            for i, (lang, _, cnt, size, failed) in prepared.items() if not failed}
+    median = {}
+    for lang in n:
+        mine = sorted(math.floor(b * ql.MEDIAN_STEPS) / ql.MEDIAN_STEPS for i, b in bits.items() if prepared[i][0] == lang)
+        median[lang] = mine[(len(mine) + 1) // 2 - 1]
+    out = {}
+    for i, (lang, words, cnt, size, failed) in prepared.items():
+        if failed:
+            out[i] = False
+            continue
+        band = ql.DEFAULT_BANDS["latin"]
+        p = np.array(list(cnt.values())) / size
+        inside = (band.min_chars_per_token <= sum(map(len, words)) / size <= band.max_chars_per_token
+                  and sum(c for k, c in cnt.items() if sp.is_byte(k)) / size <= band.max_fallback_share
+                  and -(p * np.log2(p)).sum() >= band.min_relative_entropy * min(math.log2(size), ql.ENTROPY_CAP))
+        out[i] = inside and bits[i] <= median[lang] + ql.SURPRISAL_BITS
+    return out, bits
+
+
+def gibberish(n, alphabet, seed):
+    rng = random.Random(seed)
+    return [" ".join("".join(rng.choice(alphabet) for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(40, 200))) for _ in range(n)]
+
+
+def test_verdict_against_a_plain_version_with_planted_gibberish(spark, docs):
+    """The default bands reject planted gibberish, keep clean texts, and give
+    what the definitions give."""
+    rows = [(r["doc_id"], r["text"], r["lang"] if r["doc_id"] % 9 else None) for r in docs.collect()]
+    letters, consonants = "abcdefghijklmnopqrstuvwxyz", "bcdfghjklmnpqrstvwxz"
+    planted = gibberish(10, letters, 1) + gibberish(10, consonants, 2) + gibberish(4, "0123456789abcdef", 3)
+    langs = ["en", "fr", "de", "es"]
+    rows += [(10**6 + k, t, langs[k % 4]) for k, t in enumerate(planted)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = {r["doc_id"]: r for r in ql.quality_rules(df, ql.vocabulary_path()).collect()}
+    want, bits = plain_verdict(rows, sentencepiece.SentencePieceProcessor(model_file=ql.vocabulary_path()))
+    assert {i for i, r in got.items() if r["kept"]} == {i for i, k in want.items() if k}
+    assert all(abs(got[i]["token_surprisal"] - b) < 1e-9 for i, b in bits.items())
+    assert not any(got[10**6 + k]["kept"] for k in range(len(planted)))
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    clean = [i for i, q in labels.items() if q == 1 and i in got and not got[i]["base_failed"]]
+    assert np.mean([got[i]["kept"] for i in clean]) >= 0.99
+
+
+def test_many_labels_share_the_scripts_statistics(spark):
+    rows = [(k, f"the committee read report number {k} with care and agreed on most of its findings", f"l{k}") for k in range(200)]
+    got = ql.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string"), ql.vocabulary_path()).collect()
+    assert len(got) == 200 and all(r["kept"] for r in got)
+    none = ql.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string").drop("lang"), ql.vocabulary_path()).collect()
+    assert all(r["kept"] for r in none)

@@ -2,9 +2,16 @@
 
 Method.  A public sentencepiece vocabulary with byte fallback is run over the
 words of every whole text.  Per document: characters per token, the share of
-byte-fallback tokens and the entropy of its tokens.  The bands of the
-document's main script decide.  Words of a batch are dictionary-encoded, and
-each distinct word is tokenised once (pieces never cross white space).
+byte-fallback tokens, the entropy of its tokens, and their surprisal: the mean
+number of bits of its tokens under the corpus, where a token weighs as many
+documents of the same group as hold it (the document itself left out).  A group
+is a language label (the ``MAX_LANGUAGES`` most frequent ones) or, without one,
+the main script.  Two bands decide: fixed ones of the main script, and, fitted
+to the corpus, the group's median surprisal and ``SURPRISAL_BITS`` more: prose
+reuses its language's tokens, strings of random letters and shouted or symbol
+text do not.  The first pass stores figures and token counts, so texts are
+tokenised once.  Words of a batch are dictionary-encoded, and each distinct word
+is tokenised once (pieces never cross white space).
 
 Base figures (n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) and
 ``base_failed`` follow fixed definitions; ``kept`` is false for a failed base
@@ -31,7 +38,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinline.llm.common import chunks
+from twinline.llm.common import chunks, cut
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -39,8 +46,12 @@ SYMBOLS = "[#*$%&|<>]"
 NON_SPACE = r"[^\x20\x09-\x0D]"
 WINDOW = 5
 CHUNK_BYTES = 1 << 22
-CACHE_WORDS = 200_000
+CACHE_BYTES = 48 << 20
+ENTRY_BYTES = 260  # what Python adds to a cached word
 ENTROPY_CAP = 6.0  # bits; long texts reuse tokens by nature
+MAX_LANGUAGES = 50     # labels with statistics of their own: bounds the table of token weights
+SURPRISAL_BITS = 3.0   # over the median of the group
+MEDIAN_STEPS = 256     # a median is exact to 1 / MEDIAN_STEPS bit
 
 # Main Unicode ranges of each script (first, last code point).
 SCRIPTS: dict[str, tuple[tuple[int, int], ...]] = {
@@ -158,20 +169,106 @@ def script_of(word: str) -> int:
     return -1
 
 
-def quality_rules(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
-                  bands: dict[str, Band] | None = None, min_words: int = 10, max_repeat_percent: int = 20) -> DataFrame:
+def quality_rules(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                  bands: dict[str, Band] | None = None, min_words: int = 10, max_repeat_percent: int = 20,
+                  surprisal_bits: float = SURPRISAL_BITS) -> DataFrame:
     """One row per document: the base figures, the fertility figures, ``script``,
-    ``base_failed`` and ``kept``.  ``model_path`` is read once, on the driver."""
+    ``base_failed`` and ``kept``.  ``model_path`` is read once, on the driver.
+    A missing ``lang_col`` counts as null."""
+    label = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
+    per_label = docs.select(label.alias("_lang")).where("_lang is not null").groupBy("_lang").count().orderBy(F.col("count").desc(), "_lang")
+    groups = [*SCRIPTS, "other", *(r["_lang"] for r in per_label.limit(MAX_LANGUAGES).collect())]
+    stored = cut(_figures(docs.withColumn("_lang_label", label), model_path, id_col, text_col, "_lang_label", groups, bands or DEFAULT_BANDS,
+                          min_words, max_repeat_percent))
+    scored = cut(_with_surprisal(stored, len(groups)))
+    limits = _medians(scored)
+    limit = F.try_element_at(F.create_map(*[F.lit(x) for g, m in limits.items() for x in (g, m + surprisal_bits)]), F.col("_group")) if limits \
+        else F.lit(None).cast("double")
+    near = F.coalesce(F.col("token_surprisal") <= limit, F.lit(True))
+    return scored.withColumn("kept", F.col("_inside") & near & ~F.col("base_failed")).drop("_group", "_inside").withColumnRenamed("_id", id_col)
+
+
+def _with_surprisal(stored: DataFrame, n_groups: int) -> DataFrame:
+    """The figures with ``token_surprisal``; the token counts are dropped."""
+    good = stored.where(~F.col("base_failed") & (F.col("n_tokens") > 0)).select("_group", "_tokens")
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, np.ndarray] = {}
+        n: dict[int, int] = {}
+        for b in batches:
+            for g, tokens in zip(b.column(0).to_pylist(), b.column(1)):
+                ids = np.frombuffer(tokens.as_py(), "<u4")
+                if g not in seen:
+                    seen[g], n[g] = np.zeros(1 << 16, np.int64), 0
+                if len(ids) and ids[-1] >= len(seen[g]):  # ids ascend
+                    seen[g] = np.concatenate([seen[g], np.zeros(int(ids[-1]) + 1 - len(seen[g]), np.int64)])
+                seen[g][ids] += 1
+                n[g] += 1
+        for g, per in seen.items():
+            at = np.append(np.nonzero(per)[0], -1)  # -1: the documents
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), g, np.int32)), pa.array(at.astype(np.int32)),
+                                              pa.array(np.append(per[at[:-1]], n[g]))], names=["g", "t", "n"])
+
+    # at most groups times vocabulary rows
+    table = good.mapInArrow(held, "g int, t int, n long").groupBy("g", "t").agg(F.sum("n").alias("n")).toArrow()
+    g, t, n = (np.asarray(table[c]) for c in ("g", "t", "n"))
+    docs_of = {int(x): int(y) for x, y in zip(g[t < 0], n[t < 0])}
+    size = int(t.max(initial=0)) + 1
+    weight = {k: np.zeros(size, np.int32) for k in docs_of}
+    for k in docs_of:
+        mine = (g == k) & (t >= 0)
+        weight[k][t[mine]] = n[mine]
+    shared = stored.sparkSession.sparkContext.broadcast((docs_of, weight))
+    keep = [f for f in stored.schema.fields if f.name not in ("_tokens", "_counts")]
+    names = [f.name for f in keep]
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, per = shared.value
+        for b in batches:
+            out = np.full(b.num_rows, np.nan)
+            for i, (k, tokens, counts, failed) in enumerate(zip(*(b.column(c).to_pylist() for c in ("_group", "_tokens", "_counts", "base_failed")))):
+                if failed or not tokens or k not in total:
+                    continue
+                ids, c = np.frombuffer(tokens, "<u4"), np.frombuffer(counts, "<u4")
+                out[i] = (c * -np.log2((per[k][ids] - 0.5) / total[k])).sum() / c.sum()  # the document itself left out
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(out, mask=np.isnan(out))], names=[*names, "token_surprisal"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keep)
+    return stored.mapInArrow(measure, f"{schema}, token_surprisal double")
+
+
+def _medians(scored: DataFrame) -> dict[int, float]:
+    """Each group's (lower) median surprisal, rounded down to a step."""
+    step = F.floor(F.col("token_surprisal") * MEDIAN_STEPS).alias("s")
+    rows = scored.where(F.col("token_surprisal").isNotNull()).groupBy("_group", step).count().collect()  # bounded by groups and steps
+    out: dict[int, float] = {}
+    for g in {r["_group"] for r in rows}:
+        mine = sorted((r["s"], r["count"]) for r in rows if r["_group"] == g)
+        half, run = (sum(n for _, n in mine) + 1) // 2, 0
+        for s, n in mine:
+            run += n
+            if run >= half:
+                out[g] = s / MEDIAN_STEPS
+                break
+    return out
+
+
+def _figures(docs: DataFrame, model_path: str, id_col: str, text_col: str, lang_col: str, groups: list[str], bands: dict[str, Band],
+             min_words: int, max_repeat_percent: int) -> DataFrame:
+    """Base and fertility figures, the fixed bands' verdict ``_inside``, the
+    number of the group, and the distinct tokens with their counts."""
     with open(model_path, "rb") as f:
         proto = f.read()
     shared = docs.sparkSession.sparkContext.broadcast(proto)  # one vocabulary file: fixed size
     names = [*SCRIPTS, "other"]
-    table = [(bands or DEFAULT_BANDS)[s] for s in names]
-    src = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    table = [bands[s] for s in names]
+    number = {g: len(names) + i for i, g in enumerate(groups[len(names):])}
+    src = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"),
+                      F.col(lang_col).alias("_lang"))
     longs = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens"]
     schema = (f"_id {src.schema['_id'].dataType.simpleString()}, " + ", ".join(f"{c} long" for c in longs)
               + ", chars_per_token double, fallback_share double, token_entropy double, script string, "
-                "base_failed boolean, kept boolean")
+                "base_failed boolean, _inside boolean, _group int, _tokens binary, _counts binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
@@ -180,15 +277,19 @@ def quality_rules(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
         vocab = sp.get_piece_size()
         is_byte = np.fromiter((sp.is_byte(i) for i in range(vocab)), bool, vocab)
         cache: dict[str, tuple[np.ndarray, int]] = {}
+        held = 0
 
         def pieces(words: list[str]) -> list[tuple[np.ndarray, int]]:
+            nonlocal held
             new = [w for w in words if w not in cache]
-            if len(cache) + len(new) > CACHE_WORDS:
+            if held > CACHE_BYTES:
                 cache.clear()
-                new = words
-            for w, ids in zip(new, sp.encode(new, num_threads=1)):
-                cache[w] = (np.array(ids, np.int32), script_of(w))
-            return [cache[w] for w in words]
+                held, new = 0, words
+            fresh = {w: (np.array(ids, np.int32), script_of(w)) for w, ids in zip(new, sp.encode(new, num_threads=1))}
+            out = [fresh.get(w) or cache[w] for w in words]
+            cache.update(fresh)
+            held += sum(len(w) + 4 * len(x[0]) + ENTRY_BYTES for w, x in fresh.items())
+            return out
 
         for b in chunks(batches, "_text", CHUNK_BYTES):
             texts, n_docs = b.column("_text"), b.num_rows
@@ -226,16 +327,21 @@ def quality_rules(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
             reach = np.minimum(np.log2(whole), ENTROPY_CAP)
             inside = np.array([x.min_chars_per_token <= c <= x.max_chars_per_token and f <= x.max_fallback_share
                                and e >= x.min_relative_entropy * r for x, c, f, e, r in zip(band, cpt, fb, entropy, reach)], bool)
+            first = np.searchsorted(key, np.arange(n_docs + 1) * vocab).tolist()
+            ids_raw, cnt_raw = (key % vocab).astype("<u4").tobytes(), cnt.astype("<u4").tobytes()
+            group = [number.get(x, int(m)) for x, m in zip(b.column("_lang").to_pylist(), main)]
             failed = (n_words < min_words) | (100 * repeats > max_repeat_percent * n_words)
             none = n_tokens == 0
             yield pa.RecordBatch.from_arrays(
                 [b.column("_id"), *(pa.array(np.asarray(x, np.int64)) for x in (
                     n_words, word_chars, _sums(symbols[codes], ends), duplicate_lines(texts), repeats, n_tokens)),
                  *(pa.array(x, mask=none) for x in (cpt, fb, entropy)), pa.array([names[i] for i in main]),
-                 pa.array(failed), pa.array(~failed & inside)],
-                names=["_id", *longs, "chars_per_token", "fallback_share", "token_entropy", "script", "base_failed", "kept"])
+                 pa.array(failed), pa.array(inside), pa.array(np.array(group, np.int32)),
+                 *(pa.array([raw[4 * i:4 * j] for i, j in zip(first[:-1], first[1:])], pa.binary()) for raw in (ids_raw, cnt_raw))],
+                names=["_id", *longs, "chars_per_token", "fallback_share", "token_entropy", "script", "base_failed", "_inside", "_group",
+                       "_tokens", "_counts"])
 
-    return src.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+    return src.mapInArrow(run, schema)
 
 
 def vocabulary_path(name: str = "piece_bpe_32k.model") -> str:
