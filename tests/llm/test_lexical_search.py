@@ -90,7 +90,7 @@ def test_accumulators_are_limited():
     lists = rare + common
     starts = np.cumsum([0, *map(len, lists)])
     gain = np.concatenate([np.full(len(x), 100) for x in lists])
-    q = ls.Query(0, np.arange(6), np.array([50, 50, 50, 50, 1, 1]))
+    q = (0, np.arange(6), np.array([50, 50, 50, 50, 1, 1]))
     found, score = ls.search_block(q, starts, np.concatenate(lists), gain, np.full(6, 100), n, 20, 1)
     assert sorted(found) == list(range(30)) and set(score) == {20200}
     # a floor from elsewhere that nothing reaches

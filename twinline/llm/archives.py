@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinline.llm.common import cut, shared_folder
+from twinline.operators.skew import join_hot
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -183,33 +184,30 @@ def _archives(spark: SparkSession, path: str) -> DataFrame:
 _RECORD = "f string, o long, page_id long, url string, date string, ip string, digest string, n long, id string"
 
 
-def _records(spark: SparkSession, path: str, with_block: bool) -> DataFrame:
-    """The records of all ARC archives in ``path``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split(" ")[0] for c in _RECORD.split(", ")] + ["block"] * with_block
+def _rows_of(content: bytes, file: str) -> Iterator[tuple[tuple, bytes]]:
+    """(_RECORD values, block) of every record of an ARC archive."""
+    base = file.rsplit("/", 1)[-1]
+    for o, (h, block) in enumerate(parse_arc(content, file)):
+        head, payload = split_http(block)
+        digest, page = hashlib.sha1(payload).hexdigest(), http_field(head, PAGE_HEADER)
+        date = iso_date(h["Archive-date"])
+        yield (file, o, int(page) if page else None, h["URL"], date, h["IP-address"], digest, len(payload),
+               record_id(h["URL"], date, digest, base, o)), block
+
 
-        def out(rows: list) -> pa.RecordBatch:
-            cols = list(zip(*rows))
-            kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 4, pa.int64(), pa.string()] + [pa.binary()] * with_block
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """What identifies the records of all ARC archives in ``path``; no blocks."""
+    names = [c.split(" ")[0] for c in _RECORD.split(", ")]
+    kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 4, pa.int64(), pa.string()]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for file, content in zip(b.column(0).to_pylist(), b.column(1)):
-                rows, size, base = [], 0, file.rsplit("/", 1)[-1]
-                for o, (h, block) in enumerate(parse_arc(content.as_py(), file)):
-                    head, payload = split_http(block)
-                    digest, page = hashlib.sha1(payload).hexdigest(), http_field(head, PAGE_HEADER)
-                    date = iso_date(h["Archive-date"])
-                    rows.append((file, o, int(page) if page else None, h["URL"], date, h["IP-address"], digest, len(payload),
-                                 record_id(h["URL"], date, digest, base, o)) + ((block,) if with_block else ()))
-                    size += len(block)
-                    if with_block and size >= ARCHIVE_BYTES:
-                        yield out(rows)
-                        rows, size = [], 0
+                rows = [r for r, _ in _rows_of(content.as_py(), file)]
                 if rows:
-                    yield out(rows)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
-    return _archives(spark, path).mapInArrow(run, _RECORD + ", block binary" * with_block)
+    return _archives(spark, path).mapInArrow(run, _RECORD)
 
 
 def _digest(data: bytes) -> str:
@@ -233,27 +231,35 @@ def warc_record(row: dict) -> bytes:
 
 
 def arc_to_warc(spark: SparkSession, arc_path: str, warc_path: str, min_payload: int = MIN_PAYLOAD) -> None:
-    """Convert every ARC archive in ``arc_path``; WARC archives go to ``warc_path``."""
-    meta = cut(_records(spark, arc_path, with_block=False))  # narrow: no blocks
+    """Convert every ARC archive in ``arc_path``; WARC archives go to ``warc_path``.
+
+    Which records are revisits is found on narrow rows.  The marks are gathered
+    per archive (an archive's records are bounded by its size) and meet the
+    compressed archive in the task that converts it: blocks never move."""
+    meta = cut(_records(spark, arc_path))
     place = F.struct(F.col("page_id"), F.col("date"), F.col("f"), F.col("o"), F.col("id"), F.col("url"))
-    large = meta.where(F.col("n") >= min_payload)
+    large = meta.where(F.col("n") >= min_payload).select("f", "o", "digest", "n", "page_id", "date", "id", "url")
     winners = large.groupBy("digest", "n").agg(F.max(place).alias("w"), F.count(F.lit(1)).alias("c")).where("c > 1").select(
         "digest", "n", F.col("w.id").alias("ref_id"), F.col("w.url").alias("ref_url"), F.col("w.date").alias("ref_date"),
         F.col("w.f").alias("wf"), F.col("w.o").alias("wo"))
-    refer = large.join(winners, ["digest", "n"]).where((F.col("f") != F.col("wf")) | (F.col("o") != F.col("wo"))).select(
-        "f", "o", "ref_id", "ref_url", "ref_date")
-    rows = _records(spark, arc_path, with_block=True).join(refer, ["f", "o"], "left").select(
-        "id", "url", "date", "ip", "block", "ref_id", "ref_url", "ref_date")
+    refer = join_hot(large.select("digest", "n", "f", "o"), cut(winners), ["digest", "n"], least=256)
+    refer = refer.where((F.col("f") != F.col("wf")) | (F.col("o") != F.col("wo")))
+    marks = refer.groupBy("f").agg(F.collect_list(F.struct("o", "ref_id", "ref_url", "ref_date")).alias("marks"))
+    rows = _archives(spark, arc_path).join(marks, F.col("path") == F.col("f"), "left").select("path", "content", "marks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
         for b in batches:
-            for i in range(b.num_rows):
-                parts.append(warc_record({n: b.column(n)[i].as_py() for n in b.schema.names}))
-                size += len(parts[-1])
-                if size >= ARCHIVE_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array([b"\r\n\r\n".join(parts)], pa.binary())], names=["a"])
-                    parts, size = [], 0
+            for file, content, mark in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
+                known = {m["o"]: m for m in mark.as_py() or ()}
+                for (_, o, _, url, date, ip, _, _, ident), block in _rows_of(content.as_py(), file):
+                    m = known.get(o, {})
+                    parts.append(warc_record({"id": ident, "url": url, "date": date, "ip": ip, "block": block, "ref_id": m.get("ref_id"),
+                                              "ref_url": m.get("ref_url"), "ref_date": m.get("ref_date")}))
+                    size += len(parts[-1])
+                    if size >= ARCHIVE_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array([b"\r\n\r\n".join(parts)], pa.binary())], names=["a"])
+                        parts, size = [], 0
         if parts:
             yield pa.RecordBatch.from_arrays([pa.array([b"\r\n\r\n".join(parts)], pa.binary())], names=["a"])
 
@@ -325,7 +331,7 @@ def pages_through_archives(pages: DataFrame) -> DataFrame:
     arc_to_warc(spark, arc, warc)
     records = cut(read_warc(spark, warc).drop("payload"))  # narrow; read twice below
     targets = records.where("record_type = 'response'").select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"))
-    revisits = records.where("refers_to_id is not null").join(targets, "refers_to_id", "left")
+    revisits = join_hot(records.where("refers_to_id is not null"), targets, ["refers_to_id"], "left", least=256)
     cols = ["page_id", "payload_bytes", "payload_digest", "record_type"]
     return (records.where("refers_to_id is null").select(*cols, F.lit(None).cast("long").alias("refers_to"))
             .unionByName(revisits.select(*cols, "refers_to")))

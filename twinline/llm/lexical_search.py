@@ -138,11 +138,8 @@ def length_factor(n: np.ndarray, docs: int, all_terms: int) -> np.ndarray:
     return np.array([75 + 25 * int(x) * docs // all_terms for x in kinds], np.int64)[at]
 
 
-class Query:
-    """Terms of one query, rarest first: codes and weights (repeats included)."""
-
-    def __init__(self, number: int, codes: np.ndarray, weights: np.ndarray):
-        self.number, self.codes, self.weights = number, codes, weights
+#: a query: its number, and its terms' codes and weights (repeats included), rarest first
+Query = tuple[int, np.ndarray, np.ndarray]
 
 
 def search_block(query: Query, starts: np.ndarray, rows: np.ndarray, gain: np.ndarray, most: np.ndarray, n_docs: int,
@@ -154,8 +151,9 @@ def search_block(query: Query, starts: np.ndarray, rows: np.ndarray, gain: np.nd
     largest gain of each code.  ``floor`` is a score that k documents are known
     to reach elsewhere: lower ones are not needed.
     """
-    at, end = starts[query.codes], starts[query.codes + 1]
-    bound = query.weights * most[query.codes]
+    _, codes, weights = query
+    at, end = starts[codes], starts[codes + 1]
+    bound = weights * most[codes]
     rest = np.append(np.cumsum(bound[::-1])[::-1], 0)  # of terms j, j + 1, ...
     score = np.zeros(n_docs, np.int64)
     j, kth = 0, floor
@@ -169,7 +167,7 @@ def search_block(query: Query, starts: np.ndarray, rows: np.ndarray, gain: np.nd
                 kth = max(kth, int(np.partition(score[held], len(held) - k)[len(held) - k]))
                 if rest[j] < kth:
                     break
-        score[rows[at[j]:end[j]]] += query.weights[j] * gain[at[j]:end[j]]
+        score[rows[at[j]:end[j]]] += weights[j] * gain[at[j]:end[j]]
         j += 1
     alive = np.nonzero(score)[0]
     for j in range(j, len(at)):
@@ -183,7 +181,7 @@ def search_block(query: Query, starts: np.ndarray, rows: np.ndarray, gain: np.nd
             continue
         place = np.minimum(np.searchsorted(mine, alive), len(mine) - 1)
         hit = mine[place] == alive
-        score[alive[hit]] += query.weights[j] * gain[at[j] + place[hit]]
+        score[alive[hit]] += weights[j] * gain[at[j] + place[hit]]
     return alive, score[alive]
 
 
@@ -195,7 +193,7 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 def best_of_task(batches: Iterator[pa.RecordBatch], queries: list[Query], n_codes: int, n_docs: int, all_terms: int,
                  k: int) -> Iterator[pa.RecordBatch]:
     """The k best documents of each query among a task's posting rows."""
-    best = {q.number: (np.empty(0, np.int64), np.empty(0, np.int64)) for q in queries}
+    best = {q[0]: (np.empty(0, np.int64), np.empty(0, np.int64)) for q in queries}
     for b in batches:
         ends = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(b.column("_codes")), dtype=np.int64))])
         i = 0
@@ -213,11 +211,11 @@ def best_of_task(batches: Iterator[pa.RecordBatch], queries: list[Query], n_code
             most = np.zeros(n_codes, np.int64)
             np.maximum.at(most, codes, gain)
             for q in queries:
-                had, scores = best[q.number]
+                had, scores = best[q[0]]
                 floor = int(scores[-1]) if len(scores) == k else 1
                 found, new = search_block(q, starts, rows, gain, most, j - i, k, floor)
                 if len(found):
-                    best[q.number] = _best(np.concatenate([had, ids[found]]), np.concatenate([scores, new]), k)
+                    best[q[0]] = _best(np.concatenate([had, ids[found]]), np.concatenate([scores, new]), k)
             i = j
     for number, (ids, scores) in best.items():
         if len(ids):
@@ -261,7 +259,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP, id_col: str = "doc
             w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df.get(c, 0) + 1)))
             if df.get(c) and w > 0:
                 per.setdefault(r["_q"], []).append((df[c], c, w * r["repeats"]))
-        plans = [Query(q, *np.array(sorted(ts), np.int64).T[1:]) for q, ts in sorted(per.items())]
+        plans = [(q, *np.array(sorted(ts), np.int64).T[1:]) for q, ts in sorted(per.items())]
         shared = spark.sparkContext.broadcast(plans)
         size = len(vocabulary)
 
