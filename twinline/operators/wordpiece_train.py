@@ -61,7 +61,7 @@ from . import counts as cnt
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-PLAN_PAIRS = 2048      # pairs a round looks at
+PLAN_PAIRS = 1 << 14   # pairs a round looks at
 PLAN_RUNS = 1 << 14    # distinct runs a round may plan with
 
 Pair = tuple[int, int]
