@@ -137,9 +137,8 @@ def _fr_types(spark, sf_dir):
 def q_pair_counts(spark, sf_dir):
     types, base = _fr_types(spark, sf_dir)
     pc = counts.pair_counts(types)
-    lt = base.select(F.col("id").alias("left_id"), F.col("token").alias("left"))
-    rt = base.select(F.col("id").alias("right_id"), F.col("token").alias("right"))
-    return pc.join(F.broadcast(lt), "left_id").join(F.broadcast(rt), "right_id").select("left", "right", "count")
+    named = counts.id_to_token(counts.id_to_token(pc, "left_id", base, "left"), "right_id", base, "right")
+    return named.select("left", "right", "count")
 
 
 def q_best_pairs(spark, sf_dir):
@@ -217,10 +216,10 @@ def q_saved_merges(spark, sf_dir):
 
 
 def _with_edges(spark, sf_dir):
-    """Every document after a prefix that holds literal specials (inside a
-    word too), a word of 101 characters and a character outside the vocabulary."""
-    return _docs(spark, sf_dir).where(F.col("text").isNotNull()).select(
-        "doc_id", F.concat(F.lit(EDGE_PREFIX), F.col("text")).alias("text"))
+    """Every document (a null text counts as empty) after a prefix that holds
+    literal specials (inside a word too), a word of 101 characters and a
+    character outside the vocabulary."""
+    return _docs(spark, sf_dir).select("doc_id", F.concat(F.lit(EDGE_PREFIX), F.coalesce("text", F.lit(""))).alias("text"))
 
 
 def q_encode_edges(spark, sf_dir):

@@ -227,7 +227,7 @@ turns AS (
 
 # the edge prefix of the registered queries: specials, 101 letters, a snowman, a line separator
 EDGES = ("SELECT doc_id, 'x[PAD]y [EOS] [pad] [ UNK ]?[BOS] ' || repeat('a', 101) || ' ' || chr(9731) || ' a' || chr(9731) "
-         "|| ' ' || chr(8232) || ' b ' || text AS text FROM documents WHERE text IS NOT NULL")
+         "|| ' ' || chr(8232) || ' b ' || coalesce(text, '') AS text FROM documents")
 
 
 def _with(body: str, select: str) -> str:
