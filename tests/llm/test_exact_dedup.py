@@ -46,3 +46,20 @@ def test_empty_and_rows_kept(spark, empty, docs, texts):
     kept = keep_unique(docs)
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.select("doc_id").collect()} == {k for k, _ in brute(texts.items()).values()}
+
+
+@pytest.mark.parametrize("hot", [None, 5])
+def test_equal_rows_are_cut_over_buckets(spark, monkeypatch, hot):
+    """Half of the rows share text and id (or have none): no bucket holds them all."""
+    from twinline.llm import exact_dedup as ed
+
+    rows = [(hot, "the same text") for _ in range(4000)] + [(10 + k, f"own text {k}") for k in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    seen, real = [], ed.cut
+    monkeypatch.setattr(ed, "cut", lambda d: seen.append(real(d)) or seen[-1])
+    got = ed.exact_dedup(df, buckets=32).collect()
+    same = [r for r in got if r["doc_id"] == hot]
+    assert len(got) == 8000 and {(r["keep_id"], r["group_size"]) for r in same} == {(hot, 4000)}
+    assert sum(r["kept"] for r in same) == 1 and sum(r["kept"] for r in got) == 4001
+    sizes = [r["count"] for r in seen[0].groupBy("_b").count().collect()]
+    assert max(sizes) <= 1500

@@ -1,11 +1,12 @@
 """Exact dedup by a content sort (built-in functions only).
 
 Method.  Bounded keys of a row sample give splitters that cut the order
-(first characters of the normalised text, its hash, -length, id) into range
-buckets; one exchange brings each bucket together, Spark's external sort puts
-equal texts next to each other, and every row is compared in full with its
-neighbour.  The id is part of the range key, so a group of copies that holds
-a third of all rows is cut over many buckets; the pieces of a group that
+(first characters of the normalised text, its hash, -length, id, a hash of the
+row's place) into range buckets; one exchange brings each bucket together, Spark's
+external sort puts equal texts next to each other, and every row is compared in
+full with its neighbour.  Id and place are part of the range key, so a group of
+copies that holds a third of all rows is cut over many buckets, even if the rows
+share an id or have none; the pieces of a group that
 touch a bucket's edge (at most a few rows a bucket) are then joined by their
 whole text.
 
@@ -65,11 +66,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     total = docs.count()
 
     def keyed(rows: DataFrame) -> DataFrame:
-        d = rows.select("_id", strip_spaces(F.col("_text")).alias("_norm"), F.length("_text").alias("_len"))
+        # the place only spreads rows that are equal in all else: any bucket will do for them
+        d = rows.select("_id", strip_spaces(F.col("_text")).alias("_norm"), F.length("_text").alias("_len"),
+                        F.hex(F.xxhash64(F.monotonically_increasing_id())).alias("_spread"))
         return d.withColumn("_content", content_key(F.col("_norm")))
 
     def full_key() -> Column:
-        return F.concat("_content", ordered_hex(-F.col("_len").cast("long")), ordered_hex(F.col("_id").cast("long")))
+        return F.concat("_content", ordered_hex(-F.col("_len").cast("long")), ordered_hex(F.col("_id").cast("long")),
+                        F.lpad("_spread", 16, "0"))
 
     sample_rows = SAMPLE_PER_BUCKET * buckets
     fraction = min(1.0, sample_rows / max(1, total))
