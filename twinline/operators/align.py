@@ -14,8 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-from .numbering import prefix_offsets
+from .numbering import block_offsets, ordered_blocks, prefix_offsets
 from .skew import join_hot, null_safe_join
 
 
@@ -41,17 +40,15 @@ def corpus_lines(docs: DataFrame, corpus_col: str = "source", block_rows: int =
     d = docs.where(F.col("text").isNotNull()).select(F.col(corpus_col).alias("corpus"), "lang", "doc_id", "text")
     n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     per_id = d.groupBy(*key).agg(F.sum(n_lines.cast("long")).alias("_n"), F.count(F.lit(1)).alias("_rows"))
-    offsets = prefix_offsets(per_id, key[:2], "doc_id", "_n", "_line_off", block_rows)
-    ensure_checkpoint_dir(docs.sparkSession)
-    offsets = offsets.select(*key, "_rows", "_line_off").checkpoint(eager=True)
-    repeated = offsets.where("_rows > 1").select(*key)
+    placed_ids = ordered_blocks(per_id, [F.col(c).asc_nulls_last() for c in key], block_rows)
+    offsets = block_offsets(placed_ids, key[:2], "_n", "_line_off").select(*key, "_rows", "_line_off")
     lines = F.posexplode(F.split("text", "\n", -1)).alias("_pos", "text")
-    if not repeated.limit(1).count():
+    if not placed_ids.where("_rows > 1").limit(1).count():
         placed = null_safe_join(d, offsets.drop("_rows"), key)
         return placed.select(*key[:2], "_line_off", lines).select(
             *key[:2], (F.col("_line_off") + F.col("_pos")).cast("long").alias("line_no"), "text")
     rows = d.withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True)
-    placed = join_hot(rows, offsets, key)
+    placed = join_hot(rows, offsets.checkpoint(eager=True), key)
     single = placed.where("_rows = 1").select(*key[:2], "_line_off", lines).select(
         *key[:2], (F.col("_line_off") + F.col("_pos")).cast("long").alias("line_no"), "text")
     several = placed.where("_rows > 1").select(*key, "_row", "_line_off", lines).withColumn("_hash", F.xxhash64("text"))

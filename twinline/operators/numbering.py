@@ -49,6 +49,20 @@ def ordered_blocks(df: DataFrame, order: list[Column], block_rows: int, place_co
     return placed.withColumn(block_col, (first + inside).cast("long")).checkpoint(eager=True)
 
 
+def block_offsets(placed: DataFrame, group_cols: list[str], weight_col: str, out_col: str) -> DataFrame:
+    """From ``ordered_blocks`` (ordered by group first): ``out_col`` = sum of
+    ``weight_col`` over the rows of the same group at smaller places."""
+    at, blk = "_scan_at", "_scan_block"
+    in_block = Window.partitionBy(*group_cols, blk).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy(*group_cols, blk).agg(F.sum(weight_col).alias("_scan_tot"))
+    before = Window.partitionBy(*group_cols).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*group_cols, blk, F.coalesce(F.sum("_scan_tot").over(before), F.lit(0)).alias("_scan_before"))
+    d = placed.withColumn("_scan_in", F.coalesce(F.sum(weight_col).over(in_block), F.lit(0)))
+    return (null_safe_join(d, totals, [*group_cols, blk])
+            .withColumn(out_col, (F.col("_scan_before") + F.col("_scan_in")).cast("long"))
+            .drop(at, blk, "_scan_in", "_scan_before"))
+
+
 def prefix_offsets(df: DataFrame, group_cols: list[str], order_col: str | list[str], weight_col: str,
                    out_col: str = "offset", block_rows: int = 1 << 16) -> DataFrame:
     """Add ``out_col`` = sum of ``weight_col`` over the rows of the same group
@@ -56,17 +70,8 @@ def prefix_offsets(df: DataFrame, group_cols: list[str], order_col: str | list[s
     nulls last.  The order must be unique inside a group; a null group is a
     group like any other.  ``df`` should be narrow: it is sorted and
     checkpointed."""
-    at, blk = "_scan_at", "_scan_block"
     by = [*group_cols, *([order_col] if isinstance(order_col, str) else order_col)]
-    d = ordered_blocks(df, [F.col(c).asc_nulls_last() for c in by], block_rows, at, blk)
-    in_block = Window.partitionBy(*group_cols, blk).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
-    totals = d.groupBy(*group_cols, blk).agg(F.sum(weight_col).alias("_scan_tot"))
-    before = Window.partitionBy(*group_cols).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*group_cols, blk, F.coalesce(F.sum("_scan_tot").over(before), F.lit(0)).alias("_scan_before"))
-    d = d.withColumn("_scan_in", F.coalesce(F.sum(weight_col).over(in_block), F.lit(0)))
-    return (null_safe_join(d, totals, [*group_cols, blk])
-            .withColumn(out_col, (F.col("_scan_before") + F.col("_scan_in")).cast("long"))
-            .drop(at, blk, "_scan_in", "_scan_before"))
+    return block_offsets(ordered_blocks(df, [F.col(c).asc_nulls_last() for c in by], block_rows), group_cols, weight_col, out_col)
 
 
 def hash_digits_for(n_rows: int, rows_per_bucket: int = 1 << 14) -> int:
