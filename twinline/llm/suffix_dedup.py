@@ -24,8 +24,10 @@ How the corpus is cut into suffix arrays that a task can hold:
    takes the longest common prefixes of neighbours in bytes.  Windows at
    offset o are equal if they share the prefix interval of length 100 - o on
    the right and of length o on the left; all but the first are repeats.
-   A gram with over ``HOT_GRAM`` spans is compared by window content instead,
-   as rows that Spark groups, so no task grows with it.
+   A gram with over ``HOT_GRAM`` spans is cut by its contexts first: windows
+   at the offsets of a band of ``BAND`` share all bytes but ``BAND`` - 1 of them, so its
+   contexts are dealt by those bytes, band by band, and every part is compared by
+   suffix arrays of its own.
 5. Repeats of a document are united, cut out and hashed.
 
 Steps 1 and 2 compare spans by 128 bits of hash; step 4 compares bytes.
@@ -61,7 +63,9 @@ SYMBOL = 16                  # bytes of a suffix-array symbol
 SEGMENT = 1 << 20            # bytes hashed at a time
 FLUSH = 1 << 20              # anchors collapsed at a time inside a task
 LOCAL_HOT = 2_000            # spans of one gram in one flush from which its anchors are spread
-HOT_GRAM = 20_000            # spans of one gram from which windows are grouped by Spark
+HOT_GRAM = 20_000            # spans of one gram from which its contexts are dealt by their bytes
+BAND = 4                     # offsets compared together in a part of such a gram
+BROADCAST_GRAMS = 100_000    # hot grams up to which their names are broadcast
 PIECE = 1 << 13              # contexts of one suffix array (more only for one gram of up to HOT_GRAM)
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -427,20 +431,28 @@ def _suffix_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         held, rows = rest.to_batches(), rest.num_rows
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts of hot grams as one row for each window."""
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts of hot grams, once for each band of offsets they own, under a
+    route in place of the gram: windows of a band that are equal share the bytes
+    it is made of.  (The route only brings contexts together.)"""
+    lw, rw = (np.random.default_rng(n).integers(1, 1 << 62, n, np.uint64) * np.uint64(2) + np.uint64(1) for n in (BACK, WIDTH))
+    names = [c.split(" ")[0] for c in _CONTEXT_SCHEMA.split(", ")]
     for b in batches:
-        h1, h2, k, start = [], [], [], []
-        for r in b.to_pylist():
-            whole = r["lft"][::-1] + r["rgt"]
-            for o in range(r["low"], r["high"] + 1):
-                d = hashlib.blake2b(whole[BACK - o:BACK - o + WIDTH], digest_size=16).digest()
-                h1.append(int.from_bytes(d[:8], "little", signed=True))
-                h2.append(int.from_bytes(d[8:], "little", signed=True))
-                k.append(r["k"])
-                start.append(r["pos"] - o)
-        if k:
-            yield _batch([h1, h2, k, start], ["h1", "h2", "k", "start"])
+        if not b.num_rows:
+            continue
+        gram = np.asarray(b.column("gram")).view(np.uint64)
+        low, high = np.asarray(b.column("low")), np.asarray(b.column("high"))
+        left, right = _matrix(b.column("lft"), BACK).astype(np.uint64), _matrix(b.column("rgt"), WIDTH).astype(np.uint64)
+        for lo in range(0, BACK + 1, BAND):
+            hi = min(lo + BAND - 1, BACK)
+            at = np.nonzero((low <= hi) & (high >= lo))[0]
+            if not len(at):
+                continue
+            shared = left[at, :lo] @ lw[:lo] ^ _join(right[at, :WIDTH - hi] @ rw[:WIDTH - hi], gram[at] + np.uint64(lo))
+            part = b.take(pa.array(at))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shared.view(np.int64)), part.column("k"), part.column("pos"), pa.array(np.maximum(low[at], lo).astype(np.int32)),
+                 pa.array(np.minimum(high[at], hi).astype(np.int32)), part.column("lft"), part.column("rgt")], names=names)
 
 
 # ------------------------------------------------------------------ the whole
@@ -473,20 +485,13 @@ def repeated_ranges(keyed: DataFrame, hot_gram: int = HOT_GRAM) -> DataFrame:
     contexts = keyed.join(by_doc, keyed["_k"] == by_doc["k"]).select("_k", "_raw", "_firsts").mapInArrow(_cut_contexts, _CONTEXT_SCHEMA)
     hot = firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_gram).select("gram")
     hot = cut(hot)
-    calm = contexts
-    out = [sure]
     if hot.limit(1).count():
         contexts = cut(contexts)
-        calm = contexts.join(hot, "gram", "left_anti")
-        rows = contexts.join(hot, "gram", "left_semi").mapInArrow(_windows, "h1 long, h2 long, k long, start long")
-        first = rows.groupBy("h1", "h2").agg(F.min(F.struct("k", "start")).alias("w"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        again = rows.join(first, ["h1", "h2"]).where((F.col("k") != F.col("w.k")) | (F.col("start") != F.col("w.start")))
-        out.append(again.select("k", "start", (F.col("start") + WIDTH).alias("stop")))
-    out.append(calm.repartition("gram").sortWithinPartitions("gram", "k", "pos").mapInArrow(_suffix_arrays, _RANGE_SCHEMA))
-    ranges = out[0]
-    for x in out[1:]:
-        ranges = ranges.unionByName(x)
-    return ranges
+        few = F.broadcast(hot) if hot.limit(BROADCAST_GRAMS + 1).count() <= BROADCAST_GRAMS else hot
+        dealt = contexts.join(few, "gram", "left_semi").mapInArrow(_bands, _CONTEXT_SCHEMA)
+        contexts = contexts.join(few, "gram", "left_anti").select(*dealt.columns).unionByName(dealt)
+    found = contexts.repartition("gram").sortWithinPartitions("gram", "k", "pos").mapInArrow(_suffix_arrays, _RANGE_SCHEMA)
+    return sure.unionByName(found)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_gram: int = HOT_GRAM,
