@@ -57,7 +57,7 @@ def test_against_all_pairs(spark, window, parts, block):
     rows = planted()
     want = brute(rows)
     df = spark.createDataFrame(rows, SCHEMA).repartition(parts)
-    got = {r["vec_id"]: r for r in vd.near_dedup(df, window=window, block=block, passes=16).collect()}
+    got = {r["vec_id"]: r for r in vd.near_dedup(df, window=window, block=block, passes=8).collect()}
     assert len(got) == len(rows)
     links = sum(n for n, _ in want.values())
     assert 0.98 * links <= sum(r["n_links"] for r in got.values()) <= links
