@@ -48,6 +48,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -359,13 +360,13 @@ def _meet_by_gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield _batch([np.full(len(f), FIRST), gram[f], k[f], pos[f], back[f], span[f]], names)
 
 
-_CONTEXT_SCHEMA = "gram long, k long, pos long, low int, high int, lft binary, rgt binary"
+_CONTEXT_SCHEMA = "gram long, k long, pos long, low int, high int, hot boolean, lft binary, rgt binary"
 
 
 def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 3: (k, text, [gram, pos, back, span]) to fixed-width contexts."""
+    """Step 3: (k, text, [gram, pos, back, span, hot]) to fixed-width contexts."""
     for b in batches:
-        k, gram, pos, low, high, lft, rgt = [], [], [], [], [], [], []
+        k, gram, pos, low, high, hot, lft, rgt = [], [], [], [], [], [], [], []
         for key, text, firsts in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
             raw = text.as_buffer().to_pybytes()
             for f in firsts:
@@ -375,12 +376,13 @@ def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 pos.append(a)
                 low.append(f["back"] - f["span"])
                 high.append(f["back"])
+                hot.append(f["hot"])
                 lft.append(raw[max(0, a - BACK):a][::-1].ljust(BACK, b"\0"))
                 rgt.append(raw[a:a + WIDTH].ljust(WIDTH, b"\0"))
         if k:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(gram, pa.int64()), pa.array(k, pa.int64()), pa.array(pos, pa.int64()), pa.array(low, pa.int32()),
-                 pa.array(high, pa.int32()), pa.array(lft, pa.binary()), pa.array(rgt, pa.binary())],
+                 pa.array(high, pa.int32()), pa.array(hot, pa.bool_()), pa.array(lft, pa.binary()), pa.array(rgt, pa.binary())],
                 names=[c.split(" ")[0] for c in _CONTEXT_SCHEMA.split(", ")])
 
 
@@ -432,12 +434,16 @@ def _suffix_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts of hot grams, once for each band of offsets they own, under a
-    route in place of the gram: windows of a band that are equal share the bytes
-    it is made of.  (The route only brings contexts together.)"""
+    """Contexts as they are, but those of hot grams once for each band of
+    offsets they own, under a route in place of the gram: windows of a band that
+    are equal share the bytes it is made of.  (The route only brings contexts
+    together.)"""
     lw, rw = (np.random.default_rng(n).integers(1, 1 << 62, n, np.uint64) * np.uint64(2) + np.uint64(1) for n in (BACK, WIDTH))
     names = [c.split(" ")[0] for c in _CONTEXT_SCHEMA.split(", ")]
     for b in batches:
+        mask = b.column("hot")
+        yield b.filter(pc.invert(mask))
+        b = b.filter(mask)
         if not b.num_rows:
             continue
         gram = np.asarray(b.column("gram")).view(np.uint64)
@@ -452,7 +458,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = b.take(pa.array(at))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(shared.view(np.int64)), part.column("k"), part.column("pos"), pa.array(np.maximum(low[at], lo).astype(np.int32)),
-                 pa.array(np.minimum(high[at], hi).astype(np.int32)), part.column("lft"), part.column("rgt")], names=names)
+                 pa.array(np.minimum(high[at], hi).astype(np.int32)), part.column("hot"), part.column("lft"), part.column("rgt")], names=names)
 
 
 # ------------------------------------------------------------------ the whole
@@ -481,16 +487,13 @@ def repeated_ranges(keyed: DataFrame, hot_gram: int = HOT_GRAM) -> DataFrame:
     met = cut(met)
     sure = met.where(F.col("kind") == REPEAT).select("k", F.col("pos").alias("start"), (F.col("pos") + F.col("back")).alias("stop"))
     firsts = met.where(F.col("kind") == FIRST)
-    by_doc = firsts.groupBy("k").agg(F.collect_list(F.struct("gram", "pos", "back", "span")).alias("_firsts"))  # at most a text's anchors
+    hot = cut(firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_gram).select("gram", F.lit(True).alias("hot")))
+    few = F.broadcast(hot) if hot.limit(BROADCAST_GRAMS + 1).count() <= BROADCAST_GRAMS else hot
+    firsts = firsts.join(few, "gram", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    by_doc = firsts.groupBy("k").agg(F.collect_list(F.struct("gram", "pos", "back", "span", "hot")).alias("_firsts"))  # at most a text's anchors
     contexts = keyed.join(by_doc, keyed["_k"] == by_doc["k"]).select("_k", "_raw", "_firsts").mapInArrow(_cut_contexts, _CONTEXT_SCHEMA)
-    hot = firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_gram).select("gram")
-    hot = cut(hot)
-    if hot.limit(1).count():
-        contexts = cut(contexts)
-        few = F.broadcast(hot) if hot.limit(BROADCAST_GRAMS + 1).count() <= BROADCAST_GRAMS else hot
-        dealt = contexts.join(few, "gram", "left_semi").mapInArrow(_bands, _CONTEXT_SCHEMA)
-        contexts = contexts.join(few, "gram", "left_anti").select(*dealt.columns).unionByName(dealt)
-    found = contexts.repartition("gram").sortWithinPartitions("gram", "k", "pos").mapInArrow(_suffix_arrays, _RANGE_SCHEMA)
+    found = (contexts.mapInArrow(_bands, _CONTEXT_SCHEMA).repartition("gram").sortWithinPartitions("gram", "k", "pos")
+             .mapInArrow(_suffix_arrays, _RANGE_SCHEMA))
     return sure.unionByName(found)
 
 
