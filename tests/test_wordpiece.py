@@ -1,12 +1,14 @@
 """Encode / decode goldens (FIXTURES.md section 4) and a library cross-check."""
 
 import random
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
 from twinline.constants import SPECIAL_TOKENS
 from twinline.functions import decode as dec
+from twinline.functions import text as tx
 from twinline.functions import wordpiece as wp
 from twinline.operators import align, counts
 from twinline.sources import tables
@@ -213,3 +215,57 @@ def test_decode_of_a_large_vocabulary_is_planned_quickly(spark):
     df = spark.createDataFrame([([2, 5, 31_999, 40_000, 3],)], "ids array<int>")
     row = df.select(dec.decode(F.col("ids"), v).alias("t")).first()
     assert row["t"] == "tok1 tok31995" and time.perf_counter() - t0 < 5
+
+
+def test_chunks_give_what_whole_batches_give(spark, monkeypatch):
+    """Rows longer than a chunk, several rows a chunk, empty and null rows; with and without a cut."""
+    v = _vocab(["a", "b", "##a", "##b", "ab", "##ab"])
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choice("abz") for _ in range(rng.randint(1, 5))) for _ in range(rng.choice([0, 1, 3, 40]))) for _ in range(60)]
+    texts[7:9] = [None, ""]
+    whole = [_enc(spark, v, texts), _enc(spark, v, texts, truncate=True, max_length=9)]
+    assert [None if x is None else ([2, *x[1:-1][:7], 3]) for x in whole[0]] == whole[1]
+    monkeypatch.setattr(wp, "_CHUNK_WORDS", 5)
+    assert [_enc(spark, v, texts), _enc(spark, v, texts, truncate=True, max_length=9)] == whole
+
+
+def test_words_in_flight_and_known_words_are_bounded(spark, monkeypatch):
+    """Python strings of one chunk at a time; the known words stay within their limit."""
+    import pyarrow as pa
+    v = _vocab(["a", "##a"])
+    monkeypatch.setattr(wp, "_CHUNK_WORDS", 50)
+    monkeypatch.setattr(wp, "_MEMO_LIMIT", 30)
+    seen, sizes = [], []
+    split = wp.match_pieces
+    monkeypatch.setattr(wp, "match_pieces", lambda *a: (seen.append(len(next(iter(wp._MEMOS.values())))), split(*a))[1])
+    encode = wp.pc.dictionary_encode
+    monkeypatch.setattr(wp.pc, "dictionary_encode", lambda x: (sizes.append(len(x)), encode(x))[1])
+    words = [["a" * (1 + (7 * i + k) % 90) for k in range(40)] for i in range(20)]
+    udf = wp._wordpiece_udf(v.broadcast(spark), 0, 100, {})
+    got = udf.func(pa.array(words, pa.list_(pa.string())))
+    assert got.to_pylist() == [[i for w in row for i in [4] + [5] * (len(w) - 1)] for row in words]
+    assert max(sizes) <= 50 and max(seen) <= 30
+
+
+def test_filter_on_ids_does_not_split_words_twice(spark):
+    v = _vocab(["a", "##a"])
+    df = spark.createDataFrame([("a aa",), ("a",)], "t string")
+    ids = df.select(wp.encode_target(F.col("t"), v, spark).alias("ids")).where(F.size("ids") > 3)
+    plan = ids._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("encode_words(") == 1, plan
+    assert [r[0] for r in ids.collect()] == [[2, 4, 4, 5, 3]]
+
+
+def test_normalising_in_slices_keeps_every_row(spark):
+    texts = [None if i % 7 == 0 else ("é" * (i % 5) + "ế" if i % 3 else "plain") for i in range(1000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+    got = [r[0] for r in df.select("i", tx.nfc("t").alias("n")).orderBy("i").select("n").collect()]
+    assert got == [None if t is None else unicodedata.normalize("NFC", t) for t in texts]
+
+
+def test_normalising_holds_few_rows_as_strings(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(tx, "_SLICE_ROWS", 16)
+    calls = []
+    out = tx._normalized(pa.array(["é"] * 100), "NFC", lambda a: (calls.append(len(a)), a)[1])
+    assert out.to_pylist() == ["é"] * 100 and max(calls) <= 16 and sum(calls) == 100
