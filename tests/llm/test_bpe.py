@@ -149,3 +149,28 @@ def test_pieces_of_the_longest_tokens_fit():
     assert task.decoded_sha256(ids, np.array([0, 7, 7, n])) == [
         hashlib.sha256(longest * 7).hexdigest(), hashlib.sha256(b"").hexdigest(), whole]
     task.close()
+
+
+def test_batch_is_cut_without_a_number_for_each_word():
+    """Byte positions come from the offsets of the words, also of a slice and of no words."""
+    import pyarrow as pa
+    words = pa.array(["skipped", "ab", "c", "", "éé", "f"])
+    for kind in (pa.string(), pa.large_string()):
+        part = words.cast(kind).slice(1)
+        upto = bpe._bytes_upto(part, np.array([0, 2, 2, 5]))
+        assert (upto - upto[0]).tolist() == [0, 3, 3, 8]
+    assert bpe._bytes_upto(pa.array([], pa.string()), np.array([0, 0])).tolist() == [0, 0]
+    assert list(bpe._slices(np.array([7, 10, 10, 15, 40]), 5)) == [(0, 2), (2, 3), (3, 4)]
+
+
+def test_memory_of_a_task_beside_its_batch():
+    """Cutting a batch of a million words takes no more than its rows do."""
+    import tracemalloc
+    import pyarrow as pa
+    words = pa.array(["word"] * 1_000_000)
+    ends = np.arange(0, 1_000_001, 100)
+    tracemalloc.start()
+    assert len(list(bpe._slices(bpe._bytes_upto(words, ends), 1 << 16))) == 62
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 1_000_000
