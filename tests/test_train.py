@@ -125,3 +125,20 @@ def test_no_words(spark):
     df = spark.createDataFrame([("",), (None,), ("a b",)], "text string")
     r = train_wordpiece(df, vocab_size=100)
     assert r.tokens == ["[UNK]", "[PAD]", "[BOS]", "[EOS]", "a", "b"] and r.rounds == 0
+
+
+def test_one_lookup_and_no_rows_through_python_workers(spark, capsys):
+    """The filter on symbols does not repeat the lookup; the specials, the
+    vocabulary and the merges reach executors without Python workers."""
+    df = spark.createDataFrame([(l,) for l in LINES], "text string")
+    wc = counts.word_counts(df).localCheckpoint()
+    base = counts.initial_vocab(wc)
+    r = train_wordpiece(df, vocab_size=30)
+    capsys.readouterr()
+    counts.word_types(wc, base).where(F.size("syms") >= 2).explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+    for frame in (counts.initial_vocab(spark.range(1).select(F.lit("ab").alias("word"))), r.vocab, r.merges):
+        frame.explain()
+        assert "ExistingRDD" not in capsys.readouterr().out
+    assert r.merges.dtypes == [("rank", "int"), ("left_id", "int"), ("right_id", "int"), ("new_id", "int"), ("count", "bigint")]
+    assert r.vocab.dtypes == [("token", "string"), ("id", "int")]
