@@ -247,6 +247,25 @@ def test_words_in_flight_and_known_words_are_bounded(spark, monkeypatch):
     assert max(sizes) <= 50 and max(seen) <= 30
 
 
+def test_splitting_many_distinct_words_takes_little_memory(spark):
+    """What Python holds while and after 300,000 different words are split, words of no piece among them."""
+    import tracemalloc
+    import pyarrow as pa
+    v = _vocab([*"0123456789", *(f"##{d}" for d in range(10))])
+    udf = wp._wordpiece_udf(v.broadcast(spark), 0, 100, {})
+    words = pa.array([[f"{i + k}" for k in range(100)] for i in range(1_000_000, 1_300_000, 100)] + [[], None, ["", "x", "12"]], pa.list_(pa.string()))
+    v.broadcast(spark).value
+    tracemalloc.start()
+    try:
+        got = udf.func(words)
+        held, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert len(got) == 3003 and got[3000:].to_pylist() == [[], None, [0, 5, 16]]
+    assert got[1].as_py() == [i for k in range(100) for i in [5, *(14 + int(d) for d in f"{1_000_100 + k}"[1:])]]
+    assert held < 20e6 and peak < 40e6, (held, peak)
+
+
 def test_filter_on_ids_does_not_split_words_twice(spark):
     v = _vocab(["a", "##a"])
     df = spark.createDataFrame([("a aa",), ("a",)], "t string")
