@@ -16,6 +16,15 @@ def test_entry_runs(spark):
     assert set(df.columns) == {"split", "num_rows", "mean_src_len", "mean_tgt_len", "max_src_len", "max_tgt_len"}
 
 
+def test_bucketed_collation_runs_two_python_steps(spark):
+    """A core holds one normaliser and one splitter while the tokens are made
+    (the filter on lengths adds none), and no Python after that."""
+    sf = "/root/testdata/sf0.001"
+    plans = [df._jdf.queryExecution().executedPlan().toString()
+             for df in (se._tokens(spark, sf), se.queries()["collate_bucketed"](spark, sf))]
+    assert [plan.count("EvalPython") for plan in plans] == [2, 0], plans
+
+
 def test_every_sql_has_a_query():
     q, s = se.queries(), se.oracle_sql()
     assert set(s) <= set(q)
